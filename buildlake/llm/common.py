@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ def doc_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
+def filled(batch: pa.RecordBatch, text_col: str) -> pa.Array:
+    """The text column of a batch, empty where it is null."""
+    return pc.fill_null(batch.column(batch.schema.names.index(text_col)), "")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path below the folder that the cluster shares (``spark.checkpoint.dir``).
 

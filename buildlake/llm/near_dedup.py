@@ -216,3 +216,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     out = rows.select("doc_id", "n_shingles", "set_id").join(known, "set_id", "left")
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose document is the first of its group."""
+    kept = near_duplicates(docs, k, percent, miss, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__kept")), "left_semi")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from buildlake.llm.common import doc_texts
+from buildlake.llm.common import doc_texts, filled
 from buildlake.llm.words import Words, batch_words, mix
 
 PASSAGE = 64
@@ -186,3 +186,21 @@ def classify_quality(docs: DataFrame, labels: DataFrame, cut: float = 0.7, sampl
     model = fit_quality(docs, labels, sample, id_col, text_col)
     scored = score_quality(docs, model, id_col, text_col)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def keep_predicted(docs: DataFrame, labels: DataFrame, cut: float = 0.7, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``classify_quality`` predicts to be good; no shuffle of texts.
+
+    Without labels of both kinds there is no model and every row stays.
+    """
+    model = fit_quality(docs, labels, sample, id_col, text_col)
+    if model is None:
+        return docs
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, w in batch_words(filled(batch, text_col), lower=False, most=1 << 20):
+                part = batch.slice(first, len(w.ptr) - 1)
+                yield part.filter(pa.array(model.scores(*encode_passages(w)) >= cut))
+
+    return docs.mapInArrow(work, docs.schema)

@@ -7,15 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from buildlake.llm import licenses, media, packing, quality_rules, sharding, token_counts
+from buildlake.llm import licenses, media, near_dedup, packing, pieces, quality_classifier, quality_rules, sharding, substrings, token_counts
 
-BPE_JSON, BPE_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+BPE_JSON, BPE_RANKS, PIECE_MODEL = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), k=4).drop("links")
+
+
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(_table(spark, sf_dir, "documents")).drop("tile")
 
@@ -24,11 +28,23 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(_table(spark, sf_dir, "documents"), 8)
 
@@ -44,7 +60,32 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_media_columns, op3_license_scan, op5_quality_rules, op8_sharding, op9_token_counts, op10_packing)
+    f.__name__: f
+    for f in (op1_near_dedup, op2_media_columns, op3_license_scan, op4_quality_classifier, op5_quality_rules, op6_sentencepiece, op7_substring_dedup, op8_sharding, op9_token_counts, op10_packing)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # all pairs that share a shingle, then what each document reaches
+    "op1_near_dedup": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+    FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), numbered AS (SELECT doc_id, md5_number(s) AS s FROM shingles
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM numbered a JOIN numbered b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+""",
+}
