@@ -9,9 +9,14 @@
    of the similarity is a Beta distribution; the pair is dropped when reaching
    the threshold is less likely than ``miss``. Survivors are confirmed on the
    full sets.
-4. Buckets whose sets are not all connected by then are finished: each set
-   outside a bucket's largest component is compared with all sets of other
-   components. So no pair of a bucket that could change the result is left out.
+4. Buckets whose sets are not all connected by then are finished. In small
+   ones each set outside the largest component is compared with all sets of
+   other components. Sets of crowded ones go through an exact prefix join: in
+   order of their rarity, a similar pair's first common shingle is among the
+   first fifth of the larger set and the first ninth of the smaller one, so
+   sets that only share a frequent passage never meet; parity bitmaps bound
+   from below in how many shingles two sets differ.
+So no pair of a bucket that could change the result is left out.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from buildlake.llm.common import doc_texts, staged
@@ -36,6 +41,13 @@ BATCH = 32
 MISS = 1e-6
 """Chance, at most, that a batch drops a pair at the threshold."""
 
+CROWDED = 16
+"""Rows of a bucket from which on the prefix join takes the place of comparing pairs."""
+
+BITMAP = 8
+"""64-bit words of a parity bitmap."""
+
+_NULL_ID = -1 << 63
 _U = np.uint64
 _rng = np.random.default_rng(20240601)
 _SLOPES = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=_U) * _U(2) + _U(1)
@@ -164,12 +176,62 @@ def _confirmed(pairs: DataFrame, signed: DataFrame, first_row: DataFrame, docs:
     likely = staged(both.mapInArrow(sift, "a binary, b binary"), "likely")
     needed = likely.select(F.col("a").alias("set_id")).union(likely.select("b")).distinct()
     rows = needed.join(first_row, "set_id")
-    keyed = docs.select(F.coalesce("doc_id", F.lit(-1 << 63)).alias("key"), "text")
+    keyed = docs.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("key"), "text")
     texts = staged(rows.join(keyed, "key").select("set_id", "text"), "texts")
     joined = likely.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
     return staged(joined.mapInArrow(confirm, "a binary, b binary").distinct(), "confirmed")
 
 
+def parity_bitmap(shingle: np.ndarray) -> np.ndarray:
+    """Bits that an odd number of shingles hash to: two sets differ in as many shingles, at least, as their bitmaps in bits."""
+    bits = np.bincount((shingle >> _U(7)).astype(np.int64) % (64 * BITMAP), minlength=64 * BITMAP) & 1
+    return np.packbits(bits.astype(np.uint8)).view("<i8")
+
+
+def _prefix_pairs(sets: DataFrame, first_row: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``sets`` (set_id, component, n) in different components that may be similar: none is missed."""
+    maps = [f"m{i}" for i in range(BITMAP)]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, w in batch_words(batch.column("text")):
+                part, held, bits = batch.slice(first, len(w.ptr) - 1), [], []
+                for i in range(part.num_rows):
+                    s = shingle_set(w.hashes[w.ptr[i] : w.ptr[i + 1]], k)
+                    # an id may stand for several texts
+                    held.append(s.tobytes() if len(s) and set_digest(s) == part.column("set_id")[i].as_py() else None)
+                    bits.append(parity_bitmap(s))
+                columns = [pa.array(c) for c in np.array(bits).reshape(-1, BITMAP).T.copy()]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("set_id", "component", "n")), pa.array(held, pa.binary()), *columns], names=["set_id", "component", "n", "tokens", *maps])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                raw, offsets = string_buffers(part.column("tokens"))
+                rep = pa.array(np.repeat(np.arange(part.num_rows), np.diff(offsets) // 8))
+                yield pa.RecordBatch.from_arrays([pa.array(raw.view(np.int64)), *(part.column(c).take(rep) for c in ("set_id", "component", "n"))], names=["token", "set_id", "component", "n"])
+
+    kinds = "set_id binary, component binary, n long"
+    keyed = docs.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("key"), "text")
+    rows = sets.join(first_row, "set_id").join(keyed, "key").select("set_id", "component", "n", "text")
+    packed = rows.mapInArrow(pack, f"{kinds}, tokens binary, {', '.join(f'{m} long' for m in maps)}").where("tokens is not null")
+    held = staged(packed.dropDuplicates(["set_id"]), "tokens")
+    tokens = held.select("set_id", "component", "n", "tokens").mapInArrow(unpack, f"token long, {kinds}")
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    one = Window.partitionBy("set_id")
+    # shingles of one set alone come first in its order; only their number matters
+    ranked = tokens.join(often, "token").withColumn("pos", F.col("n") - F.count(F.lit(1)).over(one) + F.row_number().over(one.orderBy("df", "token")))
+    probe = ranked.where(F.col("pos") <= F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1).drop("df").join(held.select("set_id", *maps), "set_id")
+    index = probe.where(F.col("pos") <= F.col("n") - F.expr(f"({2 * percent} * n + {99 + percent}) div {100 + percent}") + 1)
+    x, y = (d.select("token", F.col("set_id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("component", "n", "pos", *maps)]) for d, s in ((probe, "a"), (index, "b")))
+    differ = " + ".join(f"bit_count({m}_a ^ {m}_b)" for m in maps)
+    smaller = "component_a <> component_b and (n_b < n_a or n_b = n_a and b < a) and 100 * n_b >= {p} * n_a"
+    reach = "{q} * (1 + least(n_a - pos_a, n_b - pos_b)) >= {p} * (n_a + n_b) and {q} * (n_a + n_b - ({differ})) >= 2 * {p} * (n_a + n_b)"
+    met = x.join(y, "token").where(f"{smaller} and {reach}".format(p=percent, q=100 + percent, differ=differ))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept, links of every row of ``docs``.
 
@@ -188,29 +250,37 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     per_set = rows.where("set_id is not null").groupBy("set_id")
     signed = rows.where("sig is not null").groupBy("set_id").agg(F.min("sig").alias("sig"), F.max("n_shingles").alias("n_shingles"))
     signed = staged(signed, "signatures")
-    first_row = per_set.agg(F.min(F.coalesce("doc_id", F.lit(-1 << 63))).alias("key"))
+    first_row = per_set.agg(F.min(F.coalesce("doc_id", F.lit(_NULL_ID))).alias("key"))
     buckets = _buckets(signed)
 
     confirm = functools.partial(_confirmed, signed=signed, first_row=first_row, docs=texts, k=k, percent=percent, miss=miss)
     found = confirm(buckets.where("set_id <> leader").select(F.col("leader").alias("a"), F.col("set_id").alias("b")).distinct())
-    parts = staged(components(found), "components")
+    parts = staged(components(found).toDF("set_id", "component"), "components")
 
     # what the leaders left apart
-    placed = buckets.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    apart = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    placed = buckets.join(parts, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    apart = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("bucket", "size")
     open_rows = staged(placed.join(apart, "bucket"), "open")
-    sizes = open_rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    few = open_rows.where(F.col("size") < CROWDED)
+    sizes = few.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-    outside = open_rows.join(main, "bucket").where("component <> main").select("bucket", F.col("set_id").alias("a"), F.col("component").alias("of_a"), "main", "leader")
-    inside = open_rows.select("bucket", F.col("set_id").alias("b"), F.col("component").alias("of_b"))
+    outside = few.join(main, "bucket").where("component <> main").select("bucket", F.col("set_id").alias("a"), F.col("component").alias("of_a"), "main", "leader")
+    inside = few.select("bucket", F.col("set_id").alias("b"), F.col("component").alias("of_b"))
     rest = outside.join(inside, "bucket").where("of_a <> of_b and (of_b = main or a < b) and a <> leader and b <> leader")
-    more = confirm(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    links = found.union(more)
-    parts = staged(components(links), "components")
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    crowd = open_rows.where(F.col("size") >= CROWDED).select("set_id", "component").distinct()
+    crowd = crowd.join(signed.select("set_id", F.col("n_shingles").alias("n")), "set_id")
+    more = confirm(rest.union(_prefix_pairs(crowd, first_row, texts, k, percent)).distinct())
+    # links between components join these, and with them their sets
+    ends = (parts.toDF("a", "of_a"), parts.toDF("b", "of_b"))
+    joined = more.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    groups = staged(components(joined).toDF("component", "group"), "groups")
 
+    links = found.union(more)
     ends = links.select(F.col("a").alias("set_id")).union(links.select("b"))
     degree = ends.groupBy("set_id").agg(F.count(F.lit(1)).alias("links"))
-    members = per_set.agg(F.min("doc_id").alias("least")).join(parts.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    members = per_set.agg(F.min("doc_id").alias("least")).join(parts, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    members = members.join(groups, "component", "left").withColumn("component", F.coalesce("group", "component")).drop("group")
     least = members.groupBy("component").agg(F.min("least").alias("component_id"))
     known = members.select("set_id", "component").join(least, "component").join(degree, "set_id", "left").select("set_id", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
     out = rows.select("doc_id", "n_shingles", "set_id").join(known, "set_id", "left")
