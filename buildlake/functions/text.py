@@ -39,6 +39,11 @@ def single_spaced(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at the ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def one_line(text: Column) -> Column:
     return F.replace(text, F.lit("\n"), F.lit(" "))
 
@@ -72,8 +77,11 @@ def digest_of_path(path: Column) -> Column:
 
 def build_systems(files: Column) -> Column:
     """Sorted build systems, joined by ``/``, whose keyword is in some file name; ``others`` without any."""
-    found = [F.when(F.exists(files, lambda f, k=keyword: F.lower(F.trim(f)).contains(k)), F.lit(system)) for system, keyword in BUILD_KEYWORDS.items()]
-    joined = F.concat_ws("/", *found)
+
+    def named(keyword: str) -> Column:
+        return F.exists(files, lambda f: F.lower(F.trim(f)).contains(keyword))
+
+    joined = F.concat_ws("/", *[F.when(named(keyword), F.lit(system)) for system, keyword in BUILD_KEYWORDS.items()])
     return F.when(joined == "", F.lit("others")).otherwise(joined)
 
 

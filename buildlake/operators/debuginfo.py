@@ -24,7 +24,7 @@ def text_lines(files: DataFrame, key: str, content: str) -> DataFrame:
 
 def dump_rows(lines: DataFrame, per: str = "dump") -> DataFrame:
     """Line rows of dumps with their function, source file and digest; rows before a header or a path have nulls."""
-    line = F.trim("line")
+    line = text.stripped(F.col("line"))
     header = line.startswith("**")
     row = line.startswith("line")
     path = F.regexp_extract(line, r"(\w:\\.*)$", 1)
@@ -68,13 +68,13 @@ def segments(rows: DataFrame, per: str = "dump") -> DataFrame:
 
 def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Line rows with their source text (1-based, trimmed); empty where there is none. ``sources``: source_file, content."""
-    found = text_lines(sources, "source_file", "content").select("source_file", (F.col("pos") + 1).cast("long").alias("line_number"), F.trim("line").alias("source_code"))
+    found = text_lines(sources, "source_file", "content").select("source_file", (F.col("pos") + 1).cast("long").alias("line_number"), text.stripped(F.col("line")).alias("source_code"))
     return rows.join(found, ["source_file", "line_number"], "left").withColumn("source_code", F.coalesce("source_code", F.lit("")))
 
 
 def tag_rows(lines: DataFrame) -> DataFrame:
     """(file, name, start, end, definition) of tag lines: fields from both ends, white space between."""
-    parts = F.split(F.trim("line"), r"\s+")
+    parts = F.split(text.stripped(F.col("line")), r"\s+")
     value = lambda i: F.element_at(F.split(F.element_at(parts, i), ":"), -1)
     name = F.element_at(F.split(F.replace(F.replace(F.element_at(parts, 1), F.lit("/^"), F.lit("")), F.lit("$/;"), F.lit("")), r"\("), 1)
     good = (F.size(parts) >= 4) & ~F.element_at(parts, 1).startswith("__anon")

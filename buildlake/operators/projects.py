@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from buildlake.functions import text
 
@@ -87,7 +88,7 @@ def described_projects(projects: DataFrame, xml: str = "xml") -> DataFrame:
 
 
 def _edited(change: Callable[[ET.Element, str], None]) -> Callable[[Column, Column], Column]:
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def over(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         ET.register_namespace("", NAMESPACE)
         for documents, values in batches:
@@ -191,7 +192,7 @@ def solution_dependencies(rows: DataFrame, key: str) -> DataFrame:
 def with_configuration(solutions: DataFrame, key: str, content: str, mode: str, platform: str) -> DataFrame:
     """Solutions in which the first declared configuration is replaced by ``mode|platform``, unless that is declared."""
     rows = solution_rows(solutions, key, content).where((F.col("section") == "SolutionConfigurationPlatforms") & ~F.col("line").rlike(r"^\s*GlobalSection"))
-    names = rows.select(key, "pos", F.trim(F.split_part("line", F.lit("="), F.lit(1))).alias("name")).where("name <> ''")
+    names = rows.select(key, "pos", text.stripped(F.split_part("line", F.lit("="), F.lit(1))).alias("name")).where("name <> ''")
     target = f"{mode}|{platform}"
     chosen = names.groupBy(key).agg(F.min_by("name", "pos").alias("__first"), F.max(F.col("name") == target).alias("__there"))
     joined = solutions.join(chosen, key, "left")

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def comment_lines(lines: list[str], name: str, body: bool) -> list[str]:
@@ -80,7 +81,7 @@ def definition_start(lines: list[str], name: str) -> int | None:
 
 
 def _per_function(work: Callable[[list[str], str], str]) -> Callable[[Column, Column], Column]:
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def over(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, names in batches:
             yield pd.Series([None if t is None or n is None else work(t.splitlines(), n) for t, n in zip(texts, names, strict=True)], dtype=object)

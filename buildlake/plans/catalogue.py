@@ -5,15 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from buildlake.plans import control, ordered, scalar, staged_files
+from buildlake.plans.registry import merged
 
-
-def progress_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-
-
-QUERIES["progress_counters"] = progress_counters
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]]
+ORACLE_SQL: dict[str, str]
+QUERIES, ORACLE_SQL = merged(control.REGISTRY, ordered.REGISTRY, scalar.REGISTRY, staged_files.REGISTRY)

@@ -17,8 +17,12 @@ BUILD_SYSTEMS = ("make", "cmake", "autoconf", "bootstrap", "sln")
 LANGUAGES = ("c", "c++", "c#")
 
 
+_TYPES = {"int": T.IntegerType(), "long": T.LongType(), "string": T.StringType(), "boolean": T.BooleanType(), "double": T.DoubleType(), "binary": T.BinaryType(), "timestamp_ntz": T.TimestampNTZType()}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """``name type, ...`` of plain types; needs no session, so workers can import it."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in map(str.split, spec.split(","))])
 
 
 PROJECTS = _struct(
@@ -38,9 +42,7 @@ LINES = _struct("id long, line_number int, rva string, length int, source_code s
 SEGMENT = "struct<rva_start: string, rva_end: string, debug_ratio: string>"
 LINE = "struct<line_number: int, rva: string, length: int, source_code: string, source_file: string>"
 FUNCTION = f"struct<function_name: string, intersect_ratio: string, source_file: string, function_info: array<{SEGMENT}>, lines: array<{LINE}>, ctag_definitions: string, top_comments: string, body_comments: string, prototype: string, source_codes: string, source_codes_ctags: string>"
-BUILD_DOCUMENT = _struct(
-    f"Platform string, Build_mode string, Toolset_version string, URL string, Optimization string, Pushed_at string, Commit string, Binary_info_list array<struct<file: string, functions: array<{FUNCTION}>>>"
-)
+BUILD_DOCUMENT = f"Platform string, Build_mode string, Toolset_version string, URL string, Optimization string, Pushed_at string, Commit string, Binary_info_list array<struct<file: string, functions: array<{FUNCTION}>>>"
 
 TASK_MESSAGE = _struct("name string, url string, task_id long, opt_id int, output_dir string, repo_id long, updated_at string, build_system string, msg_time double, mod_timestamp long")
 CLONE_MESSAGE = _struct("url string, opt_id int, status int, msg string, task_id long")

@@ -21,9 +21,9 @@ METADATA = "pdbinfo.json"
 PRODUCTS = r"(?i)\.(pdb|exe|dll|lib)$"
 
 
-def json_documents(spark: SparkSession, path: str, schema: T.StructType = S.BUILD_DOCUMENT) -> DataFrame:
+def json_documents(spark: SparkSession, path: str, schema: str = S.BUILD_DOCUMENT) -> DataFrame:
     """Build documents, one a file, by a fixed schema; what can't be read is in ``_corrupt``."""
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", True).json(path)
+    return spark.read.schema(f"{schema}, _corrupt string").option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", True).json(path)
 
 
 def decoded_json(table: DataFrame, column: str, schema: str) -> tuple[DataFrame, DataFrame]:
