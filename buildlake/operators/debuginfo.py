@@ -89,8 +89,8 @@ def function_texts(tags: DataFrame, sources: DataFrame, step: int = 64) -> DataF
     """
     spans = sequences.extended_starts(tags.withColumn("tag_start", F.col("start")), "start", "end", ["file"], ["tag_start", "name"])
     lines = text_lines(sources, "file", "content")
-    spans = spans.withColumns({"lo": F.greatest(F.col("start") - 1, F.lit(0)), "hi": F.col("end") - 1}).withColumnRenamed("file", "of_file")
-    inside = sequences.range_join(lines, "pos", spans, "lo", "hi", step).where("file = of_file")
+    spans = spans.withColumns({"lo": F.greatest(F.col("start") - 1, F.lit(0)), "hi": F.col("end") - 1})
+    inside = sequences.range_join(lines, "pos", spans, "lo", "hi", step, ("file",))
     directive = F.col("line").contains("#") | (F.col("line").contains("}") & F.col("line").contains(";"))
     key = ["file", "name", "tag_start", "end"]
     kept = sequences.leading_trimmed(inside, directive, key, ["pos"])

@@ -69,8 +69,8 @@ def as_of(probes: DataFrame, base: DataFrame, key: list[str], time: str, value:
     return both.withColumn(out, F.last("__value", ignorenulls=True).over(w)).where("__side = 0").drop("__side", "__value")
 
 
-def range_join(points: DataFrame, at: str, ranges: DataFrame, start: str, end: str, step: int) -> DataFrame:
-    """Points with every range that holds them, both bounds included.
+def range_join(points: DataFrame, at: str, ranges: DataFrame, start: str, end: str, step: int, on: tuple[str, ...] = ()) -> DataFrame:
+    """Points with every range (of equal ``on`` columns) that holds them, both bounds included.
 
     Ranges are cut into cells of ``step``, and points meet ranges by cell: an
     equality join, exact for any ``step``, and cheap if ranges are about a
@@ -78,7 +78,7 @@ def range_join(points: DataFrame, at: str, ranges: DataFrame, start: str, end: s
     """
     cell = lambda c: F.floor(F.col(c) / step)
     cells = ranges.where(F.col(start) <= F.col(end)).withColumn("__cell", F.explode(F.sequence(cell(start), cell(end))))
-    return points.withColumn("__cell", cell(at)).join(cells, "__cell").where(F.col(at).between(F.col(start), F.col(end))).drop("__cell")
+    return points.withColumn("__cell", cell(at)).join(cells, [*on, "__cell"]).where(F.col(at).between(F.col(start), F.col(end))).drop("__cell")
 
 
 def sessions(table: DataFrame, key: str, ts: str, gap: str = "600 seconds") -> DataFrame:
