@@ -371,3 +371,21 @@ def test_pipeline_stages(spark, sf_dir):
     rows = p.STAGES[-1][1](spark, kept, sf_dir).toPandas()
     assert rows.groupby("doc_id")["length"].sum().equals(rows.groupby("doc_id")["doc_tokens"].first().rename("length"))
     assert p.run(spark, sf_dir).count() == len(rows)
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    path = public_tokenizers.path
+    results = (
+        near_dedup.without_near_duplicates(empty),
+        media.text_media(empty),
+        licenses.scan_licenses(empty),
+        quality_classifier.keep_predicted(empty, labels),
+        quality_rules.keep_good(empty, labels),
+        pieces.encode_pieces(empty, path(queries.PIECE_MODEL)),
+        substrings.without_repeats(empty, substrings.repeated_passages(empty)),
+        token_counts.count_tokens(empty, path(queries.BPE_JSON)),
+        packing.pack_documents(empty, path(queries.BPE_JSON)),
+    )
+    assert [r.count() for r in results] == [0] * len(results)
