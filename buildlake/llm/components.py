@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from buildlake.llm.common import staged
 
-ROUNDS = 60
-
 
 def _fingerprint(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -18,13 +16,14 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node that each node of ``edges`` (a, b) reaches.
 
     Every round halves the distance to the least neighbour or better; each
-    round's edges are written to the shared folder. Only joins and partial
-    aggregates are used, so a node with any number of neighbours is no more
-    than many rows. Self links and repeated links are harmless.
+    round's edges are written to the shared folder, and the rounds go on until
+    one changes nothing. Only joins and partial aggregates are used, so a node
+    with any number of neighbours is no more than many rows. Self links and
+    repeated links are harmless.
     """
     links = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    state = _fingerprint(links)
-    for _ in range(ROUNDS if state[0] else 0):
+    state, before = _fingerprint(links), None
+    while state[0] and state != before:
         # large star: every larger neighbour of a node is linked with the node's least neighbour
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -33,9 +32,6 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b"))).distinct()
         links = staged(small, "links")
-        now = _fingerprint(links)
-        if now == state:
-            break
-        state = now
+        state, before = _fingerprint(links), state
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.union(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
