@@ -159,7 +159,7 @@ def media_tiles(images: DataFrame, id_col: str, bytes_col: str, side: int = 16)
                     if not image.size:
                         raise ValueError("no samples")
                     rows.append((image.shape[1], image.shape[0], 1 if image.ndim == 2 else image.shape[2], npy_tile(image, side), difference_hash(image), None))
-                except ValueError as e:
+                except (ValueError, IndexError, OverflowError) as e:  # whatever damaged headers or samples lead to
                     rows.append((None, None, None, None, None, str(e)))
             kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))] if rows else [batch.column(0), *(pa.array([], t) for t in kinds)], names=["id", "width", "height", "channels", "tile", "dhash", "error"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import io
 import itertools
 import re
 import zlib
@@ -389,3 +390,37 @@ def test_empty_tables(spark):
         packing.pack_documents(empty, path(queries.BPE_JSON)),
     )
     assert [r.count() for r in results] == [0] * len(results)
+
+
+def test_media_tiles_of_sound_and_damaged_images(spark):
+    rng = np.random.default_rng(6)
+    rgb, grey = rng.integers(0, 256, (20, 31, 3), np.uint8), rng.integers(0, 256, (40, 9), np.uint8)
+    palette = bytearray(media.encode_bmp(rgb[:2, :4]))
+    palette[28:30], palette[46:50] = (8).to_bytes(2, "little"), (1).to_bytes(4, "little")  # indices beyond the palette
+    sound = {1: media.encode_bmp(rgb), 2: media.encode_netpbm(rgb), 3: media.encode_netpbm(grey), 10: b"P5 1 1 255\n\x07"}
+    damaged = [None, b"", b"P", b"BM", b"GIF89a", b"P6 9 9 255\n", b"P5 0 4 255\n", b"P2 1 1 255\n99999999999999999999999", b"P2 1 1 255\nx", b"P5 99999999999 99999999999 255\n1", b"P5 2 2 70000\n", media.encode_bmp(rgb)[:100], bytes(palette)]
+    rows = [(i, b, "clash") for i, b in sound.items()] + [(100 + i, None if b is None else bytearray(b), None) for i, b in enumerate(damaged)] + [(None, bytearray(sound[1]), "x"), (1, sound[1], "again")]
+    images = spark.createDataFrame([(i, None if b is None else bytearray(b), t) for i, b, t in rows], "image long, data binary, tile string")
+    got = media.media_tiles(images, "image", "data", side=8).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        broken = r["id"] is not None and r["id"] >= 100
+        assert (r["error"] is not None) == broken and (r["tile"] is None) == broken and (r["dhash"] is None) == broken
+    one = {r["id"]: r for r in got}
+    assert (one[1]["width"], one[1]["height"], one[1]["channels"]) == (31, 20, 3) and (one[3]["width"], one[3]["channels"]) == (9, 1)
+    assert one[1]["tile"] == one[2]["tile"] and one[1]["dhash"] == one[2]["dhash"] == one[None]["dhash"]
+    tile = np.load(io.BytesIO(bytes(one[3]["tile"])))
+    assert tile.shape == (8, 8) and (tile == np.rint(media.area_resize(grey, 8, 8))).all()
+    assert media.media_tiles(images.limit(0), "image", "data").count() == 0
+
+
+def test_area_resize_equals_weighted_boxes():
+    rng = np.random.default_rng(9)
+    image = rng.integers(0, 256, (7, 10), np.uint8)
+
+    def weights(size, n):
+        edge = [i * size / n for i in range(n + 1)]
+        return np.array([[max(0.0, min(edge[k + 1], i + 1) - max(edge[k], i)) for i in range(size)] for k in range(n)]) * n / size
+
+    for h, w in ((3, 4), (7, 10), (9, 13), (1, 1)):
+        assert np.allclose(media.area_resize(image, h, w), weights(7, h) @ image @ weights(10, w).T)
