@@ -119,6 +119,16 @@ def matched_functions(functions: DataFrame, tags: DataFrame, order: list[str]) -
     return best.select(*functions.columns, "t.*")
 
 
+def first_gap_filled(rows: DataFrame, per: list[str], order: list[str], known: DataFrame) -> DataFrame:
+    """Line rows; the first one of each function without source text gets it from ``known`` (source_file, line_number, source_code)."""
+    gap = F.min_by(F.struct(*order), F.when(F.coalesce("source_code", F.lit("")) == "", F.struct(*order))).alias("__gap")
+    marked = rows.join(rows.groupBy(*per).agg(gap), per)
+    found = known.groupBy("source_file", "line_number").agg(F.min("source_code").alias("__found"))
+    joined = marked.join(found, ["source_file", "line_number"], "left")
+    here = F.coalesce(F.struct(*order) == F.col("__gap"), F.lit(False))
+    return joined.withColumn("source_code", F.when(here, F.coalesce("__found", F.lit(""))).otherwise(F.col("source_code"))).select(*rows.columns)
+
+
 def span_of_functions(rows: DataFrame, key: list[str], start: str, end: str) -> DataFrame:
     """Lowest and highest address of each function."""
     return rows.groupBy(*key).agg(F.min(F.least(start, end)).alias("first"), F.max(F.greatest(start, end)).alias("last"))

@@ -83,6 +83,16 @@ def repository_message(projects: DataFrame) -> DataFrame:
     )
 
 
+def repository_rows(messages: DataFrame) -> DataFrame:
+    """The inverse: messages as projects; there is no column for a fork."""
+    return messages.select(F.col("id").alias("_id"), "url", "owner_id", "name", "size")
+
+
+def console_record(fields: dict[str, Column]) -> Column:
+    """A record as ``label: value`` lines; nulls are empty."""
+    return F.concat_ws("\n", *[F.concat(F.lit(f"{label}: "), F.coalesce(value.cast("string"), F.lit(""))) for label, value in fields.items()])
+
+
 def export_document(table: DataFrame, name: str) -> DataFrame:
     """One JSON text a row, with the table's name: ready for a text sink of any size."""
     return table.select(F.lit(name).alias("table"), F.to_json(F.struct(*table.columns)).alias("row"))

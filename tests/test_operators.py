@@ -6,10 +6,11 @@ import io
 import json
 import zipfile
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from buildlake.functions import numbers, text, times
-from buildlake.operators import corpus, debuginfo, projects, sequences, source_text, tasks
+from buildlake.operators import corpus, debuginfo, hooks, projects, queues, sequences, source_text, tasks
 from buildlake.sources import crawl, files
 from buildlake.streaming import jobs
 
@@ -188,3 +189,44 @@ def test_columns(spark):
     assert row(times.console_epoch(F.lit("01/01/1970--00:01:5")), times.message_time(F.lit("x"))) == (65, None)
     assert row(text.unix_command(F.lit("cmake/make"), F.lit("/r")))[0].startswith("cd /r && cmake")
     assert row(text.build_systems(F.array(F.lit("Makefile"), F.lit("x/CMakeLists.txt")))) == ("cmake/make",)
+
+
+def test_strategy_stops_where_a_stage_fails(spark):
+    tasks_ = spark.createDataFrame([(i, f"r{i}") for i in range(6)], "task_id long, url string").repartition(2)
+
+    def clone(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"status": [2 if i == 1 else 3 for i in rows["task_id"]], "msg": "cloned"}, index=rows.index)
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        assert 1 not in set(rows["task_id"])
+        return pd.DataFrame({"status": [3 if i % 2 else 10 for i in rows["task_id"]], "msg": "built"}, index=rows.index)
+
+    def broken(rows: pd.DataFrame) -> pd.DataFrame:
+        raise RuntimeError("no tool")
+
+    got = {r["task_id"]: (r["stage"], r["status"], r["msg"]) for r in hooks.run_strategy(tasks_, {"clone": clone, "build": build}).collect()}
+    assert got[1] == ("clone", 2, "cloned") and got[3] == ("build", 3, "built") and got[4] == ("build", 10, "built") and len(got) == 6
+    assert {(r["status"], r["msg"]) for r in hooks.run_strategy(tasks_, {"clone": broken}).collect()} == {(2, "RuntimeError: no tool")}
+    assert {(r["stage"], r["status"]) for r in hooks.run_strategy(tasks_, {}).collect()} == {(None, 0)}
+    assert hooks.run_strategy(tasks_.limit(0), {"clone": clone}).count() == 0
+
+
+def test_analyses_and_predicates(spark):
+    table = spark.createDataFrame([("a.exe", bytearray(b"ab")), ("b.so", None), ("c.dll", bytearray(b"x"))], "file_name string, content binary")
+    rows = hooks.analysed(table, lambda name, blob: ((i, chr(c)) for i, c in enumerate(blob)), "at long, byte string").collect()
+    assert sorted(map(tuple, rows)) == [("a.exe", 0, "a"), ("a.exe", 1, "b"), ("c.dll", 0, "x")]
+    assert [r["file_name"] for r in hooks.accepted(table, lambda name: name.endswith(".so"), "file_name").collect()] == ["b.so"]
+
+
+def test_admission_boundaries(spark):
+    rows = [(i, "a", i // 3, 100) for i in range(30)] + [(100, "a", 0, 600), (101, "a", 0, 599), (102, None, 0, 1), (103, "b", 0, 700)]
+    table = spark.createDataFrame(rows, "id long, queue string, seq long, age long")
+    got = {r["id"]: r["verdict"] for r in queues.admission(table, "queue", ["seq", "id"], F.col("age"), capacity=5, buckets=4).collect()}
+    assert got[100] == got[103] == "expired" and [i for i in range(102) if got.get(i) == "queued"] == [0, 1, 2, 3, 101] and len(got) == len(rows)
+
+
+def test_commands(spark):
+    lines = spark.createDataFrame([("  progress ",), ("build a  b",), ("build a",), ("",), (None,), ("what now",)], "line string")
+    got = [(r["command"], r["args"], r["valid"]) for r in queues.parsed_commands(lines, "line", {"progress": 0, "build": 2}).collect()]
+    assert got[:3] == [("progress", [], True), ("build", ["a", "b"], True), ("build", ["a"], False)]
+    assert [g[2] for g in got[3:]] == [False] * 3
