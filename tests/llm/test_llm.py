@@ -424,3 +424,26 @@ def test_area_resize_equals_weighted_boxes():
 
     for h, w in ((3, 4), (7, 10), (9, 13), (1, 1)):
         assert np.allclose(media.area_resize(image, h, w), weights(7, h) @ image @ weights(10, w).T)
+
+
+def test_edited_passages_are_found(spark):
+    """Passages of 60 words, 10 of them replaced inside, all similar enough by construction: as good as all are found."""
+    rng = np.random.default_rng(31)
+    noise = lambda n: [f"v{rng.integers(1 << 40)}" for _ in range(n)]
+    rows, n = [], 200
+    for i in range(n):
+        passage = noise(60)
+        edited = passage.copy()
+        for j in rng.choice(58, 10, replace=False) + 1:
+            edited[j] = noise(1)[0]
+        rows += [(k, " ".join([*noise(40), *body, *noise(40)]), None, 1) for k, body in ((i, passage), (1000 + i, edited))]
+    got = {(r["doc_id"], r["ref_doc_id"]) for r in substrings.repeated_passages(spark.createDataFrame(rows, COLUMNS)).collect()}
+    assert got <= {(1000 + i, i) for i in range(n)} and len(got) >= 0.9 * n, len(got)
+
+
+def test_part_of_a_text_aligns_as_the_whole():
+    a = np.arange(400)
+    assert substrings.align(a, a, [200, 210], [200, 210]) == (0, 400, 0, 400, 400)
+    assert substrings.align(a[136:280], a, [64, 74], [200, 210], before=136, after=120) is None
+    b = np.concatenate([-a[:180], a[180:260], -a[260:]])
+    assert substrings.align(a[136:280], b, [64, 74], [200, 210], before=136, after=120) == (44, 124, 180, 260, 80)
