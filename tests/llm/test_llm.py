@@ -447,3 +447,15 @@ def test_part_of_a_text_aligns_as_the_whole():
     assert substrings.align(a[136:280], a, [64, 74], [200, 210], before=136, after=120) is None
     b = np.concatenate([-a[:180], a[180:260], -a[260:]])
     assert substrings.align(a[136:280], b, [64, 74], [200, 210], before=136, after=120) == (44, 124, 180, 260, 80)
+
+
+def test_passages_whose_sentences_are_older_are_found(spark):
+    """Two documents share a passage; each of its sentences, and each joint of two, is in an earlier document of its own."""
+    rng = np.random.default_rng(5)
+    noise = lambda n: [f"u{rng.integers(1 << 40)}" for _ in range(n)]
+    passage = noise(56)
+    parts = [(i, noise(40) + passage[i : i + 7] + noise(40), None, 1) for i in range(0, 50, 3)]
+    table = [*parts, (100, noise(30) + passage + noise(30), None, 1), (200, noise(50) + passage + noise(20), None, 1)]
+    rows = [(d, " ".join(w), s, n) for d, w, s, n in table]
+    got = [(r["doc_id"], r["ref_doc_id"], r["start_word"], r["end_word"]) for r in substrings.repeated_passages(spark.createDataFrame(rows, COLUMNS)).collect()]
+    assert got == [(200, 100, 50, 106)]
