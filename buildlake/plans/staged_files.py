@@ -166,6 +166,16 @@ def function_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(F.col("file_name").alias("doc_id"), F.decode("span", "utf-8").alias("span")).join(docs.select("doc_id", "n_chars"), "doc_id")
 
 
+@query("SELECT doc_id, substr(hex(encode(text)), 21, 40) AS span, n_chars FROM documents")
+def function_bytes_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The span of ``function_bytes`` from all documents, whatever their language and characters: bytes in hex."""
+    docs = roles.load(spark, sf_dir, "documents")
+    images = docs.select(F.col("doc_id").alias("file_name"), F.encode("text", "utf-8").alias("content"))
+    segments = F.array(*[F.struct(F.lit(s).alias("start"), F.lit(e).alias("end")) for s, e in ((10, 15), (18, 30))])
+    cut = corpus.function_bytes(docs.select(F.col("doc_id").alias("file_name"), F.lit("f").alias("name"), segments.alias("segments")), images)
+    return cut.select(F.col("file_name").alias("doc_id"), F.hex("span").alias("span")).join(docs.select("doc_id", "n_chars"), "doc_id")
+
+
 @query("SELECT 4320 AS repositories, 30 AS windows, count(DISTINCT k % 5) AS systems FROM range(4320) t(k)")
 def crawled_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = crawl.crawl(spark, 1_704_067_200, 1_706_659_200)
