@@ -137,6 +137,19 @@ def name_match_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("p_partkey", F.lower(last).alias("t")).join(tags, "t").select("p_partkey", "matched")
 
 
+@query(
+    r"""SELECT p_partkey, matched FROM (SELECT p_partkey, lower(list_extract(string_split(p_name, ' '), -1)) AS t FROM part) p
+    JOIN (SELECT lower(list_extract(string_split(p_name, ' '), -1)) AS t, min(p_brand || '::' || list_extract(string_split(p_name, ' '), -1)) AS matched FROM part GROUP BY 1) b USING (t)"""
+)
+def name_match_ci_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``name_match_ci`` with the tags of all parts."""
+    last = F.element_at(F.split("p_name", " "), -1)
+    part = _load(spark, sf_dir, "part")
+    tags = part.select(F.concat("p_brand", F.lit("::"), last).alias("k")).distinct()
+    tags = tags.groupBy(F.lower(text.unqualified(F.col("k"))).alias("t")).agg(F.min("k").alias("matched"))
+    return part.select("p_partkey", F.lower(last).alias("t")).join(tags, "t").select("p_partkey", "matched")
+
+
 @query(
     r"""SELECT page_id, CASE WHEN mode IN ('Release', 'Debug') THEN 'msbuild /property:Configuration=' || mode ELSE 'msbuild' END || ' /property:Platform=' || library
     || CASE WHEN toolset IN ('v140', 'v141') THEN ' /p:WindowsTargetPlatformVersion= ' ELSE '' END || ' ''' || url || '''' AS command FROM (

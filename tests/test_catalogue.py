@@ -40,3 +40,11 @@ def test_byte_spans_of_all_documents(spark, sf_dir):
     got = {r["doc_id"]: r["span"] for r in catalogue.QUERIES["function_bytes_hex"](spark, sf_dir).collect()}
     assert got == {d: t.encode()[10:30].hex().upper() for d, t in texts.items()}
     assert any(not t[:40].isascii() for t in texts.values())
+
+
+def test_every_part_matches_its_name(spark, tmp_path):
+    rows = [(1, "a Rose", "B#2"), (2, "b rose", "B#1"), (3, "c lily", "B#3"), (4, "d LILY", "B#1")]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r["p_partkey"]: r["matched"] for r in catalogue.QUERIES["name_match_ci_all"](spark, str(tmp_path)).collect()}
+    assert got == {1: "B#1::rose", 2: "B#1::rose", 3: "B#1::LILY", 4: "B#1::LILY"}
+    assert len(catalogue.QUERIES["name_match_ci"](spark, str(tmp_path)).collect()) == 2  # its SQL has the tags of every third part only
