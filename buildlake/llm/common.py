@@ -19,6 +19,14 @@ def doc_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
+def free_name(name: str, frame: DataFrame) -> str:
+    """``name``, longer where ``frame`` has a column of that name."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def filled(batch: pa.RecordBatch, text_col: str) -> pa.Array:
     """The text column of a batch, empty where it is null."""
     return pc.fill_null(batch.column(batch.schema.names.index(text_col)), "")
