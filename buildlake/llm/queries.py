@@ -50,8 +50,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``spark.buildlake.tokenCache``: a folder whose counts are kept from run to run; else each run has a new one."""
     path = public_tokenizers.path
-    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path(BPE_JSON), path(BPE_RANKS))
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path(BPE_JSON), path(BPE_RANKS), spark.conf.get("spark.buildlake.tokenCache", None))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,9 @@
 A cache is a table of (version, digest, n_tokens) in a shared folder. Contents
 are digested in the JVM; distinct digests that the cache lacks are encoded
 once, whatever the number of copies, and appended; all rows then get their
-count by a join. Texts move only for misses, by one shuffle on unique ids, so a
-text that a third of the rows share weighs as much as any other.
+count by a join. Texts move only for misses, by one shuffle on ids and digests.
+The counts of all digests are written before the last join, which so has two
+plain sides: a digest that a third of the rows share can be split at run time.
 """
 
 from __future__ import annotations
@@ -22,10 +23,14 @@ from buildlake.llm.tokens import load
 CACHE = "digest binary, n_tokens long"
 
 
-def version_digest(path: str) -> str:
-    """Digest of the tokenizer's file: another file never reads this one's counts."""
-    with open(path, "rb") as f:
-        return hashlib.file_digest(f, "sha256").hexdigest()
+def version_digest(path: str, ranks: str | None = None) -> str:
+    """Digest of the tokenizer's files: others never read these ones' counts."""
+    out = hashlib.sha256()
+    for name in (path, ranks):
+        if name:
+            with open(name, "rb") as f:
+                out.update(hashlib.file_digest(f, "sha256").digest())
+    return out.hexdigest()
 
 
 def cached_counts(spark: SparkSession, cache: str, version: str) -> DataFrame:
@@ -37,13 +42,18 @@ def cached_counts(spark: SparkSession, cache: str, version: str) -> DataFrame:
 
 
 def encode_misses(texts: DataFrame, path: str, ranks: str | None) -> DataFrame:
-    """(digest, n_tokens) of (digest, text)."""
+    """(digest, n_tokens) of (digest, text); rows that repeat the one before are encoded once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path, ranks)
+        tokenizer, last = load(path, ranks), None
         for batch in batches:
-            counts = pa.array([tokenizer.count(t.as_py()) for t in batch.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), counts], names=["digest", "n_tokens"])
+            digests, counts = [], []
+            for digest, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if digest != last:
+                    digests.append(digest)
+                    counts.append(tokenizer.count(text.as_py()))
+                last = digest
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
 
     return texts.select("digest", "text").mapInArrow(work, CACHE)
 
@@ -60,14 +70,15 @@ def count_tokens(docs: DataFrame, path: str, ranks: str | None = None, cache: st
     """
     spark = docs.sparkSession
     cache = cache or shared_dir(spark, "token-cache")
-    version = version_digest(path)
+    version = version_digest(path, ranks)
     texts = doc_texts(docs, id_col, text_col)
     digest = F.unhex(F.sha2(F.col("text"), 256))
     keys = staged(texts.select("doc_id", digest.alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")), "digests")
-    # one row to read each missing content from
+    # one id to read each missing content from
     distinct = keys.groupBy("digest").agg(F.min(F.coalesce("doc_id", F.lit(-1 << 63))).alias("key"))
-    misses = distinct.join(cached_counts(spark, cache, version), "digest", "left_anti")
-    found = texts.withColumn("key", F.coalesce("doc_id", F.lit(-1 << 63))).drop("doc_id").join(misses, "key").where(digest == F.col("digest"))
+    misses = staged(distinct.join(cached_counts(spark, cache, version), "digest", "left_anti"), "misses")
+    found = texts.select(F.coalesce("doc_id", F.lit(-1 << 63)).alias("key"), digest.alias("digest"), "text").join(misses, ["key", "digest"])
     encode_misses(found, path, ranks).write.mode("append").parquet(f"{cache}/version={version}")
-    counted = keys.join(cached_counts(spark, cache, version), "digest")
+    counts = staged(keys.select("digest").distinct().join(cached_counts(spark, cache, version), "digest"), "counts")
+    counted = keys.join(counts, "digest")
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

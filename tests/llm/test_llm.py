@@ -307,7 +307,7 @@ def test_token_counts_and_cache(spark, docs, texts, awkward, tmp_path):
     for _ in range(2):  # the second time from the cache
         got = by_id(token_counts.count_tokens(docs, path, ranks, cache))
         assert all(got[d]["n_tokens"] == len(library.encode(t, add_special_tokens=False).ids) and got[d]["n_bytes"] == len(t.encode()) for d, t in texts.items())
-    assert token_counts.cached_counts(spark, cache, token_counts.version_digest(path)).count() == len(set(texts.values()))
+    assert token_counts.cached_counts(spark, cache, token_counts.version_digest(path, ranks)).count() == len(set(texts.values()))
     assert token_counts.count_tokens(awkward, path, ranks).count() == len(AWKWARD)
 
 
