@@ -3,10 +3,11 @@
 The automaton of all templates is built once (its size is linear in their
 words) and streamed over every file: for each word it gives the matching
 statistic, the longest run ending there that occurs in some template. Maximal
-long matches are chained, in order in file and template, into covered spans.
-Words outside the templates' vocabulary reset the automaton, so only runs of
-vocabulary words that are long enough are walked in Python; everything before
-that is one vectorised pass.
+matches, long for their template, are chained, in order in file and template,
+into covered spans; of templates that differ in a version only, the span with
+the larger share stays. Two neighbours that no template holds reset the
+automaton, so only runs of the templates' word pairs are walked in Python;
+everything before that is one vectorised pass.
 """
 
 from __future__ import annotations
@@ -40,12 +41,31 @@ TEMPLATES = {
     "cc-by-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
 }
 
-MIN_MATCH = 6
-"""Words of a match that counts as long."""
+# fixed values: licences as one-line notices name them
+NAMES = {
+    "agpl-3.0": "the GNU Affero General Public License, version 3",
+    "apache-2.0": "the Apache License, Version 2.0",
+    "bsd-2-clause": "the BSD 2-Clause License",
+    "bsd-3-clause": "the BSD 3-Clause License",
+    "gpl-2.0": "the GNU General Public License, version 2",
+    "gpl-3.0": "the GNU General Public License, version 3",
+    "isc": "the ISC License",
+    "lgpl-2.1": "the GNU Lesser General Public License, version 2.1",
+    "lgpl-3.0": "the GNU Lesser General Public License, version 3",
+    "mit": "the MIT License",
+    "mpl-2.0": "the Mozilla Public License, version 2.0",
+    "unlicense": "the Unlicense",
+}
+for _kind in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd"):
+    NAMES |= {f"cc-{_kind}-{_version}": f"CC {_kind} {_version}" for _version in ("3.0", "4.0")}
+TEMPLATES |= {label: f"under {name}" for label, name in NAMES.items()}
+
+LONG_MATCH = 6
+"""Words of a match that counts as long, or half a template's where that is less, two at least."""
 MAX_GAP = 24
-"""Words, in file or template, between two matches of a chain."""
-COVERED = 0.6
-"""Share of a template's words that a chain must cover for its label."""
+"""Words, in file or template, between two matches of a chain, or half a template's where that is less."""
+SHORT, COVERED, SHORT_COVERED = 20, 0.6, 0.8
+"""Share that a chain must cover for its label: of a template of fewer than ``SHORT`` words, and of a longer one."""
 
 
 def plain_words(text: str) -> list[str]:
@@ -59,12 +79,12 @@ def word_hashes(words: list[str]) -> np.ndarray:
 
 @dataclass
 class Automaton:
-    """States of a generalised suffix automaton; ``ends[s]``: template to the first end of the state's strings in it."""
+    """States of a generalised suffix automaton; ``ends[s]``: template to all ends of the state's strings in it."""
 
     next: list[dict[int, int]]
     link: list[int]
     length: list[int]
-    ends: list[dict[int, int]]
+    ends: list[dict[int, list[int]]]
 
 
 def build_automaton(sequences: list[list[int]]) -> Automaton:
@@ -107,8 +127,8 @@ def build_automaton(sequences: list[list[int]]) -> Automaton:
         at = 0
         for end, c in enumerate(sequence, 1):
             at = up = a.next[at][c]
-            while up > 0 and t not in a.ends[up]:
-                a.ends[up][t] = end
+            while up > 0:
+                a.ends[up].setdefault(t, []).append(end)
                 up = a.link[up]
     return a
 
@@ -126,33 +146,43 @@ def matching_statistics(a: Automaton, ids: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def long_matches(a: Automaton, ids: np.ndarray, least: int = MIN_MATCH) -> list[tuple[int, int, int]]:
-    """(end in file, length, state) of matches of ``least`` words that can't be extended to the right; ids under 0 are unknown."""
-    known = np.concatenate([[False], ids >= 0, [False]])
-    edges = np.flatnonzero(known[1:] != known[:-1])
-    out = []
-    for b, e in zip(edges[::2], edges[1::2], strict=True):
-        if e - b < least:
-            continue
-        stats = matching_statistics(a, ids[b:e].tolist())
-        for i, (n, at) in enumerate(stats):
-            if n >= least and (i + 1 == len(stats) or stats[i + 1][0] != n + 1):
-                out.append((int(b) + i + 1, n, at))
+def long_matches(a: Automaton, ids: np.ndarray, pairs: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
+    """By template: (end in file, length, state) of its matches of two words or more that can't be extended to the right.
+
+    ``pairs[x, y]``: whether some template holds word y behind x; ids under 0 are unknown.
+    """
+    known = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+    held = np.zeros(len(ids) + 1, bool)
+    held[known + 1] = pairs[ids[known], ids[known + 1]]  # whether a word goes on from the one before
+    edges = np.flatnonzero(held[1:] != held[:-1])
+    out: dict[int, list[tuple[int, int, int]]] = {}
+    for b, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        open_ones: dict[int, tuple[int, int]] = {}
+        for i, (n, at) in enumerate([*matching_statistics(a, ids[b : e + 1].tolist()), (0, 0)]):
+            here: dict[int, tuple[int, int]] = {}  # the longest suffix that each template holds
+            while at > 0:
+                for t in a.ends[at]:
+                    here.setdefault(t, (min(n, a.length[at]), at))
+                at = a.link[at]
+            for t, (m, state) in open_ones.items():
+                if m > 1 and here.get(t, (0, 0))[0] != m + 1:
+                    out.setdefault(t, []).append((b + i, m, state))
+            open_ones = here
     return out
 
 
-def chains(matches: list[tuple[int, int, int]], a: Automaton, template: int, max_gap: int = MAX_GAP) -> list[tuple[int, int, int]]:
-    """(start, end, covered words) of the best chains over one template, in order and apart from each other."""
-    items = []
-    for end, n, at in matches:
-        if template in a.ends[at]:
-            items.append((end - n, end, a.ends[at][template] - n, a.ends[at][template]))
+def chains(matches: list[tuple[int, int, int]], a: Automaton, template: int, least: int = 2, max_gap: int = MAX_GAP) -> list[tuple[int, int, int]]:
+    """(start, end, covered words) of the best chains over one template, in order and apart from each other.
+
+    A match counts from ``least`` words on, at each of its places in the template.
+    """
+    items = sorted((end, end - n, t - n, t) for end, n, at in matches if n >= least for t in a.ends[at][template])
     best: list[tuple[int, int]] = []  # covered words and start of the best chain ending in the item
     out: list[tuple[int, int, int]] = []
-    for i, (b, e, tb, te) in enumerate(items):
+    for i, (e, b, tb, te) in enumerate(items):
         covered, start = e - b, b
         for j in range(i - 1, -1, -1):
-            pb, pe, ptb, pte = items[j]
+            pe, pb, ptb, pte = items[j]
             if b - pe > max_gap:
                 break  # items are in the order of their ends
             if pb < b and ptb < tb and pte <= te and tb - pte <= max_gap:
@@ -160,12 +190,10 @@ def chains(matches: list[tuple[int, int, int]], a: Automaton, template: int, max
                 if fresh > 0 and best[j][0] + fresh > covered:
                     covered, start = best[j][0] + fresh, best[j][1]
         best.append((covered, start))
-        if out and start < out[-1][1]:
-            if covered > out[-1][2]:
-                out[-1] = (start, e, covered)
-        else:
+    for (e, *_), (covered, start) in sorted(zip(items, best, strict=True), key=lambda x: (-x[1][0], x[0][0] - x[1][1], x[0][0])):
+        if all(e <= s or start >= t for s, t, _ in out):
             out.append((start, e, covered))
-    return out
+    return sorted(out)
 
 
 SCANNED = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<label: string, start: long, end: long, coverage: double>>"
@@ -176,18 +204,26 @@ class Scanner:
     """Templates and phrases, compiled; small, so it travels in the task's closure."""
 
     vocabulary: np.ndarray
+    pairs: np.ndarray
     automaton: Automaton
     templates: list[tuple[str, int]]
     phrases: list[tuple[list[int], str]]
-    covered: float
+    covered: float | None
 
     @classmethod
-    def compile(cls, templates: dict[str, str], phrases: dict[str, str], covered: float = COVERED) -> Scanner:
+    def compile(cls, templates: dict[str, str], phrases: dict[str, str], covered: float | None = None) -> Scanner:
         texts = {k: plain_words(t) for k, t in templates.items()}
         base = {p: plain_words(p) for p in phrases}
         vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *[word_hashes(w) for w in [*texts.values(), *base.values()] if w]]))
         ids = lambda w: np.searchsorted(vocabulary, word_hashes(w)).tolist()
-        return cls(vocabulary, build_automaton([ids(w) for w in texts.values()]), [(k, len(w)) for k, w in texts.items()], [(ids(w), phrases[p]) for p, w in base.items()], covered)
+        sequences = [ids(w) for w in texts.values()]
+        pairs = np.zeros((len(vocabulary), len(vocabulary)), bool)
+        for s in sequences:
+            pairs[s[:-1], s[1:]] = True
+        return cls(vocabulary, pairs, build_automaton(sequences), [(k, len(w)) for k, w in texts.items()], [(ids(w), phrases[p]) for p, w in base.items()], covered)
+
+    def needed(self, size: int) -> float:
+        return self.covered if self.covered is not None else COVERED if size >= SHORT else SHORT_COVERED
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.vocabulary):
@@ -217,25 +253,30 @@ class Scanner:
                     base.add(label)
                     first = int(places[0]) if first is None else min(first, int(places[0]))
                     last = int(places[-1]) if last is None else max(last, int(places[-1]))
-            matches = long_matches(self.automaton, doc)
-            for t, (label, size) in enumerate(self.templates if matches else []):
-                for start, end, covered in chains(matches, self.automaton, t):
-                    share = min(1.0, covered / size)
+            matches = long_matches(self.automaton, doc, self.pairs)
+            for t in sorted(matches):
+                label, size = self.templates[t]
+                for start, end, covered in chains(matches[t], self.automaton, t, max(2, min(LONG_MATCH, size // 2)), max(2, min(MAX_GAP, size // 2))):
+                    share = covered / max(size, end - start)
                     score = max(score, share)
-                    if share >= self.covered:
-                        found.add(label)
+                    if share >= self.needed(size):
                         spans.append((label, start, end, share))
-        score = max(score, 0.5) if base else score
+            # versions of one notice: what a closer one covers as well is that one's
+            spans = [s for s in spans if not any(o[1] <= s[1] and s[2] <= o[2] and o[3] > s[3] for o in spans)]
+            found = {s[0] for s in spans}
         return n, first, last, ",".join(sorted(base)), ",".join(sorted(base | found)), score, [dict(zip(("label", "start", "end", "coverage"), s, strict=True)) for s in sorted(spans, key=lambda s: (s[1], s[2], s[0]))]
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, covered: float = COVERED) -> DataFrame:
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, covered: float | None = None) -> DataFrame:
     """Base phrases, template spans and labels of every whole text.
 
-    A template's label is given where a chain covers ``covered`` of its words.
-    score: the best chain's share of its template, at least 0.5 with a base
-    phrase, 0 with nothing. Null and empty texts have no words, null places and
-    empty labels; repeated rows get equal results; other columns are ignored.
+    A template's label is given where a chain covers enough of its words:
+    ``covered``, or by default 0.6 of a long and 0.8 of a short template's.
+    spans: all such places. score: the largest share that a chain covers of its
+    template (of its own words, if those are more), 0 without any. Null and
+    empty texts have no words, null places, empty labels and score 0; repeated
+    rows get equal results; other columns are ignored; an empty table gives an
+    empty result.
     """
     scanner = Scanner.compile(TEMPLATES if templates is None else templates, PHRASES if phrases is None else phrases, covered)
     span = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("coverage", pa.float64())]))
