@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from buildlake.llm.common import doc_texts
 
 ROW = 192
+BAND = 1 << 20
+"""Samples that are summed up at once."""
 _TOKEN = re.compile(rb"(?:\s|#[^\n\r]*[\n\r])*([0-9]+)")
 
 
@@ -78,9 +80,13 @@ def _netpbm(data: bytes) -> np.ndarray:
 
 def _bmp(data: bytes) -> np.ndarray:
     num = lambda at, n=4, signed=False: int.from_bytes(data[at : at + n], "little", signed=signed)
+    if num(14) < 40:
+        raise ValueError("BMP header of an older kind")
     start, w, h, bits, packed = num(10), num(18, signed=True), num(22, signed=True), num(28, 2), num(30)
     if packed not in (0, 3) or bits not in (1, 4, 8, 24, 32) or w <= 0 or h == 0:
         raise ValueError("BMP variant is not supported")
+    if packed == 3 and (bits != 32 or [num(54), num(58), num(62)] != [0xFF0000, 0xFF00, 0xFF]):
+        raise ValueError("BMP bit fields are not supported")
     stride = (w * bits + 31) // 32 * 4
     rows = np.frombuffer(data, np.uint8, stride * abs(h), start).reshape(abs(h), stride)
     if bits <= 8:
@@ -106,24 +112,41 @@ def decode(data: bytes) -> np.ndarray:
     raise ValueError("neither Netpbm nor BMP")
 
 
-def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Box means as float, by an integral image; works for shrinking and enlarging."""
-    grey = image.ndim == 2
-    x = image[:, :, None] if grey else image
-    integral = np.zeros((x.shape[0] + 1, x.shape[1] + 1, x.shape[2]), np.int64)
-    np.cumsum(x, axis=0, dtype=np.int64, out=integral[1:, 1:])
-    np.cumsum(integral[1:, 1:], axis=1, out=integral[1:, 1:])
+def area_resize(image: np.ndarray, height: int, width: int, band: int = BAND) -> np.ndarray:
+    """Box means as float, by an integral image; works for shrinking and enlarging.
 
-    def at(axis_len: int, n: int, table: np.ndarray, axis: int) -> np.ndarray:
-        edge = np.arange(n + 1) * axis_len / n
-        low = np.minimum(edge.astype(np.int64), axis_len - 1)
-        part = (edge - low).reshape((-1, 1, 1) if axis == 0 else (1, -1, 1))
-        return table.take(low, axis) * (1 - part) + table.take(low + 1, axis) * part
-
-    corners = at(x.shape[1], width, at(x.shape[0], height, integral, 0), 1)
+    Only the rows of the integral image that box edges touch are kept; the
+    others are summed up ``band`` samples at a time.
+    """
+    flat = image.ndim == 2
+    x = image[:, :, None] if flat else image
+    rows, columns, depth = x.shape
+
+    def edges(size: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        edge = np.arange(n + 1) * size / n
+        low = np.minimum(edge.astype(np.int64), size - 1)
+        return low, edge - low
+
+    low, part = edges(rows, height)
+    needed = np.unique(np.concatenate([low, low + 1]))
+    kept = np.zeros((len(needed), columns + 1, depth), np.int64)
+    run = np.zeros((columns, depth), np.int64)
+    step = max(1, band // (columns * depth))
+    for at in range(0, rows, step):
+        sums = np.cumsum(x[at : at + step], axis=0, dtype=np.int64) + run
+        here = slice(*np.searchsorted(needed, [at + 1, at + len(sums) + 1]))
+        kept[here, 1:] = sums[needed[here] - at - 1]
+        run = sums[-1]
+    np.cumsum(kept[:, 1:], axis=1, out=kept[:, 1:])
+    at = np.searchsorted(needed, low)
+    part = part[:, None, None]
+    strips = kept[at] * (1 - part) + kept[at + 1] * part
+    low, part = edges(columns, width)
+    part = part[None, :, None]
+    corners = strips[:, low] * (1 - part) + strips[:, low + 1] * part
     sums = corners[1:, 1:] - corners[:-1, 1:] - corners[1:, :-1] + corners[:-1, :-1]
-    out = sums / (x.shape[0] / height * x.shape[1] / width)
-    return out[:, :, 0] if grey else out
+    out = sums / (rows / height * columns / width)
+    return out[:, :, 0] if flat else out
 
 
 def grey(image: np.ndarray) -> np.ndarray:
@@ -168,36 +191,38 @@ def media_tiles(images: DataFrame, id_col: str, bytes_col: str, side: int = 16)
     return images.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{bytes_col}`").cast("binary").alias("b")).mapInArrow(work, f"id {kind}, width int, height int, channels int, tile binary, dhash string, error string")
 
 
-def text_image(payload: bytes) -> bytes:
-    """A payload of a multiple of 192 bytes as a PPM of 64 RGB pixels a row."""
-    return encode_netpbm(np.frombuffer(payload, np.uint8).reshape(-1, 64, 3))
+def text_image(payload: bytes) -> tuple[str, bytes]:
+    """(format, bytes) of a payload of a multiple of 192 bytes, 64 RGB pixels a row: BMP for an odd number of rows, else PPM."""
+    image = np.frombuffer(payload, np.uint8).reshape(-1, 64, 3)
+    return ("bmp", encode_bmp(image)) if len(image) % 2 else ("ppm", encode_netpbm(image))
 
 
-STORED = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary"
+STORED = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, format string, tile_crc32 long, tile binary"
 
 
 def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", side: int = 16) -> DataFrame:
-    """Each whole text stored as a PPM image, read back, and described.
+    """Each whole text stored as a BMP or PPM image, read back, and described.
 
     The payload is the text's UTF-8 bytes and spaces up to a positive multiple
     of 192 (a null text is empty: one row of spaces). payload_* are of the
-    samples that the decoder gives back, media_* of the encoded image;
-    feature is the difference hash, tile an NPY tile. Equal texts give equal
-    values; repeated rows are repeated; other columns are ignored.
+    samples that the decoder gives back, media_* of the encoded image in its
+    format; feature is the difference hash, tile an NPY tile. Equal texts give
+    equal values; repeated rows are repeated; other columns are ignored; an
+    empty table gives an empty result.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in STORED.split(", ")][1:]
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), *(pa.string(),) * 3, pa.int64(), pa.binary())
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part, rows = batch.slice(at, 512), []
                 for text in part.column(1):
                     raw = text.as_py().encode()
-                    stored = text_image(raw + b" " * (-len(raw) % ROW or (0 if raw else ROW)))
+                    kind, stored = text_image(raw + b" " * (-len(raw) % ROW or (0 if raw else ROW)))
                     image = decode(stored)
-                    back = image.tobytes()
-                    rows.append((len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), difference_hash(image), npy_tile(image, side)))
+                    back, tile = image.tobytes(), npy_tile(image, side)
+                    rows.append((len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), difference_hash(image), kind, zlib.crc32(tile), tile))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], names=["doc_id", *names])
 
     return doc_texts(docs, id_col, text_col).mapInArrow(work, STORED)
