@@ -141,12 +141,18 @@ class PieceModel:
         return np.where(some, begin[first], at_edge), np.where(some, end[last], at_edge)
 
     def _unknown(self, norm: bytes, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Unknown pieces reach to where the next known piece's bytes are found."""
+        """Unknown pieces reach to where the next known piece's bytes are found; of several in a row all but the last are one character."""
         at = 0
         for i, size in enumerate(n.tolist()):
             if size < 0:
-                known = next((j for j in range(i + 1, len(n)) if n[j] > 0), None)
-                to = len(norm) if known is None else norm.index(self.processor.id_to_piece(int(ids[known])).encode(), at + 1)
+                known = next((j for j in range(i + 1, len(n)) if self.lengths[ids[j]] > 0), None)
+                if i + 1 < len(n) and self.lengths[ids[i + 1]] < 0:
+                    to = next((j for j in range(at + 1, len(norm)) if norm[j] & 0xC0 != 0x80), len(norm))
+                elif known is None:
+                    to = len(norm)
+                else:
+                    to = norm.find(self.processor.id_to_piece(int(ids[known])).encode(), at + 1)
+                    to = len(norm) if to < 0 else to
                 n[i] = to - at
             at += int(n[i])
         return n
