@@ -96,6 +96,18 @@ class AttentionModel:
         z = np.add.reduceat(weight[:, None] * h, ptr[:-1])
         return bag, h, t, s, weight, z, 1 / (1 + np.exp(-(z @ self.c + self.d)))
 
+    def gradients(self, x: np.ndarray, ptr: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+        """Of the mean cross entropy of the bags' labels, in the order of the weights from w1 on."""
+        bag, h, t, s, weight, z, score = self.forward(x, ptr)
+        g = (score - labels) / len(labels)
+        dz = g[:, None] * self.c
+        dw = (h * dz[bag]).sum(1)
+        de = weight * (dw - np.add.reduceat(weight * dw, ptr[:-1])[bag])
+        dt, ds = de[:, None] * self.a * s * (1 - t * t), de[:, None] * self.a * t * s * (1 - s)
+        dh = weight[:, None] * dz[bag] + dt @ self.v.T + ds @ self.u.T
+        dpre = dh * (1 - h * h)
+        return [((x - self.mean) / self.scale).T @ dpre, dpre.sum(0), h.T @ dt, h.T @ ds, (t * s).T @ de, z.T @ g, np.array([g.sum()])]
+
     def scores(self, x: np.ndarray, ptr: np.ndarray) -> np.ndarray:
         return self.forward(x, ptr)[-1] if len(ptr) > 1 else np.zeros(0)
 
@@ -114,17 +126,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, branch:
             some = order[at : at + batch]
             x = np.concatenate([bags[i] for i in some])
             ptr = np.concatenate([[0], np.cumsum([len(bags[i]) for i in some])])
-            w1, b1, v, u, a, c, d = p
-            bag, h, t, s, weight, z, score = AttentionModel(mean, scale, w1, b1, v, u, a, c, d).forward(x, ptr)
-            g = (score - labels[some]) / len(some)
-            dz = g[:, None] * c
-            dh = weight[:, None] * dz[bag]
-            dw = (h * dz[bag]).sum(1)
-            de = weight * (dw - np.add.reduceat(weight * dw, ptr[:-1])[bag])
-            dt, ds = de[:, None] * a * s * (1 - t * t), de[:, None] * a * t * s * (1 - s)
-            dh += dt @ v.T + ds @ u.T
-            dpre = dh * (1 - h * h)
-            grads = [((x - mean) / scale).T @ dpre, dpre.sum(0), h.T @ dt, h.T @ ds, (t * s).T @ de, z.T @ g, np.array([g.sum()])]
+            grads = AttentionModel(mean, scale, *p).gradients(x, ptr, labels[some])
             step += 1
             lr = rate * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
             for k, grad in enumerate(grads):
