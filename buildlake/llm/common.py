@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,22 +28,32 @@ def free_name(name: str, frame: DataFrame) -> str:
     return name
 
 
+def text_key(raw: bytes | memoryview) -> int:
+    """60 bits of a text's SHA-256: with its id it names a row's content."""
+    return int(hashlib.sha256(raw).hexdigest()[:15], 16)
+
+
+def text_key_of(text: Column) -> Column:
+    """``text_key`` as a column expression."""
+    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
+
+
 def filled(batch: pa.RecordBatch, text_col: str) -> pa.Array:
     """The text column of a batch, empty where it is null."""
     return pc.fill_null(batch.column(batch.schema.names.index(text_col)), "")
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that the cluster shares (``spark.checkpoint.dir``).
+    """A new path below the folder that the cluster shares: ``spark.checkpoint.dir``, or else the session's checkpoint folder.
 
-    Only where neither the setting nor a checkpoint folder exists (tests), a
-    temporary folder is made and registered as the checkpoint folder.
+    Only a local session, where all is one machine, gets a temporary one if neither is set.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().getOrElse(None)
+    if base is None and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if base is None:
-        base = tempfile.mkdtemp(prefix="buildlake-")
-        sc.setCheckpointDir(base)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="buildlake-"))
         base = sc._jsc.sc().getCheckpointDir().get()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -17,19 +17,20 @@ def components(edges: DataFrame) -> DataFrame:
 
     Every round halves the distance to the least neighbour or better; each
     round's edges are written to the shared folder, and the rounds go on until
-    one changes nothing. Only joins and partial aggregates are used, so a node
-    with any number of neighbours is no more than many rows. Self links and
-    repeated links are harmless.
+    one changes nothing. Least neighbours are written before they are joined: a
+    node with any number of neighbours is many rows of a join with two plain
+    sides, which can be split at run time. Self links and repeated links are
+    harmless.
     """
     links = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     state, before = _fingerprint(links), None
     while state[0] and state != before:
         # large star: every larger neighbour of a node is linked with the node's least neighbour
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+        large = staged(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "large")
         # small star: a node and its smaller neighbours are linked with the least of them
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = staged(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b"))).distinct()
         links = staged(small, "links")
         state, before = _fingerprint(links), state

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from buildlake.llm.common import doc_texts, staged
+from buildlake.llm.common import doc_texts, free_name, staged, text_key, text_key_of
 from buildlake.llm.components import components
 from buildlake.llm.words import WHITE, batch_words, mix, shingles, string_buffers, words_of
 
@@ -111,22 +111,23 @@ def plausible(a: np.ndarray, b: np.ndarray, threshold: float, miss: float) -> np
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, set_id, n_shingles, sig) of each row; sig only for a set's first row in a slice of a batch."""
+    """(doc_id, text_key, set_id, n_shingles, sig) of each row; sig only for a set's first row in a slice of a batch."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, w in batch_words(batch.column(1)):
-                ids, sizes, sigs, seen = [], [], [], set()
+                raw, keys, ids, sizes, sigs, seen = memoryview(w.data), [], [], [], [], set()
                 for i in range(len(w.ptr) - 1):
                     s = shingle_set(w.hashes[w.ptr[i] : w.ptr[i + 1]], k)
                     digest = set_digest(s) if len(s) else None
+                    keys.append(text_key(raw[w.offsets[i] : w.offsets[i + 1]]))
                     ids.append(digest)
                     sizes.append(len(s))
                     sigs.append(None if digest is None or digest in seen else signature(s).tobytes())
                     seen.add(digest)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(ids)), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())], names=["doc_id", "set_id", "n_shingles", "sig"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(ids)), pa.array(keys, pa.int64()), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())], names=["doc_id", "text_key", "set_id", "n_shingles", "sig"])
 
-    return docs.mapInArrow(work, "doc_id long, set_id binary, n_shingles long, sig binary")
+    return docs.mapInArrow(work, "doc_id long, text_key long, set_id binary, n_shingles long, sig binary")
 
 
 def _buckets(signed: DataFrame) -> DataFrame:
@@ -140,7 +141,12 @@ def _buckets(signed: DataFrame) -> DataFrame:
 
     banded = signed.select("set_id", "sig").mapInArrow(work, "bucket long, set_id binary")
     shared = banded.groupBy("bucket").agg(F.min("set_id").alias("leader"), F.max("set_id").alias("most")).where("leader < most").drop("most")
-    return staged(banded.join(shared, "bucket"), "buckets")
+    # written first: a crowded bucket is many rows of a join with two plain sides, which can be split at run time
+    return staged(banded.join(staged(shared, "shared"), "bucket"), "buckets")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("key"), text_key_of(F.col("text")).alias("text_key"), "text")
 
 
 def _confirmed(pairs: DataFrame, signed: DataFrame, first_row: DataFrame, docs: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
@@ -154,19 +160,17 @@ def _confirmed(pairs: DataFrame, signed: DataFrame, first_row: DataFrame, docs:
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         @functools.lru_cache(maxsize=64)
-        def of(text: str, digest: bytes) -> np.ndarray | None:
+        def of(text: str) -> np.ndarray:
             raw = np.frombuffer(text.encode(), np.uint8)
-            s = shingle_set(words_of(raw, np.array([0, len(raw)]), WHITE).hashes, k)
-            return s if set_digest(s) == digest else None  # an id may stand for several texts
+            return shingle_set(words_of(raw, np.array([0, len(raw)]), WHITE).hashes, k)
 
         for batch in batches:
             keep = []
-            for i, (a, b, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True)):
-                left, right = of(x, a), of(y, b)
-                if left is not None and right is not None:
-                    common = len(left) + len(right) - len(np.union1d(left, right))
-                    if 100 * common >= percent * (len(left) + len(right) - common):
-                        keep.append(i)
+            for i, (x, y) in enumerate(zip(batch.column("text_a"), batch.column("text_b"), strict=True)):
+                left, right = of(x.as_py()), of(y.as_py())
+                common = len(left) + len(right) - len(np.union1d(left, right))
+                if 100 * common >= percent * (len(left) + len(right) - common):
+                    keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     sig = signed.select(F.col("set_id").alias("a"), F.col("sig").alias("sig_a"), F.col("n_shingles").alias("n_a"))
@@ -176,8 +180,7 @@ def _confirmed(pairs: DataFrame, signed: DataFrame, first_row: DataFrame, docs:
     likely = staged(both.mapInArrow(sift, "a binary, b binary"), "likely")
     needed = likely.select(F.col("a").alias("set_id")).union(likely.select("b")).distinct()
     rows = needed.join(first_row, "set_id")
-    keyed = docs.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("key"), "text")
-    texts = staged(rows.join(keyed, "key").select("set_id", "text"), "texts")
+    texts = staged(_keyed(docs).join(rows, ["key", "text_key"]).select("set_id", "text").dropDuplicates(["set_id"]), "texts")
     joined = likely.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
     return staged(joined.mapInArrow(confirm, "a binary, b binary").distinct(), "confirmed")
 
@@ -198,8 +201,7 @@ def _prefix_pairs(sets: DataFrame, first_row: DataFrame, docs: DataFrame, k: int
                 part, held, bits = batch.slice(first, len(w.ptr) - 1), [], []
                 for i in range(part.num_rows):
                     s = shingle_set(w.hashes[w.ptr[i] : w.ptr[i + 1]], k)
-                    # an id may stand for several texts
-                    held.append(s.tobytes() if len(s) and set_digest(s) == part.column("set_id")[i].as_py() else None)
+                    held.append(s.tobytes())
                     bits.append(parity_bitmap(s))
                 columns = [pa.array(c) for c in np.array(bits).reshape(-1, BITMAP).T.copy()]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("set_id", "component", "n")), pa.array(held, pa.binary()), *columns], names=["set_id", "component", "n", "tokens", *maps])
@@ -213,9 +215,8 @@ def _prefix_pairs(sets: DataFrame, first_row: DataFrame, docs: DataFrame, k: int
                 yield pa.RecordBatch.from_arrays([pa.array(raw.view(np.int64)), *(part.column(c).take(rep) for c in ("set_id", "component", "n"))], names=["token", "set_id", "component", "n"])
 
     kinds = "set_id binary, component binary, n long"
-    keyed = docs.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("key"), "text")
-    rows = sets.join(first_row, "set_id").join(keyed, "key").select("set_id", "component", "n", "text")
-    packed = rows.mapInArrow(pack, f"{kinds}, tokens binary, {', '.join(f'{m} long' for m in maps)}").where("tokens is not null")
+    rows = _keyed(docs).join(sets.join(first_row, "set_id"), ["key", "text_key"]).select("set_id", "component", "n", "text")
+    packed = rows.mapInArrow(pack, f"{kinds}, tokens binary, {', '.join(f'{m} long' for m in maps)}")
     held = staged(packed.dropDuplicates(["set_id"]), "tokens")
     tokens = held.select("set_id", "component", "n", "tokens").mapInArrow(unpack, f"token long, {kinds}")
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -232,35 +233,25 @@ def _prefix_pairs(sets: DataFrame, first_row: DataFrame, docs: DataFrame, k: int
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, links of every row of ``docs``.
-
-    Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a set holds the
-    distinct shingles of ``k`` words, or the whole sequence if it is shorter.
-    Rows are linked from a similarity of ``percent`` on; component_id is the
-    least id that a row reaches, kept whether that is its own. links counts
-    the confirmed links of the row's set to other sets that the search used;
-    copies share a set. Null, empty and wordless texts have no shingles and
-    no links and stand alone. Rows with a null id keep null ids
-    and are kept only if nothing with an id is like them; rows repeated under
-    one id are judged alike; an empty table gives an empty result.
-    """
-    texts = doc_texts(docs, id_col, text_col)
-    rows = staged(_sets(texts, k), "sets")
+def _classified(docs: DataFrame, k: int, percent: int, miss: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_key, n_shingles, set_id) of each row, and (set_id, component, component_id, links) of each set."""
+    rows = staged(_sets(docs, k), "sets")
     per_set = rows.where("set_id is not null").groupBy("set_id")
     signed = rows.where("sig is not null").groupBy("set_id").agg(F.min("sig").alias("sig"), F.max("n_shingles").alias("n_shingles"))
     signed = staged(signed, "signatures")
-    first_row = per_set.agg(F.min(F.coalesce("doc_id", F.lit(_NULL_ID))).alias("key"))
+    first_row = per_set.agg(F.min(F.struct(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("key"), "text_key")).alias("row"), F.min("doc_id").alias("least"))
+    first_row = staged(first_row.select("set_id", "row.*", "least"), "first-rows")
+    named = first_row.drop("least")
     buckets = _buckets(signed)
 
-    confirm = functools.partial(_confirmed, signed=signed, first_row=first_row, docs=texts, k=k, percent=percent, miss=miss)
+    confirm = functools.partial(_confirmed, signed=signed, first_row=named, docs=docs, k=k, percent=percent, miss=miss)
     found = confirm(buckets.where("set_id <> leader").select(F.col("leader").alias("a"), F.col("set_id").alias("b")).distinct())
     parts = staged(components(found).toDF("set_id", "component"), "components")
 
     # what the leaders left apart
     placed = buckets.join(parts, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     apart = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("bucket", "size")
-    open_rows = staged(placed.join(apart, "bucket"), "open")
+    open_rows = staged(placed.join(staged(apart, "apart"), "bucket"), "open")
     few = open_rows.where(F.col("size") < CROWDED)
     sizes = few.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
@@ -270,7 +261,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     crowd = open_rows.where(F.col("size") >= CROWDED).select("set_id", "component").distinct()
     crowd = crowd.join(signed.select("set_id", F.col("n_shingles").alias("n")), "set_id")
-    more = confirm(rest.union(_prefix_pairs(crowd, first_row, texts, k, percent)).distinct())
+    more = confirm(rest.union(_prefix_pairs(crowd, named, docs, k, percent)).distinct())
     # links between components join these, and with them their sets
     ends = (parts.toDF("a", "of_a"), parts.toDF("b", "of_b"))
     joined = more.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
@@ -279,16 +270,49 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     links = found.union(more)
     ends = links.select(F.col("a").alias("set_id")).union(links.select("b"))
     degree = ends.groupBy("set_id").agg(F.count(F.lit(1)).alias("links"))
-    members = per_set.agg(F.min("doc_id").alias("least")).join(parts, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    members = members.join(groups, "component", "left").withColumn("component", F.coalesce("group", "component")).drop("group")
-    least = members.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = members.select("set_id", "component").join(least, "component").join(degree, "set_id", "left").select("set_id", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
+    members = first_row.select("set_id", "least").join(parts, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    members = staged(members.join(groups, "component", "left").withColumn("component", F.coalesce("group", "component")).drop("group"), "members")
+    # written before they are joined: one component may hold a third of all sets, one set a third of all rows
+    least = staged(members.groupBy("component").agg(F.min("least").alias("component_id")), "least-ids")
+    known = members.select("set_id", "component").join(least, "component").join(degree, "set_id", "left")
+    return rows.drop("sig"), staged(known.select("set_id", "component", "component_id", F.coalesce("links", F.lit(0)).alias("links")), "known")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, links of every row of ``docs``.
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a set holds the
+    distinct shingles of ``k`` words, or the whole sequence if it is shorter.
+    Rows are linked from a similarity of ``percent`` on; component_id is the
+    least id that a row reaches, kept whether that is its own. links counts
+    the confirmed links of the row's set to other sets that the search used;
+    copies share a set. Null, empty and wordless texts have no shingles and
+    no links and stand alone. Rows with a null id keep null ids
+    and are kept only if nothing with an id is like them; rows repeated under
+    one id are judged alike; an empty table gives an empty result.
+    """
+    rows, known = _classified(doc_texts(docs, id_col, text_col), k, percent, miss)
     out = rows.select("doc_id", "n_shingles", "set_id").join(known, "set_id", "left")
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose document is the first of its group."""
-    kept = near_duplicates(docs, k, percent, miss, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    """One row of each group of ``docs`` with all its columns: the least id, null last, of several texts under it one.
+
+    Of rows repeated under one id with one text, one stays. Rows without words
+    are no group and all stay.
+    """
+    rows, known = _classified(doc_texts(docs, id_col, text_col), k, percent, miss)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("row")
+    # of each set, then of each group of sets: a third of all rows may be one set's
+    per_set = rows.where("set_id is not null").groupBy("set_id").agg(first)
+    winners = per_set.join(known.select("set_id", "component"), "set_id").groupBy("component").agg(F.min("row").alias("row")).select("row.doc_id", "row.text_key", F.lit(True).alias("one"))
+    alone = rows.where("set_id is null").select("doc_id", "text_key", F.lit(False).alias("one")).distinct()
+    doc_key, key, one, place = (free_name(n, docs) for n in ("doc_key", "text_key", "one", "place"))
+    kept = winners.union(alone).select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias(doc_key), F.col("text_key").alias(key), F.col("one").alias(one))
+    keyed = docs.withColumns({doc_key: F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)), key: text_key_of(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))})
+    out = keyed.join(kept, [doc_key, key])
+    if not rows.where("set_id is not null").groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
+        out = out.withColumn(place, F.when(F.col(one), 0).otherwise(F.monotonically_increasing_id())).dropDuplicates([doc_key, key, place])
+    return out.select(*[f"`{c}`" for c in docs.columns])
