@@ -1,18 +1,22 @@
 """Order-preserving packing of documents into windows by dynamic programming.
 
 Texts are encoded once, where they lie. What moves afterwards is small: for
-each document its length, its possible cuts (sentence ends, and a place every
-few tokens inside long sentences) and the CRC of its ids up to each cut. Rows
+each document its length, its possible cuts (sentence ends, and places inside
+sentences of more than ``LONG`` tokens) and the CRC of its ids up to each cut. Rows
 are range-partitioned by id; each partition is a stream whose cuts minimise
 padding plus penalties: ``cost(j) = penalty(j) + min over i of cost(i) +
 capacity - (pos(j) - pos(i))`` for ``pos(j) - pos(i) <= capacity``. As the
 capacity is constant the minimum runs over ``cost(i) + pos(i)`` in a sliding
-window, which a monotone queue gives in constant time. The CRC of a piece
-follows from the CRCs at its ends, so no ids are kept or moved.
+window, which a monotone queue gives in constant time. All later cuts descend
+from an entry of the queue; as soon as the entries have an ancestor in common,
+the windows up to it are final and given out, so what is held is short and the
+result is that of one program over the whole stream. The CRC of a piece follows
+from the CRCs at its ends, so no ids are kept or moved.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 import zlib
 from collections import deque
@@ -27,12 +31,12 @@ from buildlake.llm.common import doc_texts, staged
 from buildlake.llm.tokens import load, sentence_ends
 
 CAPACITY = 2048
-STRIDE = 64
-"""Tokens between possible cuts where no sentence ends."""
+LONG, STRIDE = 256, 64
+"""A sentence of more than ``LONG`` tokens may be cut every ``STRIDE``; shorter ones are whole, which pads a window by an eighth at worst."""
 SENTENCE, INSIDE = 16, 128
 """Penalties, in tokens of padding, of a cut at a sentence end and inside a sentence; a cut at a document's end is free."""
 WINDOWS = 256
-"""Windows that one run of the dynamic program sees; all but the last eight are then final."""
+"""Windows' worth of tokens that are read before final windows are looked for."""
 PARTITION_TOKENS = 4_000_000
 
 # fixed value: the reflected CRC-32 polynomial
@@ -66,60 +70,82 @@ def slice_crcs(before: np.ndarray, until: np.ndarray, lengths: np.ndarray, shift
     return until.astype(np.uint32) ^ _times(shifts[lengths], before)
 
 
-def possible_cuts(ids: np.ndarray, ends: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
+def possible_cuts(ids: np.ndarray, ends: np.ndarray, long: int = LONG, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
     """(positions behind which a document may be cut, whether inside a sentence); the last is its end."""
     n = len(ids)
     stops = np.flatnonzero(ends[ids]) + 1
-    stops = stops[stops < n]
-    edges = np.concatenate([[0], stops, [n]])
+    edges = np.append(np.append(0, stops[stops < n]), n)
     gaps = np.diff(edges)
-    extra = np.maximum((gaps - 1) // stride, 0)
-    if extra.any():
-        base = np.repeat(edges[:-1], extra)
-        nth = np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra) + 1
-        forced = base + nth * stride
-    else:
-        forced = np.zeros(0, np.int64)
-    cuts = np.concatenate([stops, forced, [n]])
-    inside = np.concatenate([np.zeros(len(stops), bool), np.ones(len(forced), bool), [False]])
+    extra = np.where(gaps > long, (gaps - 1) // stride, 0)
+    if not extra.any():
+        return edges[1:], np.zeros(len(gaps), bool)
+    nth = np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra) + 1
+    forced = np.repeat(edges[:-1], extra) + nth * stride
+    cuts = np.concatenate([edges[1:], forced])
     order = np.argsort(cuts, kind="stable")
-    return cuts[order], inside[order]
+    return cuts[order], (np.arange(len(cuts)) >= len(gaps))[order]
 
 
-def best_cuts(pos: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY) -> list[int]:
-    """Indices of the cheapest cuts from position 0 to ``pos[-1]``, the last included.
+class Cuts:
+    """The cheapest cuts of a stream of positions that arrive bit by bit.
 
-    No two neighbours of ``pos`` (increasing) may be further apart than ``capacity``.
+    No two neighbours of them (increasing) may be further apart than
+    ``capacity``. Numbers of cuts count from 1; 0 is the stream's start.
     """
-    at = [0, *pos.tolist()]
-    cost, back = [0.0], [0]
-    queue: deque[int] = deque([0])
-    key = [0.0]
-    for j, extra in enumerate(penalty.tolist(), 1):
-        p = at[j]
-        while p - at[queue[0]] > capacity:
-            queue.popleft()
-        i = queue[0]
-        c = key[i] + capacity - p + extra
-        cost.append(c)
-        back.append(i)
-        k = c + p
-        key.append(k)
-        while queue and key[queue[-1]] >= k:
-            queue.pop()
-        queue.append(j)
-    out, j = [], len(pos)
-    while j:
-        out.append(j - 1)
-        j = back[j]
-    return out[::-1]
+
+    def __init__(self, capacity: int = CAPACITY) -> None:
+        self.capacity, self.first = capacity, 0  # number of what is first in the lists
+        self.at, self.key, self.back = [0], [0.0], [0]
+        self.queue: deque[int] = deque([0])
+
+    def add(self, pos: np.ndarray, penalty: np.ndarray) -> None:
+        at, key, back, queue, first, capacity = self.at, self.key, self.back, self.queue, self.first, self.capacity
+        for p, extra in zip(pos.tolist(), penalty.tolist(), strict=True):
+            j = first + len(at)
+            while p - at[queue[0] - first] > capacity:
+                queue.popleft()
+            i = queue[0]
+            k = key[i - first] + capacity + extra  # the cost of a cut here, and its position
+            at.append(p)
+            key.append(k)
+            back.append(i)
+            while queue and key[queue[-1] - first] >= k:
+                queue.pop()
+            queue.append(j)
+
+    def settled(self, last: bool = False) -> list[int]:
+        """Numbers of the cuts that are certain by now (with ``last``: all to the end), in order; earlier ones are forgotten."""
+        if last:
+            end = self.first + len(self.at) - 1
+        else:  # the latest entry gives way to what it descends from until one is left
+            live = sorted(set(self.queue))
+            while len(live) > 1:
+                before = self.back[live.pop() - self.first]
+                at = bisect.bisect_left(live, before)
+                if at == len(live) or live[at] != before:
+                    live.insert(at, before)
+            end = live[0]
+        out, j = [], end
+        while j > self.first:
+            out.append(j)
+            j = self.back[j - self.first]
+        drop = end - self.first
+        self.at, self.key, self.back, self.first = self.at[drop:], self.key[drop:], self.back[drop:], end
+        return out[::-1]
+
+
+def best_cuts(pos: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY) -> list[int]:
+    """Indices of the cheapest cuts from position 0 to ``pos[-1]``, the last included."""
+    cuts = Cuts(capacity)
+    cuts.add(pos, penalty)
+    return [j - 1 for j in cuts.settled(last=True)]
 
 
 ENCODED = "doc_id long, rid long, doc_tokens long, cuts binary, inside binary, crcs binary"
 PIECES = "part int, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, window long, offset long"
 
 
-def encode_documents(docs: DataFrame, path: str, ranks: str | None, end_id: int, stride: int = STRIDE) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, ranks: str | None, end_id: int, long: int = LONG, stride: int = STRIDE) -> DataFrame:
     """Per row: number of ids with the end id, possible cuts, CRCs up to each cut."""
     ends = sentence_ends(path)
 
@@ -130,7 +156,7 @@ def encode_documents(docs: DataFrame, path: str, ranks: str | None, end_id: int,
                 part, rows = batch.slice(at, 256), []
                 for text in part.column(2):
                     ids = np.append(tokenizer.encode(text.as_py()), np.uint32(end_id)).astype("<u4")
-                    cuts, inside = possible_cuts(ids, ends, stride)
+                    cuts, inside = possible_cuts(ids, ends, long, stride)
                     raw, crc, last, crcs = memoryview(ids).cast("B"), 0, 0, []
                     for cut in cuts.tolist():
                         crc = zlib.crc32(raw[4 * last : 4 * cut], crc)
@@ -144,55 +170,47 @@ def encode_documents(docs: DataFrame, path: str, ranks: str | None, end_id: int,
 
 
 class _Stream:
-    """Documents in order; emits pieces of final windows. Positions count from the first open window."""
+    """Documents in order; emits pieces of final windows. Positions count from the stream's start."""
 
     def __init__(self, capacity: int, sentence: float, inside: float) -> None:
-        self.capacity, self.costs = capacity, np.array([sentence, inside], dtype=float)
-        self.shifts = _shifts(capacity)
-        self.docs: list[tuple] = []  # doc_id, doc_tokens, cuts, inside, crcs, tokens already placed, CRC of those
-        self.window, self.held = 0, 0
+        self.costs = np.array([sentence, inside], dtype=float)
+        self.cuts, self.shifts = Cuts(capacity), _shifts(capacity)
+        self.docs: list[tuple] = []  # start, doc_id, doc_tokens, cuts, CRCs: not all of it in final windows
+        self.end = self.begin = self.windows = self.held = 0
 
     def add(self, doc_id: int | None, tokens: int, cuts: np.ndarray, inside: np.ndarray, crcs: np.ndarray) -> None:
-        self.docs.append((doc_id, tokens, cuts, inside, crcs, 0, 0))
+        penalty = self.costs[inside.astype(np.int64)]
+        penalty[-1] = 0.0
+        self.cuts.add(cuts.astype(np.int64) + self.end, penalty)
+        self.docs.append((self.end, doc_id, tokens, cuts, crcs))
+        self.end += tokens
         self.held += tokens
 
     def flush(self, final: bool) -> list[tuple]:
-        if not self.docs:
+        self.held = 0
+        base = self.cuts.first
+        places = self.cuts.at
+        chosen = self.cuts.settled(last=final)
+        if not chosen or not self.docs:
             return []
-        starts = np.cumsum([0, *[d[1] - d[5] for d in self.docs]])
-        pos = np.concatenate([d[2].astype(np.int64) - d[5] + s for d, s in zip(self.docs, starts, strict=False)])
+        edge = np.array([self.begin, *(places[j - base] for j in chosen)])
+        end = int(edge[-1])
+        starts = np.array([d[0] for d in self.docs])
+        pos = np.concatenate([d[3].astype(np.int64) + d[0] for d in self.docs])
         crcs = np.concatenate([d[4] for d in self.docs])
-        penalty = self.costs[np.concatenate([d[3] for d in self.docs]).astype(np.int64)]
-        penalty[np.searchsorted(pos, starts[1:])] = 0.0
-        chosen = best_cuts(pos, penalty, self.capacity)
-        if not final:
-            chosen = chosen[:-8]
-            if not chosen:
-                return []
-        cuts = np.concatenate([[0], pos[chosen]])
-        end = int(cuts[-1])
-        edges = np.unique(np.concatenate([cuts, starts[starts < end]]))
+        edges = np.unique(np.concatenate([edge, starts[(starts > self.begin) & (starts < end)]]))
         a, b = edges[:-1], edges[1:]
         doc = np.searchsorted(starts, a, side="right") - 1
-        win = np.searchsorted(cuts, a, side="right") - 1
-        done = np.array([d[5] for d in self.docs])
-        before = np.where(a == starts[doc], np.array([d[6] for d in self.docs], np.uint32)[doc], crcs[np.maximum(np.searchsorted(pos, a), 0)])
-        until = crcs[np.searchsorted(pos, b)]
-        got = slice_crcs(before, until, b - a, self.shifts)
+        win = np.searchsorted(edge, a, side="right") - 1
+        before = np.where(a == starts[doc], np.uint32(0), crcs[np.minimum(np.searchsorted(pos, a), len(pos) - 1)])
+        got = slice_crcs(before, crcs[np.searchsorted(pos, b)], b - a, self.shifts)
         rows = [
-            (self.docs[d][0], s, n, int(c), self.docs[d][1], w, o)
-            for d, s, n, c, w, o in zip(doc.tolist(), (a - starts[doc] + done[doc]).tolist(), (b - a).tolist(), got.tolist(), (win + self.window).tolist(), (a - cuts[win]).tolist(), strict=True)
+            (self.docs[d][1], s, n, int(c), self.docs[d][2], w, o)
+            for d, s, n, c, w, o in zip(doc.tolist(), (a - starts[doc]).tolist(), (b - a).tolist(), got.tolist(), (win + self.windows).tolist(), (a - edge[win]).tolist(), strict=True)
         ]
-        self.window += len(cuts) - 1
-        # what is not placed yet stays open
-        k = int(np.searchsorted(starts, end, side="right")) - 1
-        rest = self.docs[k:]
-        if rest and end > starts[k]:
-            doc_id, tokens, c, i, r, placed, _ = rest[0]
-            placed += end - int(starts[k])
-            keep = c > placed
-            rest[0] = (doc_id, tokens, c[keep], i[keep], r[keep], placed, int(r[np.searchsorted(c, placed)]))
-        self.docs, self.held = rest, int(starts[-1]) - end
+        self.windows += len(chosen)
+        self.begin = end
+        self.docs = [d for d in self.docs if d[0] + d[2] > end]
         return rows
 
 
@@ -206,7 +224,7 @@ def pack_documents(docs: DataFrame, path: str, ranks: str | None = None, end_id:
     are packed each; an empty table gives an empty result. The last window of
     each partition (of about ``partition_tokens``) may be padded more.
     """
-    encoded = staged(encode_documents(doc_texts(docs, id_col, text_col), path, ranks, end_id, min(STRIDE, capacity)), "encoded")
+    encoded = staged(encode_documents(doc_texts(docs, id_col, text_col), path, ranks, end_id, min(LONG, capacity), min(STRIDE, capacity)), "encoded")
     total = encoded.agg(F.sum("doc_tokens")).first()[0] or 0
     ordered = encoded.repartitionByRange(max(1, math.ceil(total / partition_tokens)), F.col("doc_id"), F.col("rid")).sortWithinPartitions("doc_id", "rid").withColumn("part", F.spark_partition_id())
     kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("window", pa.int64()), ("offset", pa.int64())]
