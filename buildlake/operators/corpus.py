@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from buildlake.functions import numbers, text, times
 from buildlake.operators.lookup import within_size
+from buildlake.operators.numbering import with_keys
 
 
 def identified(documents: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def dataset_binaries(files: DataFrame, documents: DataFrame, least_kb: float | N
 
     Files of the wanted size whose folder has ``least_files`` or more are
     joined with what the documents list. Unlisted files stay, without
-    functions; files listed with no function are dropped. Keys come from the
+    functions; files listed with no function are dropped. Keys follow the
     order of identifier and name.
     """
     sized = within_size(files, F.col("n_bytes"), least_kb, most_kb)
@@ -48,21 +49,6 @@ def dataset_binaries(files: DataFrame, documents: DataFrame, least_kb: float | N
     return with_keys(out, "id", ["identifier", "file_name"]), joined.where(F.size("functions") == 0)
 
 
-def with_keys(table: DataFrame, name: str, order: list[str], buckets: int = 256) -> DataFrame:
-    """Gapless keys from 1 in the order of a bucket and ``order``.
-
-    Rows are numbered within buckets of their hash and moved behind the
-    smaller buckets, so no task sees more than a bucket.
-    """
-    bucket = F.pmod(F.xxhash64(*order), F.lit(buckets))
-    held = table.withColumn("__bucket", bucket)
-    counts = held.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__c"))
-    # one row a bucket
-    before = counts.withColumn("__before", F.coalesce(F.sum("__c").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__c")
-    numbered = held.withColumn("__k", F.row_number().over(Window.partitionBy("__bucket").orderBy(*order)))
-    return numbered.join(F.broadcast(before), "__bucket").withColumn(name, F.col("__before") + F.col("__k")).drop("__bucket", "__before", "__k")
-
-
 def segment_text(segments: Column) -> Column:
     """``start-end,start-end`` of an array of segments."""
     return F.array_join(F.transform(segments, lambda s: F.concat(s["rva_start"], F.lit("-"), s["rva_end"])), ",")
@@ -106,3 +92,24 @@ def reassembled(chunks: DataFrame, stream: str, seq: str, content: str) -> DataF
     parts = F.array_sort(F.collect_list(F.struct(seq, content)))
     whole = F.array_join(F.transform(parts, lambda p: p[content]), "")
     return chunks.groupBy(stream).agg(F.count(F.lit(1)).alias("chunks"), whole.alias("content")).withColumn("sha256", F.sha2(F.col("content"), 256))
+
+
+def suffix_listed(files: DataFrame, path: str, listed: DataFrame, ending: str, last: bool = False) -> DataFrame:
+    """Files with the first (or ``last``) listed entry that their path ends with, by the entries' order ``at``.
+
+    Both sides meet on the base name, which ending and path share, and only
+    then are compared whole.
+    """
+    base = text.base_name
+    left = files.withColumn("__base", base(F.col(path)))
+    right = listed.withColumn("__base", base(F.col(ending)))
+    found = left.join(right, "__base").where(F.col(path).endswith(F.col(ending)))
+    pick = F.max_by if last else F.min_by
+    return found.groupBy(*files.columns).agg(pick(F.struct(*listed.columns), "at").alias("l")).select(*files.columns, "l.*")
+
+
+def marked_disassembled(binaries: DataFrame, done: DataFrame, key: str = "_id") -> DataFrame:
+    """All binaries; those in ``done`` are marked so, others keep their mark."""
+    ids = done.select(F.col(key).alias("__done")).distinct()
+    out = binaries.join(ids, F.col(key) == F.col("__done"), "left")
+    return out.withColumn("disasmed", F.col("__done").isNotNull() | F.coalesce("disasmed", F.lit(False))).drop("__done")

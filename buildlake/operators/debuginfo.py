@@ -22,8 +22,11 @@ def text_lines(files: DataFrame, key: str, content: str) -> DataFrame:
     return files.select(key, F.posexplode(F.split(F.col(content), "\r?\n")).alias("pos", "line"))
 
 
-def dump_rows(lines: DataFrame, per: str = "dump") -> DataFrame:
-    """Line rows of dumps with their function, source file and digest; rows before a header or a path have nulls."""
+def dump_rows(lines: DataFrame, per: str = "dump", end_closes: bool = True) -> DataFrame:
+    """Line rows of dumps with their function, source file and digest; rows before a header or a path have nulls.
+
+    A row closes its run if the line behind it is none; ``end_closes``: the end of the dump closes one as well.
+    """
     line = text.stripped(F.col("line"))
     header = line.startswith("**")
     row = line.startswith("line")
@@ -38,7 +41,7 @@ def dump_rows(lines: DataFrame, per: str = "dump") -> DataFrame:
     for column in ("function", "path"):
         marked = sequences.carried(marked, column, [per], ["pos"])
     w = Window.partitionBy(per).orderBy("pos")
-    marked = marked.withColumn("closes", ~F.coalesce(F.lead("is_row").over(w), F.lit(True)))
+    marked = marked.withColumn("closes", ~F.coalesce(F.lead("is_row").over(w), F.lit(not end_closes)))
     source = text.digest_of_path(F.col("path"))
     return marked.where("is_row").select(
         per,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buildlake.functions import numbers, text, times
+from buildlake.operators.numbering import with_keys
 
 
 def by_id(table: DataFrame, value: int, key: str = "_id") -> DataFrame:
@@ -62,10 +63,37 @@ def first_by_name(table: DataFrame, limit: int | None, *order: str) -> DataFrame
     return table.orderBy(*order).limit(limit) if limit else table
 
 
+_GRAM = 4
+
+
+def _opening(value: Column) -> Column:
+    """The first few characters of a text, all of a shorter one."""
+    return F.left(value, F.lit(_GRAM))
+
+
+def _runs(value: Column, n: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(value) - (n - 1), F.lit(1))), lambda i: F.substring(value, i, F.lit(n)))
+
+
+def _grams(value: Column) -> Column:
+    """All runs of up to ``_GRAM`` characters, the empty one included: what a text contained in ``value`` can begin with."""
+    return F.array_distinct(F.concat(F.array(F.lit("")), *[_runs(value, n) for n in range(1, _GRAM + 1)]))
+
+
+def _contained(whole: DataFrame, part: DataFrame) -> DataFrame:
+    """Distinct (whole, part) with the part inside the whole; only texts that share the part's opening are compared."""
+    left = whole.withColumn("gram", F.explode(_grams(F.col("whole"))))
+    return left.join(part.withColumn("gram", _opening(F.col("part"))), "gram").where(F.col("whole").contains(F.col("part"))).drop("gram")
+
+
 def without_blacklisted(table: DataFrame, name: Column, blacklist: DataFrame, item: str) -> DataFrame:
-    """Rows whose name neither contains an item of the (small) blacklist nor is contained in one."""
+    """Rows whose name neither contains an item of the blacklist nor is contained in one; null names stay."""
     keyed = table.withColumn("__name", name)
-    return keyed.join(blacklist.select(F.col(item).alias("__item")).distinct(), F.col("__name").contains(F.col("__item")) | F.col("__item").contains(F.col("__name")), "left_anti").drop("__name")
+    names = keyed.select("__name").where("__name is not null").distinct()
+    items = blacklist.select(F.col(item).alias("__item")).where("__item is not null").distinct()
+    over = _contained(names.toDF("whole"), items.toDF("part")).select(F.col("whole").alias("__name"))
+    under = _contained(items.toDF("whole"), names.toDF("part")).select(F.col("part").alias("__name"))
+    return keyed.join(over.union(under).distinct(), "__name", "left_anti").select(*table.columns)
 
 
 def repository_export(projects: DataFrame) -> DataFrame:
@@ -108,7 +136,5 @@ def restored(documents: DataFrame, name: str, schema: str) -> DataFrame:
 
 def numbered_lines(table: DataFrame, line: Column, per: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``line n: ...`` within each group, counted from 1."""
-    from pyspark.sql import Window
-
-    n = F.row_number().over(Window.partitionBy(*per).orderBy(*order))
-    return table.withColumn("line", F.format_string("line %d: %s", n, line))
+    numbered = with_keys(table.withColumn("line", line), "__n", order, per)
+    return numbered.withColumn("line", F.format_string("line %d: %s", "__n", "line")).drop("__n")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from buildlake import schemas as S
 from buildlake.functions import times
+from buildlake.operators.numbering import running_sums
 
 # fixed values: windows of the panel, in seconds
 WINDOWS = {"hour": S.HOUR, "day": S.DAY, "month": S.MONTH}
@@ -47,11 +48,8 @@ def latest(table: DataFrame, keys: list[str], order: list[str], *values: str) ->
 
 
 def running_total(table: DataFrame, key: str, value: Column) -> DataFrame:
-    """Sum of each key and of all keys up to it. Keys are few: they are summed before the window."""
-    from pyspark.sql import Window
-
-    summed = table.groupBy(key).agg(F.sum(value).alias("found"))
-    return summed.withColumn("total", F.sum("found").over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)))
+    """Sum of each key and of all keys up to it."""
+    return running_sums(table.groupBy(key).agg(F.sum(value).alias("found")), "total", F.col("found"), [key])
 
 
 def rollup_counts(table: DataFrame, *keys: str) -> DataFrame:

@@ -95,8 +95,24 @@ prototype = _per_function(lambda lines, name: "\n".join(prototype_lines(lines, n
 definition = _per_function(lambda lines, name: "" if (at := definition_start(lines, name)) is None else "\n".join(lines[at:]))
 
 
+DESCRIBED = ["definition", "top_comments", "body_comments", "prototype"]
+
+
+@F.pandas_udf(T.StructType([T.StructField(n, T.StringType()) for n in DESCRIBED]))
+def described(texts: pd.Series, names: pd.Series) -> pd.DataFrame:
+    """All four in one pass over a text; the others are taken from the definition."""
+
+    def one(text: str | None, name: str | None) -> tuple:
+        if text is None or name is None:
+            return (None,) * 4
+        lines = text.splitlines()
+        at = definition_start(lines, name)
+        lines = [] if at is None else lines[at:]
+        return "\n".join(lines), *("\n".join(found) for found in (comment_lines(lines, name, False), comment_lines(lines, name, True), prototype_lines(lines, name)))
+
+    return pd.DataFrame([one(t, n) for t, n in zip(texts, names, strict=True)], columns=DESCRIBED, dtype=object)
+
+
 def described_functions(functions: DataFrame, body: str = "body", name: str = "name") -> DataFrame:
     """``functions`` with definition, top_comments, body_comments and prototype; null texts give nulls."""
-    found = functions.withColumn("definition", definition(F.col(body), F.col(name)))
-    full = F.col("definition")
-    return found.withColumns({"top_comments": top_comments(full, F.col(name)), "body_comments": body_comments(full, F.col(name)), "prototype": prototype(full, F.col(name))})
+    return functions.withColumn("__d", described(F.col(body), F.col(name))).select(*functions.columns, "__d.*")

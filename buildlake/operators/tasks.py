@@ -24,12 +24,17 @@ def fan_out(projects: DataFrame, options: DataFrame, project_in_option: bool) ->
     return p.join(pairs, "repo_bs").join(o, "opt_bs").select("repo_id", "build_opt_id", F.lit(S.INIT).alias("clone_status"), F.lit(S.INIT).alias("build_status"), F.lit(0).alias("priority"))
 
 
-def next_tasks(statuses: DataFrame, projects: DataFrame, options: DataFrame) -> DataFrame:
+def next_tasks(statuses: DataFrame, projects: DataFrame, options: DataFrame, same_build_system: bool = False) -> DataFrame:
     """For each enabled option its next task: not started, most urgent, lowest key; with what a worker needs to know.
 
-    The pick is a partial aggregation, so the queue's length costs no sort.
+    ``same_build_system``: only tasks whose project's build system contains the
+    option's. The pick is a partial aggregation, so the queue's length costs
+    no sort.
     """
     waiting = statuses.where((F.col("clone_status") == S.PROCESSING) & (F.col("build_status") == S.INIT))
+    if same_build_system:
+        fitting = fan_out(projects, options, project_in_option=False).select("repo_id", "build_opt_id")
+        waiting = waiting.join(fitting, ["repo_id", "build_opt_id"], "left_semi")
     first = waiting.groupBy("build_opt_id").agg(F.min_by(F.struct("_id", "repo_id", "priority", "mod_timestamp"), F.struct(-F.col("priority"), F.col("_id"))).alias("t"))
     enabled = options.where("enable").select(F.col("_id").alias("opt_id"), "platform")
     task = first.select(F.col("build_opt_id").alias("opt_id"), "t.*").withColumnRenamed("_id", "task_id").join(enabled, "opt_id")

@@ -154,6 +154,16 @@ def dispatch_next_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.next_tasks(roles.statuses(spark, sf_dir), roles.projects(spark, sf_dir), roles.options(spark, sf_dir))
 
 
+@query(
+    """SELECT s.build_opt_id AS opt_id, arg_min(s._id, (-s.priority, s._id)) AS task_id FROM statuses s JOIN projects p ON p._id = s.repo_id JOIN options o ON o._id = s.build_opt_id
+    WHERE s.clone_status = 1 AND s.build_status = 0 AND o.enable AND contains(p.build_system, o.build_system) GROUP BY s.build_opt_id""",
+    roles=True,
+)
+def dispatch_fitting_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next task among those whose project is built with the option's build system."""
+    return tasks.next_tasks(roles.statuses(spark, sf_dir), roles.projects(spark, sf_dir), roles.options(spark, sf_dir), same_build_system=True).select("opt_id", "task_id")
+
+
 @query("SELECT * FROM statuses WHERE clone_status = 2 AND build_status = 0 AND repo_id IN (SELECT repo_id FROM statuses WHERE clone_status = 3 AND build_status = 3)", roles=True)
 def recycle_clone_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = roles.statuses(spark, sf_dir)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from buildlake.functions import numbers, times
-from buildlake.operators import corpus, sequences
+from buildlake.operators import corpus, numbering, sequences
 from buildlake.plans.control import EVENT_NOW
 from buildlake.plans.registry import Registry
 from buildlake.sources import roles
@@ -160,10 +160,18 @@ def chunk_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) AS n, count(DISTINCT id) AS ids, min(id) AS least, max(id) AS most FROM (SELECT row_number() OVER (ORDER BY page_id) AS id FROM pages)")
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = corpus.with_keys(roles.load(spark, sf_dir, "pages"), "id", ["page_id"])
+    keyed = numbering.with_keys(roles.load(spark, sf_dir, "pages"), "id", ["page_id"])
     return keyed.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"), F.min("id").alias("least"), F.max("id").alias("most"))
 
 
+@query("SELECT page_id, row_number() OVER (ORDER BY url, page_id) AS id, row_number() OVER (PARTITION BY page_id % 3 ORDER BY url, page_id) AS within FROM pages")
+def surrogate_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys in the natural order of a text, over all rows and within groups."""
+    pages = roles.load(spark, sf_dir, "pages").select("page_id", "url", (F.col("page_id") % 3).alias("group"))
+    keyed = numbering.with_keys(numbering.with_keys(pages, "id", ["url", "page_id"]), "within", ["url", "page_id"], ["group"])
+    return keyed.select("page_id", "id", "within")
+
+
 @query(
     """SELECT l_orderkey AS binary_id, string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey) AS lines
     FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem) GROUP BY l_orderkey"""

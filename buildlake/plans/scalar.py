@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from buildlake.functions import numbers, text, times
+from buildlake.operators import debuginfo
 from buildlake.plans.registry import Registry
 from buildlake.sources import roles
 
@@ -127,14 +128,13 @@ def build_system_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     r"""SELECT p_partkey, arg_min(b.k, b.k) AS matched FROM (SELECT p_partkey, lower(list_extract(string_split(p_name, ' '), -1)) AS t FROM part) p
-    JOIN (SELECT DISTINCT p_brand || '::' || list_extract(string_split(p_name, ' '), -1) AS k FROM part WHERE p_partkey % 3 = 0) b ON lower(list_extract(string_split(b.k, '::'), -1)) = p.t GROUP BY p_partkey"""
+    JOIN (SELECT DISTINCT p_brand || '::' || list_extract(string_split(p_name, ' '), -1) AS k FROM part) b ON lower(list_extract(string_split(b.k, '::'), -1)) = p.t GROUP BY p_partkey"""
 )
 def name_match_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.element_at(F.split("p_name", " "), -1)
     part = _load(spark, sf_dir, "part")
-    tags = part.where("p_partkey % 3 = 0").select(F.concat("p_brand", F.lit("::"), last).alias("k")).distinct()
-    tags = tags.groupBy(F.lower(text.unqualified(F.col("k"))).alias("t")).agg(F.min("k").alias("matched"))
-    return part.select("p_partkey", F.lower(last).alias("t")).join(tags, "t").select("p_partkey", "matched")
+    tags = part.select(F.concat("p_brand", F.lit("::"), last).alias("name")).distinct().withColumn("matched", F.col("name"))
+    return debuginfo.matched_functions(part.select("p_partkey", last.alias("function")), tags, ["matched"]).select("p_partkey", "matched")
 
 
 @query(

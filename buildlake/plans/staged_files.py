@@ -2,42 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from buildlake.farm import Farm
 from buildlake.operators import corpus, debuginfo, projects, source_text
 from buildlake.plans.registry import Registry
 from buildlake.sources import crawl, files, roles
+from buildlake.sources.staging import work_folder
 from buildlake.streaming import jobs
 
 REGISTRY = query = Registry()
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder where the cluster shares one (``spark.checkpoint.dir``), else a temporary one (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None) or tempfile.mkdtemp(prefix="buildlake-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A debug dump for each supplier: a header for each of its parts' orders, a line for each item."""
     items = roles.load(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q")).distinct()
     row = F.format_string("line %d at [%08x], len = 0x%x c:\\src\\f%d.c (MD5: AB)", "l_linenumber", F.col("l_orderkey") * 64, "q", F.col("l_partkey") % 7)
     lines = items.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "q", row.alias("line"))
     heads = items.select("l_suppkey", "l_orderkey").distinct().select("l_suppkey", "l_orderkey", F.lit(0).alias("l_linenumber"), F.lit(0).cast("long").alias("l_partkey"), F.lit(0).cast("long").alias("q"), F.concat(F.lit("** f"), "l_orderkey").alias("line"))
-    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "q", "line")
-    dumps = lines.unionByName(heads).groupBy(F.col("l_suppkey").alias("dump")).agg(F.transform(F.array_sort(F.collect_list(order)), lambda r: r["line"]).alias("all"))
-    return dumps.select("dump", F.posexplode("all").alias("pos", "line"))
+    place = F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "q", "line")) - 1
+    return lines.unionByName(heads).select(F.col("l_suppkey").alias("dump"), place.alias("pos"), "line")
 
 
 @query(
     """WITH i AS (SELECT DISTINCT l_suppkey AS dump, l_orderkey, l_linenumber, l_partkey, l_quantity::BIGINT AS q FROM lineitem)
     SELECT dump, 'f' || l_orderkey AS function, lower(printf('%08x', l_orderkey * 64)) AS rva_start,
     lower(printf('%08x', l_orderkey * 64 + arg_max(q, (l_linenumber, l_partkey, q)))) AS rva_end, 0.0::DOUBLE AS debug_ratio FROM i
-    WHERE l_orderkey < (SELECT max(l_orderkey) FROM i j WHERE j.dump = i.dump) GROUP BY dump, l_orderkey"""
+    GROUP BY dump, l_orderkey"""
 )
 def debug_dump_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = debuginfo.dump_rows(_dump_lines(spark, sf_dir))
@@ -84,13 +76,38 @@ def xml_project_setters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projects.described_projects(changed).select("p_partkey", "toolset", "optimization", "whole_program")
 
 
+@query(
+    """SELECT p_partkey, 'true' AS whole_program, 'out' || p_size AS output_directory, 'Speed' AS favor, 'OnlyExplicitInline' AS inline_expansion, 'true' AS intrinsics, 'o.exe' AS output_file, 'o.pdb' AS pdb_file,
+    'x' || p_size || ',y' AS include_directories, 'false' AS incremental FROM part"""
+)
+def xml_project_all_setters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of the other setters writes, read back."""
+    table = _project_files(spark, sf_dir).join(roles.load(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
+    plain = F.replace(F.col("xml"), F.lit("</Project>"), F.lit("<PropertyGroup/></Project>"))
+    steps = (
+        (projects.set_whole_program, F.lit("true")),
+        (projects.set_output_directory, F.concat(F.lit("out"), "p_size")),
+        (projects.set_favor, F.lit("Speed")),
+        (projects.set_inline, F.lit("OnlyExplicitInline")),
+        (projects.set_intrinsics, F.lit("true")),
+        (projects.set_output_file, F.lit("o.exe")),
+        (projects.set_pdb_file, F.lit("o.pdb")),
+        (projects.set_include_directories, F.concat(F.lit("x"), "p_size", F.lit(";y"))),
+        (projects.set_incremental_link, F.lit("false")),
+    )
+    for setter, value in steps:
+        plain = setter(plain, value)
+    found = projects.described_projects(table.withColumn("xml", plain))
+    x = F.col("xml")
+    more = {"favor": projects.definition_value(x, "ClCompile", "FavorSizeOrSpeed"), "inline_expansion": projects.definition_value(x, "ClCompile", "InlineFunctionExpansion"), "intrinsics": projects.definition_value(x, "ClCompile", "IntrinsicFunctions"), "incremental": projects.property_value(x, "LinkIncremental", None), "include_directories": F.array_join("include_directories", ",")}
+    return found.withColumns(more).select("p_partkey", "whole_program", "output_directory", "favor", "inline_expansion", "intrinsics", "output_file", "pdb_file", "include_directories", "incremental")
+
+
 @query(
     """SELECT n_regionkey AS solution, n.n_name AS name, m.n_name AS depends_on FROM nation n JOIN nation m USING (n_regionkey)
     WHERE m.n_nationkey = (SELECT max(x.n_nationkey) FROM nation x WHERE x.n_regionkey = n.n_regionkey AND x.n_nationkey < n.n_nationkey)"""
 )
 def solution_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
     nation = roles.load(spark, sf_dir, "nation")
     name_id = lambda c: F.concat(F.lit("{ID-"), c, F.lit("}"))
     before = F.lag("n_nationkey").over(Window.partitionBy("n_regionkey").orderBy("n_nationkey"))
@@ -138,6 +155,40 @@ def dataset_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.crossJoin(lines.agg(F.count(F.lit(1)).alias("lines"), F.sum("line_number").alias("total")))  # one row each
 
 
+_DATASET_ROWS = _DATASET + """,
+k AS (SELECT l_orderkey, l_linenumber, md5('https://forge.com/' || l_orderkey) || '_unknown_Debug_v142_O2' AS identifier, 'b' || l_linenumber || '.exe' AS file_name FROM b WHERE l_linenumber % 5 <> 0),
+binaries AS (SELECT row_number() OVER (ORDER BY identifier, file_name) AS id, *, md5(identifier || '_' || file_name) AS h FROM k),
+functions AS (SELECT row_number() OVER (ORDER BY id, 'f' || l_partkey, q) AS id, id AS binary_id, 'f' || l_partkey AS name, q FROM f JOIN binaries USING (l_orderkey, l_linenumber))"""
+
+
+def _dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return Farm(spark).documents(_build_documents(spark, sf_dir)).sizes(least_kb=1, most_kb=100).folders_of(2).run()
+
+
+@query(f"{_DATASET_ROWS} SELECT id, identifier, file_name, left(h, 2) || '/' || substr(h, 3) AS path, 4::BIGINT AS size, 'unknown' AS platform, TIMESTAMP '2020-02-03 04:05:06' AS pushed_at FROM binaries")
+def dataset_binary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dataset(spark, sf_dir)["binaries"].select("id", "identifier", "file_name", "path", "size", "platform", F.col("pushed_at").cast("timestamp_ntz").alias("pushed_at"))
+
+
+@query(f"{_DATASET_ROWS} SELECT id, binary_id, name, 'a.c' AS source_file, 0.125::DOUBLE AS intersect_ratio, '00000010-00000020' AS rvas FROM functions")
+def dataset_function_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dataset(spark, sf_dir)["functions"].drop("lines")
+
+
+@query(f"{_DATASET_ROWS} SELECT id, id AS function_id, q AS line_number, '00000010' AS rva, q AS length, 'x;' AS source_code FROM functions")
+def dataset_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dataset(spark, sf_dir)["lines"]
+
+
+@query(f"{_DATASET_ROWS} SELECT binary_id AS id, string_agg(name || ':' || q, ',' ORDER BY name, q) AS functions FROM functions GROUP BY binary_id")
+def dataset_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dataset's tables nested into documents again."""
+    tables = _dataset(spark, sf_dir)
+    nested = corpus.build_documents(tables["binaries"].select("id"), tables["functions"].drop("lines"), tables["lines"])
+    rendered = F.transform("functions", lambda f: F.concat_ws(":", f["name"], F.array_join(F.transform(f["lines"], lambda r: r["line_number"].cast("string")), "+")))
+    return nested.select("id", F.array_join(rendered, ",").alias("functions"))
+
+
 _SOURCE = """#include <a.h>
 /* adds
    two */
@@ -149,7 +200,10 @@ add_{}(int a, int b)
 }}"""
 
 
-@query()
+@query(
+    """SELECT s_suppkey, 'add_' || s_suppkey AS name, '/* adds' || chr(10) || '   two */' AS top_comments, '  // sum' AS body_comments, 'static int' || chr(10) || 'add_' || s_suppkey || '(int a, int b)' AS prototype,
+    concat_ws(chr(10), '/* adds', '   two */', 'static int', 'add_' || s_suppkey || '(int a, int b)', '{', '  // sum', '  return a + b;', '}') AS definition FROM supplier"""
+)
 def comments_prototypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     head, tail = _SOURCE.replace("{{", "{").replace("}}", "}").split("{}")
     body = F.concat(F.lit(head), F.col("s_suppkey").cast("string"), F.lit(tail))
@@ -157,23 +211,23 @@ def comments_prototypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_text.described_functions(functions).drop("body")
 
 
-@query("SELECT doc_id, substr(text, 11, 20) AS span, n_chars FROM documents WHERE lang = 'en' AND regexp_full_match(substr(text, 1, 40), '[\\x01-\\x7f]*')")
+@query("SELECT doc_id, substr(hex(encode(text)), 21, 10) AS first_slice, substr(hex(encode(text)), 37, 24) AS last_slice, substr(hex(encode(text)), 21, 40) AS span FROM documents")
 def function_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = roles.load(spark, sf_dir, "documents").where((F.col("lang") == "en") & F.left("text", F.lit(40)).rlike(r"^[\x01-\x7f]*$"))
+    """Slices and span of bytes of every document, in hex: a byte may be part of a character."""
+    cut = _cut_bytes(roles.load(spark, sf_dir, "documents"))
+    return cut.select(F.col("file_name").alias("doc_id"), F.hex(F.col("slices")[0]).alias("first_slice"), F.hex(F.col("slices")[1]).alias("last_slice"), F.hex("span").alias("span"))
+
+
+def _cut_bytes(docs: DataFrame) -> DataFrame:
     images = docs.select(F.col("doc_id").alias("file_name"), F.encode("text", "utf-8").alias("content"))
     segments = F.array(*[F.struct(F.lit(s).alias("start"), F.lit(e).alias("end")) for s, e in ((10, 15), (18, 30))])
-    cut = corpus.function_bytes(docs.select(F.col("doc_id").alias("file_name"), F.lit("f").alias("name"), segments.alias("segments"), "n_chars").drop("n_chars"), images)
-    return cut.select(F.col("file_name").alias("doc_id"), F.decode("span", "utf-8").alias("span")).join(docs.select("doc_id", "n_chars"), "doc_id")
+    return corpus.function_bytes(docs.select(F.col("doc_id").alias("file_name"), F.lit("f").alias("name"), segments.alias("segments")), images)
 
 
 @query("SELECT doc_id, substr(hex(encode(text)), 21, 40) AS span, n_chars FROM documents")
 def function_bytes_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The span of ``function_bytes`` from all documents, whatever their language and characters: bytes in hex."""
     docs = roles.load(spark, sf_dir, "documents")
-    images = docs.select(F.col("doc_id").alias("file_name"), F.encode("text", "utf-8").alias("content"))
-    segments = F.array(*[F.struct(F.lit(s).alias("start"), F.lit(e).alias("end")) for s, e in ((10, 15), (18, 30))])
-    cut = corpus.function_bytes(docs.select(F.col("doc_id").alias("file_name"), F.lit("f").alias("name"), segments.alias("segments")), images)
-    return cut.select(F.col("file_name").alias("doc_id"), F.hex("span").alias("span")).join(docs.select("doc_id", "n_chars"), "doc_id")
+    return _cut_bytes(docs).select(F.col("file_name").alias("doc_id"), F.hex("span").alias("span")).join(docs.select("doc_id", "n_chars"), "doc_id")
 
 
 @query("SELECT 4320 AS repositories, 30 AS windows, count(DISTINCT k % 5) AS systems FROM range(4320) t(k)")
@@ -183,13 +237,49 @@ def crawled_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).cast("int").alias("repositories"), F.countDistinct(day).cast("int").alias("windows"), F.countDistinct("build_system").alias("systems"))
 
 
+@query(
+    """SELECT 'repo' || k AS name, 'https://api.forge.com/repos/repo' || k AS url, k % 97 AS owner_id, k % 1000 AS size, ['make', 'cmake', 'autoconf', 'bootstrap', 'sln'][k % 5 + 1] AS build_system
+    FROM range(2840112, 2844432) t(k)"""
+)
+def crawled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crawl.crawl(spark, 1_704_067_200, 1_706_659_200).select("name", "url", F.col("owner_id").cast("long").alias("owner_id"), F.col("size").cast("long").alias("size"), "build_system")
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = roles.load(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).format("parquet").option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", True).load(sf_dir)
+
+
+@query(
+    """SELECT make_timestamp((e // 300 * 300 + 300 * (s + 1)) * 1000000) AS until, event_type, count(*) AS n FROM (SELECT event_type, floor(epoch(ts))::BIGINT AS e FROM events), range(12) t(s) GROUP BY ALL"""
+)
+def streamed_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the last hour, every five minutes and by type, counted as a stream."""
+    counted = jobs.sliding_counts(_event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type").withColumn("until", F.col("until").cast("timestamp_ntz"))
+    folder = work_folder(spark, "sliding")
+    table = jobs.VersionedTable(spark, f"{folder}/table", counted.schema, ["until"])
+    jobs.run_available(counted, f"{folder}/checkpoint", lambda batch, k: table.write(batch, k), "complete")
+    return table.before()
+
+
+@query("SELECT user_id, min(event_id) AS event_id, count(*) AS events FROM events GROUP BY user_id")
+def streamed_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that are JSON arrays of records: exploded, and the first record of each key kept, as a stream into a table."""
+    events = roles.load(spark, sf_dir, "events")
+    folder = work_folder(spark, "scrape")
+    batches = events.groupBy(F.floor(F.col("event_id") / 10).alias("batch")).agg(F.to_json(F.collect_list(F.struct("user_id", "event_id"))).alias("value"))
+    batches.select("value").write.text(f"{folder}/inbox")
+    rows = jobs.decoded_batches(spark.readStream.text(f"{folder}/inbox"), "value", "struct<user_id: long, event_id: long>")
+    table = jobs.VersionedTable(spark, f"{folder}/table", rows.schema, ["user_id"])
+    jobs.run_available(rows, f"{folder}/checkpoint", table.insert_new(["user_id"], ["event_id"]))
+    return table.before().join(events.groupBy("user_id").agg(F.count(F.lit(1)).alias("events")), "user_id")
+
+
 @query("SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1")
 def streamed_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream, counted by hour; each batch's updated hours replace the former ones."""
-    schema = roles.load(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).format("parquet").option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", True).load(sf_dir)
     folder = work_folder(spark, "hours")
-    counted = jobs.hourly_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts").withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+    counted = jobs.hourly_counts(_event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")), "ts").withColumn("hour", F.col("hour").cast("timestamp_ntz"))
     table = jobs.VersionedTable(spark, f"{folder}/table", counted.schema)
     jobs.run_available(counted, f"{folder}/checkpoint", lambda batch, k: table.write(batch, k), "complete")
     return table.before()
@@ -201,8 +291,7 @@ def streamed_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streamed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events merged batch by batch into a table of one row a user."""
     events = roles.load(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).format("parquet").option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", True).load(sf_dir)
-    rows = stream.select(F.col("user_id").alias("_id"), "event_id", "event_type", F.floor("value").cast("long").alias("value"))
+    rows = _event_stream(spark, sf_dir).select(F.col("user_id").alias("_id"), "event_id", "event_type", F.floor("value").cast("long").alias("value"))
     folder = work_folder(spark, "upsert")
     table = jobs.VersionedTable(spark, f"{folder}/table", rows.drop("event_id").schema)
     table.write(events.select(F.col("user_id").alias("_id"), F.lit(None).cast("string").alias("event_type"), F.lit(None).cast("long").alias("value")).distinct(), 0)

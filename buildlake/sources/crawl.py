@@ -3,7 +3,8 @@
 The source splits ``[start, end)`` into windows, newest first; each window is
 a partition, so executors fetch windows in parallel. A fetcher is any
 importable ``module:function`` that takes (since, until, page) and returns
-(total, rows); a window is read until ``page * 100 >= min(total, 999)``.
+(total, rows); a window is read until ``page * 100 >= min(total, 999)``, and in
+halves where its total is over 999.
 """
 
 from __future__ import annotations
@@ -31,14 +32,21 @@ def sample_fetch(since: int, until: int, page: int) -> tuple[int, list[dict]]:
 
 
 def fetched(fetch: Callable[[int, int, int], tuple[int, list[dict]]], since: int, until: int) -> Iterator[tuple]:
+    """Rows of a window. One with more than the service gives is read in two halves, down to a second."""
+    total, rows = fetch(since, until, 1)
+    if total > CAP and until - since > 1:
+        middle = (since + until) // 2
+        yield from fetched(fetch, middle, until)
+        yield from fetched(fetch, since, middle)
+        return
     page = 1
     while True:
-        total, rows = fetch(since, until, page)
         for row in rows:
             yield tuple(row.get(f.name) for f in S.CRAWLED.fields)
         if page * PAGE >= min(total, CAP):
             return
         page += 1
+        rows = fetch(since, until, page)[1]
 
 
 class Window(InputPartition):

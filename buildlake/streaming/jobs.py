@@ -6,12 +6,13 @@ an explicit checkpoint folder. The batch twins are in ``operators``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from buildlake import schemas as S
@@ -56,31 +57,24 @@ def worker_sessions(stream: DataFrame, key: str, ts: str, gap: str = "600 second
     return stream.withWatermark(ts, gap).groupBy(F.session_window(ts, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-class Heartbeat(StatefulProcessor):
-    """Pings per worker: first time, last time and number, forgotten ``ttl`` seconds after the last one."""
-
-    def __init__(self, ttl: int = S.WORKER_TTL) -> None:
-        self.ttl = ttl
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("worker", "first timestamp, last timestamp, pings long", self.ttl * 1000)
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        first, last, pings = self.state.get() if self.state.exists() else (None, None, 0)
-        for part in rows:
+def heartbeats(stream: DataFrame, ttl: int = S.WORKER_TTL) -> DataFrame:
+    """Worker states (uuid, first, last, pings) after each batch of pings (uuid, ts), forgotten ``ttl`` seconds after the last one."""
+
+    def beat(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        first, last, pings = state.get if state.exists else (None, None, 0)
+        for part in parts:
             first = part["ts"].min() if first is None else min(first, part["ts"].min())
             last = part["ts"].max() if last is None else max(last, part["ts"].max())
             pings += len(part)
-        self.state.update((first, last, pings))
-        yield pd.DataFrame({"uuid": [str(key[0])], "first": [first], "last": [last], "pings": [pings]})
-
-    def close(self) -> None:
-        pass
+        state.update((first, last, pings))
+        state.setTimeoutDuration(ttl * 1000)
+        yield pd.DataFrame({"uuid": [key[0]], "first": [first], "last": [last], "pings": [pings]})
 
-
-def heartbeats(stream: DataFrame, ttl: int = S.WORKER_TTL) -> DataFrame:
-    """Worker states (uuid, first, last, pings) after each batch of pings (uuid, ts). Needs the RocksDB state store."""
-    return stream.groupBy("uuid").transformWithStateInPandas(Heartbeat(ttl), "uuid string, first timestamp, last timestamp, pings long", "update", "processingTime")
+    told = "first timestamp, last timestamp, pings long"
+    return stream.groupBy("uuid").applyInPandasWithState(beat, f"uuid string, {told}", told, "update", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
@@ -95,34 +89,71 @@ def to_folder(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 class VersionedTable:
-    """A table that batches are merged into: a folder of versions named by batch, so a replayed batch replaces itself."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: StructType) -> None:
-        self.spark, self.path, self.schema = spark, path, schema
-
-    def _folders(self) -> Iterable[str]:
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
-
-    def before(self, batch: int | None = None) -> DataFrame:
-        """The newest version before a batch, or of all."""
-        done = [int(n.removeprefix("v=")) for n in self._folders() if n.startswith("v=")]
-        done = [n for n in done if batch is None or n < batch]
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={max(done)}") if done else self.spark.createDataFrame([], self.schema)
+    """A table that batches are merged into: buckets of its key, each with versions named by batch.
+
+    A batch writes the buckets that it touches and no others, in one write, and
+    a replayed batch replaces its own. Of a bucket the newest version stays, and
+    the one before it, from which the newest is made again if it is replayed.
+    Without ``keys`` the first sink's keys decide on the buckets, or else the
+    first column.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: list[str] | None = None, buckets: int = 64) -> None:
+        self.spark, self.path, self.schema, self.keys, self.buckets = spark, path, schema, keys, buckets
+        self.root = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = self.root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _numbers(self, path: str, prefix: str) -> list[int]:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        names = [s.getPath().getName() for s in self.fs.listStatus(at)] if self.fs.exists(at) else []
+        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+    def versions(self) -> dict[int, list[int]]:
+        """Batches that wrote each bucket, in order."""
+        out: dict[int, list[int]] = {}
+        for v in self._numbers(self.path, "v="):
+            for b in self._numbers(f"{self.path}/v={v}", "bucket="):
+                out.setdefault(b, []).append(v)
+        return out
+
+    def _read(self, newest: dict[int, int]) -> DataFrame:
+        paths = [f"{self.path}/v={v}/bucket={b}" for b, v in sorted(newest.items())]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def before(self, batch: int | None = None, only: list[int] | None = None) -> DataFrame:
+        """What the table held before a batch, or holds now; of some buckets or all."""
+        older = {b: [v for v in vs if batch is None or v < batch] for b, vs in self.versions().items() if only is None or b in only}
+        return self._read({b: vs[-1] for b, vs in older.items() if vs})
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*(self.keys or self.schema.fieldNames()[:1])), F.lit(self.buckets)).cast("int")
+
+    def _keyed_by(self, keys: list[str]) -> None:
+        self.keys = self.keys or keys
+        if not set(self.keys) <= set(keys):
+            raise ValueError(f"the table's buckets are of {self.keys}, rows of one key may lie in several")
 
     def write(self, table: DataFrame, batch: int) -> None:
-        table.write.mode("overwrite").parquet(f"{self.path}/v={batch}")
+        """A batch's version of the buckets that ``table`` has rows of."""
+        table.withColumn("bucket", self.bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/v={batch}")
+        for b, vs in self.versions().items():
+            for v in vs[:-2]:
+                self.fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}/bucket={b}"), True)
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        return [r["b"] for r in rows.select(self.bucket().alias("b")).distinct().collect()]  # bounded by the number of buckets
 
     def merge_updates(self, key: str, order: list[str]) -> Callable[[DataFrame, int], None]:
         """A sink that applies each batch's newest update of every key."""
-        return lambda updates, batch: self.write(tasks.merged(self.before(batch), updates, key, order), batch)
+        self._keyed_by([key])
+        return lambda updates, batch: self.write(tasks.merged(self.before(batch, self._touched(updates)), updates, key, order), batch)
 
     def insert_new(self, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
         """A sink that adds rows whose key is new, the first of each."""
+        self._keyed_by(keys)
 
         def sink(rows: DataFrame, batch: int) -> None:
-            old = self.before(batch)
+            old = self.before(batch, self._touched(rows))
             self.write(old.unionByName(tasks.keep_first(rows, keys, order, old.select(*keys)).select(*old.columns)), batch)
 
         return sink

@@ -34,9 +34,11 @@ def test_dump(spark):
     got = [(r["function"], r["line_number"], r["rva"], r["length"], r["source_file"], r["digest"]) for r in rows.orderBy("pos").collect()]
     assert got[1] == ("intmain", 2, "00001010", 6, "c:\\a\\m.c", "AA")
     assert got[3] == ("voidns::Work", 7, "00002004", 12, "d:\\b\\w.c", "BB")
-    segments = [(r["function"], r["rva_start"], r["rva_end"], round(r["debug_ratio"], 3)) for r in debuginfo.segments(rows).orderBy("pos").collect()]
-    # the dump's last run has no row behind it, so it stays open
-    assert segments == [("intmain", "00001000", "00001016", 0.0), ("voidns::Work", "00002000", "00002010", 0.25)]
+    told = lambda rows: [(r["function"], r["rva_start"], r["rva_end"], round(r["debug_ratio"], 3)) for r in debuginfo.segments(rows).orderBy("pos").collect()]
+    closed = [("intmain", "00001000", "00001016", 0.0), ("voidns::Work", "00002000", "00002010", 0.25)]
+    # the dump's last run has no row behind it: its end closes it, unless asked otherwise
+    assert told(rows) == [*closed, ("voidns::Work", "00002000", "00002028", 0.167)]
+    assert told(debuginfo.dump_rows(debuginfo.text_lines(one(spark, dump=1, content=DUMP), "dump", "content"), end_closes=False)) == closed
 
 
 def test_source_lines_are_one_based(spark):
