@@ -7,6 +7,7 @@ an explicit checkpoint folder. The batch twins are in ``operators``.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import UTC
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,8 +58,8 @@ def worker_sessions(stream: DataFrame, key: str, ts: str, gap: str = "600 second
     return stream.withWatermark(ts, gap).groupBy(F.session_window(ts, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def heartbeats(stream: DataFrame, ttl: int = S.WORKER_TTL) -> DataFrame:
-    """Worker states (uuid, first, last, pings) after each batch of pings (uuid, ts), forgotten ``ttl`` seconds after the last one."""
+def heartbeats(stream: DataFrame, ttl: int = S.WORKER_TTL, delay: str = "0 seconds") -> DataFrame:
+    """Worker states (uuid, first, last, pings) after each batch of pings (uuid, ts), forgotten once pings are ``ttl`` seconds past the last one."""
 
     def beat(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -66,15 +67,15 @@ def heartbeats(stream: DataFrame, ttl: int = S.WORKER_TTL) -> DataFrame:
             return
         first, last, pings = state.get if state.exists else (None, None, 0)
         for part in parts:
-            first = part["ts"].min() if first is None else min(first, part["ts"].min())
-            last = part["ts"].max() if last is None else max(last, part["ts"].max())
+            low, high = part["ts"].min().to_pydatetime(), part["ts"].max().to_pydatetime()
+            first, last = (low, high) if first is None else (min(first, low), max(last, high))
             pings += len(part)
         state.update((first, last, pings))
-        state.setTimeoutDuration(ttl * 1000)
+        state.setTimeoutTimestamp(max(int(last.replace(tzinfo=UTC).timestamp() + ttl) * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"uuid": [key[0]], "first": [first], "last": [last], "pings": [pings]})
 
     told = "first timestamp, last timestamp, pings long"
-    return stream.groupBy("uuid").applyInPandasWithState(beat, f"uuid string, {told}", told, "update", GroupStateTimeout.ProcessingTimeTimeout)
+    return stream.withWatermark("ts", delay).groupBy("uuid").applyInPandasWithState(beat, f"uuid string, {told}", told, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
