@@ -54,11 +54,11 @@ class BytePairs:
 
     def encode(self, text: str) -> np.ndarray:
         if self.plain(text):
-            return self.fast.encode_to_numpy(text, disallowed_special=())
+            return np.array(self.fast.encode_ordinary(text), dtype=np.uint32)
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def count(self, text: str) -> int:
-        return len(self.encode(text))
+        return len(self.fast.encode_ordinary(text)) if self.plain(text) else len(self.exact.encode(text, add_special_tokens=False))
 
 
 class SentencePieces:
