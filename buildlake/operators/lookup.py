@@ -63,27 +63,26 @@ def first_by_name(table: DataFrame, limit: int | None, *order: str) -> DataFrame
     return table.orderBy(*order).limit(limit) if limit else table
 
 
-_GRAM = 4
-
-
-def _opening(value: Column) -> Column:
-    """The first few characters of a text, all of a shorter one."""
-    return F.left(value, F.lit(_GRAM))
-
-
-def _runs(value: Column, n: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(value) - (n - 1), F.lit(1))), lambda i: F.substring(value, i, F.lit(n)))
-
-
-def _grams(value: Column) -> Column:
-    """All runs of up to ``_GRAM`` characters, the empty one included: what a text contained in ``value`` can begin with."""
-    return F.array_distinct(F.concat(F.array(F.lit("")), *[_runs(value, n) for n in range(1, _GRAM + 1)]))
+def _inner_word(value: Column) -> Column:
+    """The longest word with white space on both sides, null without one: what contains the text has it as a word of its own."""
+    parts = F.split(value, r"\s+")
+    inner = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0)))
+    return F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("word"))))["word"]
 
 
 def _contained(whole: DataFrame, part: DataFrame) -> DataFrame:
-    """Distinct (whole, part) with the part inside the whole; only texts that share the part's opening are compared."""
-    left = whole.withColumn("gram", F.explode(_grams(F.col("whole"))))
-    return left.join(part.withColumn("gram", _opening(F.col("part"))), "gram").where(F.col("whole").contains(F.col("part"))).drop("gram")
+    """Distinct (whole, part) with the part inside the whole.
+
+    Parts of three words or more meet only texts that have their longest inner
+    word; shorter ones are compared with every text.
+    """
+    keyed = part.withColumn("word", _inner_word(F.col("part")))
+    told = whole.withColumn("key", F.sha2("whole", 256))
+    words = told.select("key", F.explode(F.array_distinct(F.split("whole", r"\s+"))).alias("word"))
+    likely = words.join(keyed.where("word is not null"), "word").select("key", "part").distinct()
+    inside = F.col("whole").contains(F.col("part"))
+    long = likely.join(told, "key").where(inside).select("whole", "part")
+    return long.union(whole.join(keyed.where("word is null").select("part"), inside).select("whole", "part"))
 
 
 def without_blacklisted(table: DataFrame, name: Column, blacklist: DataFrame, item: str) -> DataFrame:
