@@ -219,7 +219,8 @@ def _prefix_pairs(sets: DataFrame, first_row: DataFrame, docs: DataFrame, k: int
     packed = rows.mapInArrow(pack, f"{kinds}, tokens binary, {', '.join(f'{m} long' for m in maps)}")
     held = staged(packed.dropDuplicates(["set_id"]), "tokens")
     tokens = held.select("set_id", "component", "n", "tokens").mapInArrow(unpack, f"token long, {kinds}")
-    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # written before it is joined: a token that a whole crowd holds is many rows of a join with two plain sides
+    often = staged(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "often")
     one = Window.partitionBy("set_id")
     # shingles of one set alone come first in its order; only their number matters
     ranked = tokens.join(often, "token").withColumn("pos", F.col("n") - F.count(F.lit(1)).over(one) + F.row_number().over(one.orderBy("df", "token")))

@@ -247,7 +247,7 @@ def pack_documents(docs: DataFrame, path: str, ranks: str | None = None, end_id:
 
     pieces = staged(ordered.mapInArrow(work, PIECES), "pieces")
     counts = pieces.groupBy("part").agg((F.max("window") + 1).alias("n"))
-    # one row a partition
-    starts = counts.withColumn("first", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    placed = pieces.join(F.broadcast(starts), "part")
+    # one row for each ``partition_tokens``: written, so that its size decides how it is joined
+    starts = staged(counts.withColumn("first", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n"), "starts")
+    placed = pieces.join(starts, "part")
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("first") + F.col("window")).alias("sequence_id"), "offset")

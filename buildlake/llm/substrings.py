@@ -598,12 +598,10 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
     chained = staged(chained.join(first.select("doc_id", "part").hint("shuffle_merge"), ["doc_id", "part"], "left_semi").distinct(), "chains")
     # only what the chains name is read again; how much that is has no bound
     wanted = chained.select("doc_id", "part").union(chained.select("ref_doc", "ref_part")).distinct()
-    named = texts.join(wanted.hint("shuffle_merge"), "doc_id")
+    named = texts.withColumn("part", text_key_of(F.col("text"))).join(wanted.hint("shuffle_merge"), ["doc_id", "part"])
 
     def as_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = [text_key(t.as_py().encode()) == k.as_py() for t, k in zip(batch.column("text"), batch.column("part"), strict=True)]
-            batch = batch.filter(pa.array(same, pa.bool_()))  # an id may stand for several texts
             for i, w in batch_words(batch.column("text")):
                 n = len(w.ptr) - 1
                 words = [(w.hashes[a:b] >> np.uint64(32)).astype("<u4").tobytes() for a, b in zip(w.ptr[:-1], w.ptr[1:], strict=True)]
