@@ -529,3 +529,23 @@ def test_similar_by_word_alignment():
             x = [m.a + i for m in runs for i in range(m.size - 3)]
             start, end, _, _, matched = substrings.align(a, b, x, x)
             assert matched == int((a[start:end] == b[start:end]).sum())
+
+
+def test_threshold_of_least_cost():
+    good, bad = np.array([0.3, 0.4, 0.4, 0.5, 0.9]), np.array([0.45, 0.6, 0.7, 0.8])
+    price = lambda t, c: c * (good > t).mean() + (bad <= t).mean()
+    for cost in (0.1, 1.0, 4.0, 100.0):
+        found = quality_rules.least_cost(good, bad, cost)
+        assert price(found, cost) == min(price(t, cost) for t in np.linspace(0.25, 1, 400))
+    assert quality_rules.least_cost(good, bad[:0]) == 1.0 == quality_rules.least_cost(good[:0], bad)
+
+
+def test_rules_reject_bad_rows_they_have_not_seen(spark):
+    """Fitted on half of the labelled rows of a larger table; judged on the others, of those that pass the base rule."""
+    sf_dir = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    half = F.col("doc_id") % 2 == 0
+    judged = quality_rules.quality_rules(docs, labels.where(half)).where(~half & ~F.col("base_failed")).join(labels, "doc_id")
+    share = {r["quality"]: r["kept"] for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1] >= 0.985 and share[0] <= 0.1, share
