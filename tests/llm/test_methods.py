@@ -549,3 +549,51 @@ def test_rules_reject_bad_rows_they_have_not_seen(spark):
     judged = quality_rules.quality_rules(docs, labels.where(half)).where(~half & ~F.col("base_failed")).join(labels, "doc_id")
     share = {r["quality"]: r["kept"] for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
     assert share[1] >= 0.985 and share[0] <= 0.1, share
+
+
+@pytest.mark.parametrize(("copies", "share"), [(12, 0.05), (40, 0.1)])
+def test_families_of_edited_copies(spark, copies, share):
+    """Passages of 100 words in more documents than make a seed rare, each edited on its own; an earlier copy must be found for nine in ten."""
+    rng = np.random.default_rng(copies)
+    rows, of = [], {}
+    for f in range(6):
+        passage = noise(rng, 100)
+        for c in range(copies):
+            edited = [w if rng.random() >= share else noise(rng, 1)[0] for w in passage]
+            rows.append((1000 * c + f, " ".join([*noise(rng, 40), *edited, *noise(rng, 40)]), None, 1))
+            of[1000 * c + f] = edited
+    got = collections.defaultdict(set)
+    for r in passages_of(spark, rows).collect():
+        assert r["doc_id"] % 1000 == r["ref_doc_id"] % 1000
+        got[r["doc_id"]].add(r["ref_doc_id"])
+    same = lambda a, b: sum(x == y for x, y in zip(of[a], of[b], strict=True)) >= 80
+    wanted = [d for d in of if any(e < d and e % 1000 == d % 1000 and same(d, e) for e in of)]
+    assert len(wanted) > 5 * copies and len(got.keys() & set(wanted)) >= 0.9 * len(wanted), (len(got), len(wanted))
+
+
+@pytest.mark.parametrize("n", [50, 53])
+def test_runs_whose_parts_stand_in_older_documents(spark, n):
+    rng = np.random.default_rng(n)
+    rows = []
+    for i in range(20):
+        run = noise(rng, n)
+        for o in range(12):
+            cut = [*run[: n // 2], *noise(rng, 40), *run[n // 2 :]] if o % 2 else [*run[n // 3 :], *noise(rng, 40), *run[: n // 3]]
+            rows.append((100 * i + o, " ".join([*noise(rng, 20), *cut, *noise(rng, 20)]), None, 1))
+        rows += [(d + i, " ".join([*noise(rng, 25), *run, *noise(rng, 35)]), None, 1) for d in (10_000, 20_000)]
+    got = {(r["doc_id"], r["ref_doc_id"], r["start_word"], r["end_word"]) for r in passages_of(spark, rows).where("doc_id >= 20000").collect()}
+    assert {(20_000 + i, 10_000 + i, 25, 25 + n) for i in range(20)} <= got
+
+
+@pytest.mark.parametrize("shared", [None, 5])
+def test_many_texts_under_one_id(spark, shared):
+    """Each is read once for its own passages, however many share the id."""
+    rng = np.random.default_rng(4)
+    rows, wanted = [], set()
+    for i in range(400):
+        passage = noise(rng, 55)
+        rows.append((shared, " ".join([*noise(rng, 10), *passage]), None, 1))
+        rows.append((1000 + i, " ".join([*passage, *noise(rng, 10)]), None, 1))
+        wanted.add((1000 + i, shared, 0, 55, 10, 65))
+    got = {(r["doc_id"], r["ref_doc_id"], r["start_word"], r["end_word"], r["ref_start"], r["ref_end"]) for r in passages_of(spark, rows).collect()}
+    assert got == wanted
