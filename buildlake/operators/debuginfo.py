@@ -1,17 +1,17 @@
 """Debug dumps and tag lists as tables: functions, segments, lines, source text.
 
 A dump is a table of (dump, pos, line). Headers and paths are carried to the
-rows behind them by windows over one dump; nothing is parsed row by row in
-Python.
+rows behind them by scans over ranges of lines, so a dump may be of any length;
+nothing is parsed row by row in Python.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from buildlake.functions import numbers, text
-from buildlake.operators import sequences
+from buildlake.operators import scans, sequences
 
 # fixed value: line numbers beyond this are the compiler's own
 HIDDEN_LINE = 10_000_000
@@ -25,7 +25,10 @@ def text_lines(files: DataFrame, key: str, content: str) -> DataFrame:
 def dump_rows(lines: DataFrame, per: str = "dump", end_closes: bool = True) -> DataFrame:
     """Line rows of dumps with their function, source file and digest; rows before a header or a path have nulls.
 
-    A row closes its run if the line behind it is none; ``end_closes``: the end of the dump closes one as well.
+    A row closes its run if the line behind it is none; ``end_closes``: the end
+    of the dump closes one as well. rva_start is the header's first address,
+    share the share of hidden lines in the length of its lines so far. A dump
+    may have any number of lines: they are scanned in ranges.
     """
     line = text.stripped(F.col("line"))
     header = line.startswith("**")
@@ -36,37 +39,33 @@ def dump_rows(lines: DataFrame, per: str = "dump", end_closes: bool = True) -> D
         "is_header": header,
         "function": F.when(header, F.replace(F.replace(line, F.lit("**"), F.lit("")), F.lit(" "), F.lit(""))),
         "path": F.when(row & (path != ""), path),
+        "line_number": F.when(row, F.regexp_extract(line, r"line (\d+)", 1).cast("long")),
+        "rva": F.when(row, F.regexp_extract(line, r"at \[(\w+)\]", 1)),
+        "length": F.when(row, numbers.from_hex(F.regexp_extract(line, r"len = (\w+)", 1))),
+    })
+    begins = F.col("is_header")
+    found = scans.scanned(marked, [per], ["pos"], {
+        "header": scans.Sum(F.when(begins, 1).otherwise(0)),
+        "function": scans.Last(F.col("function")),
+        "path": scans.Last(F.col("path")),
+        "rva_start": scans.First(F.col("rva"), begins),
+        "total": scans.Sum(F.col("length"), begins),
+        "hidden": scans.Sum(F.when(F.col("line_number") > HIDDEN_LINE, F.col("length")), begins),
+        "next_is_row": scans.Following(F.col("is_row")),
     })
-    marked = sequences.island_ids(marked, F.col("is_header"), [per], ["pos"], "header")
-    for column in ("function", "path"):
-        marked = sequences.carried(marked, column, [per], ["pos"])
-    w = Window.partitionBy(per).orderBy("pos")
-    marked = marked.withColumn("closes", ~F.coalesce(F.lead("is_row").over(w), F.lit(not end_closes)))
     source = text.digest_of_path(F.col("path"))
-    return marked.where("is_row").select(
-        per,
-        "pos",
-        "header",
-        "function",
-        F.regexp_extract(line, r"line (\d+)", 1).cast("long").alias("line_number"),
-        F.regexp_extract(line, r"at \[(\w+)\]", 1).alias("rva"),
-        numbers.from_hex(F.regexp_extract(line, r"len = (\w+)", 1)).alias("length"),
-        source["file"].alias("source_file"),
-        source["digest"].alias("digest"),
-        "closes",
-    )
+    share = F.when(F.col("total") != 0, F.col("hidden") / F.col("total")).otherwise(F.lit(0.0))
+    closes = ~F.coalesce("next_is_row", F.lit(not end_closes))
+    return found.where("is_row").select(per, "pos", "header", "function", "line_number", "rva", "length", source["file"].alias("source_file"), source["digest"].alias("digest"), closes.alias("closes"), "rva_start", share.alias("share"))
 
 
 def segments(rows: DataFrame, per: str = "dump") -> DataFrame:
-    """One row for each closed run of lines: from its header's first address to behind the run's last line.
+    """One row for each closed run of ``dump_rows``: from its header's first address to behind the run's last line.
 
     debug_ratio is the share of hidden lines since the header. A header's runs
     share the first address, as the dump's reader keeps one record a header.
     """
-    first = F.first("rva").over(Window.partitionBy(per, "header").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    shared = sequences.running_share(rows.withColumn("rva_start", first), F.col("length"), F.col("line_number") > HIDDEN_LINE, [per, "header"], ["pos"])
-    closed = shared.where("closes")
-    return closed.select(per, "function", "header", "pos", "rva_start", numbers.hex_plus(F.col("rva"), F.col("length")).alias("rva_end"), F.col("share").alias("debug_ratio"))
+    return rows.where("closes").select(per, "function", "header", "pos", "rva_start", numbers.hex_plus(F.col("rva"), F.col("length")).alias("rva_end"), F.col("share").alias("debug_ratio"))
 
 
 def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:

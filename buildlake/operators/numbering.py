@@ -17,14 +17,15 @@ from buildlake.sources.staging import staged
 _ROW = 33  # bits of a row's position within its partition, as Spark numbers rows
 
 
-def _ranges(table: DataFrame, order: Sequence[str], per: Sequence[str]) -> DataFrame:
+def in_ranges(table: DataFrame, order: Sequence[str], per: Sequence[str]) -> DataFrame:
+    """``table``, written, with ``__range`` and ``__at``: where each row lies in the order of groups and of ``order``."""
     ordered = table.repartitionByRange(*per, *order).sortWithinPartitions(*per, *order)
     return staged(ordered.withColumn("__at", F.monotonically_increasing_id()), "ranges").withColumn("__range", F.shiftright("__at", _ROW))
 
 
 def with_keys(table: DataFrame, name: str, order: Sequence[str], per: Sequence[str] = ()) -> DataFrame:
     """``table`` with gapless numbers from 1 in the natural order of ``order``, within each group of ``per``."""
-    held = _ranges(table, order, per)
+    held = in_ranges(table, order, per)
     counts = held.groupBy(*per, "__range").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
     # one row for each range of a group
     earlier = Window.partitionBy(*per).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
@@ -35,7 +36,7 @@ def with_keys(table: DataFrame, name: str, order: Sequence[str], per: Sequence[s
 
 def running_sums(table: DataFrame, name: str, value: Column, order: Sequence[str]) -> DataFrame:
     """``table`` with the sum of ``value`` over all rows up to each, by ``order``."""
-    held = _ranges(table.withColumn("__v", value), order, ())
+    held = in_ranges(table.withColumn("__v", value), order, ())
     sums = held.groupBy("__range").agg(F.sum("__v").alias("__s"))
     earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("__before", F.coalesce(F.sum("__s").over(earlier), F.lit(0))).drop("__s")

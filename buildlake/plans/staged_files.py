@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from buildlake.farm import Farm
 from buildlake.operators import corpus, debuginfo, projects, source_text
+from buildlake.operators.numbering import with_keys
 from buildlake.plans.registry import Registry
 from buildlake.sources import crawl, files, roles
 from buildlake.sources.staging import work_folder
@@ -18,27 +19,28 @@ REGISTRY = query = Registry()
 def _dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A debug dump for each supplier: a header for each of its parts' orders, a line for each item."""
     items = roles.load(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q")).distinct()
-    row = F.format_string("line %d at [%08x], len = 0x%x c:\\src\\f%d.c (MD5: AB)", "l_linenumber", F.col("l_orderkey") * 64, "q", F.col("l_partkey") % 7)
+    number = F.col("l_linenumber") + F.when(F.col("l_partkey") % 5 == 0, 20_000_000).otherwise(0)  # hidden lines
+    row = F.format_string("line %d at [%08x], len = 0x%x c:\\src\\f%d.c (MD5: AB)", number, F.col("l_orderkey") * 64, "q", F.col("l_partkey") % 7)
     lines = items.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "q", row.alias("line"))
     heads = items.select("l_suppkey", "l_orderkey").distinct().select("l_suppkey", "l_orderkey", F.lit(0).alias("l_linenumber"), F.lit(0).cast("long").alias("l_partkey"), F.lit(0).cast("long").alias("q"), F.concat(F.lit("** f"), "l_orderkey").alias("line"))
-    place = F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "q", "line")) - 1
-    return lines.unionByName(heads).select(F.col("l_suppkey").alias("dump"), place.alias("pos"), "line")
+    placed = with_keys(lines.unionByName(heads), "pos", ["l_orderkey", "l_linenumber", "l_partkey", "q", "line"], ["l_suppkey"])
+    return placed.select(F.col("l_suppkey").alias("dump"), "pos", "line")
 
 
 @query(
     """WITH i AS (SELECT DISTINCT l_suppkey AS dump, l_orderkey, l_linenumber, l_partkey, l_quantity::BIGINT AS q FROM lineitem)
     SELECT dump, 'f' || l_orderkey AS function, lower(printf('%08x', l_orderkey * 64)) AS rva_start,
-    lower(printf('%08x', l_orderkey * 64 + arg_max(q, (l_linenumber, l_partkey, q)))) AS rva_end, 0.0::DOUBLE AS debug_ratio FROM i
+    lower(printf('%08x', l_orderkey * 64 + arg_max(q, (l_linenumber, l_partkey, q)))) AS rva_end,
+    CASE WHEN sum(q) = 0 THEN 0 ELSE coalesce(sum(q) FILTER (WHERE l_partkey % 5 = 0), 0) / sum(q) END::DOUBLE AS debug_ratio FROM i
     GROUP BY dump, l_orderkey"""
 )
 def debug_dump_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = debuginfo.dump_rows(_dump_lines(spark, sf_dir))
-    last = debuginfo.segments(rows).select("dump", "function", "rva_start", "rva_end", "debug_ratio")
-    return last
+    return debuginfo.segments(rows).select("dump", "function", "rva_start", "rva_end", "debug_ratio")
 
 
 @query(
-    """SELECT DISTINCT l_suppkey AS dump, 'f' || l_orderkey AS function, l_linenumber::BIGINT AS line_number, lower(printf('%08x', l_orderkey * 64)) AS rva, l_quantity::BIGINT AS length,
+    """SELECT DISTINCT l_suppkey AS dump, 'f' || l_orderkey AS function, l_linenumber::BIGINT + CASE WHEN l_partkey % 5 = 0 THEN 20000000 ELSE 0 END AS line_number, lower(printf('%08x', l_orderkey * 64)) AS rva, l_quantity::BIGINT AS length,
     'c:\\src\\f' || l_partkey % 7 || '.c' AS source_file, 'AB' AS digest FROM lineitem"""
 )
 def debug_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
