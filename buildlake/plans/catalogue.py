@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from buildlake.plans import control, ordered, queues, scalar, staged_files
+from buildlake.plans import control, ordered, queues, scalar, staged_files, streams
 from buildlake.plans.registry import merged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]]
 ORACLE_SQL: dict[str, str]
-QUERIES, ORACLE_SQL = merged(control.REGISTRY, ordered.REGISTRY, queues.REGISTRY, scalar.REGISTRY, staged_files.REGISTRY)
+QUERIES, ORACLE_SQL = merged(control.REGISTRY, ordered.REGISTRY, queues.REGISTRY, scalar.REGISTRY, staged_files.REGISTRY, streams.REGISTRY)

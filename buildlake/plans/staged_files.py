@@ -9,7 +9,7 @@ from buildlake.farm import Farm
 from buildlake.operators import corpus, debuginfo, projects, source_text
 from buildlake.operators.numbering import with_keys
 from buildlake.plans.registry import Registry
-from buildlake.sources import crawl, files, roles
+from buildlake.sources import files, roles
 from buildlake.sources.staging import work_folder
 from buildlake.streaming import jobs
 
@@ -232,21 +232,6 @@ def function_bytes_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cut_bytes(docs).select(F.col("file_name").alias("doc_id"), F.hex("span").alias("span")).join(docs.select("doc_id", "n_chars"), "doc_id")
 
 
-@query("SELECT 4320 AS repositories, 30 AS windows, count(DISTINCT k % 5) AS systems FROM range(4320) t(k)")
-def crawled_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = crawl.crawl(spark, 1_704_067_200, 1_706_659_200)
-    day = F.floor(F.col("created_at").cast("long") / 86400)
-    return rows.agg(F.count(F.lit(1)).cast("int").alias("repositories"), F.countDistinct(day).cast("int").alias("windows"), F.countDistinct("build_system").alias("systems"))
-
-
-@query(
-    """SELECT 'repo' || k AS name, 'https://api.forge.com/repos/repo' || k AS url, k % 97 AS owner_id, k % 1000 AS size, ['make', 'cmake', 'autoconf', 'bootstrap', 'sln'][k % 5 + 1] AS build_system
-    FROM range(2840112, 2844432) t(k)"""
-)
-def crawled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crawl.crawl(spark, 1_704_067_200, 1_706_659_200).select("name", "url", F.col("owner_id").cast("long").alias("owner_id"), F.col("size").cast("long").alias("size"), "build_system")
-
-
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = roles.load(spark, sf_dir, "events").schema
     return spark.readStream.schema(schema).format("parquet").option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", True).load(sf_dir)

@@ -1,10 +1,12 @@
 """A paged, time-windowed crawl as a Spark data source: batch and stream, offline or with a fetcher of one's own.
 
 The source splits ``[start, end)`` into windows, newest first; each window is
-a partition, so executors fetch windows in parallel. A fetcher is any
-importable ``module:function`` that takes (since, until, page) and returns
-(total, rows); a window is read until ``page * 100 >= min(total, 999)``, and in
-halves where its total is over 999.
+a partition, so executors fetch windows in parallel, in a stream too: its
+driver side only moves the offset, the time up to which all is read. A fetcher
+is any importable ``module:function`` that takes (since, until, page) and
+returns (total, rows); a window is read until ``page * 100 >= min(total, 999)``,
+and in halves where its total is over 999. With the option ``source`` the
+function is called with it and returns the fetcher.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import importlib
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 from buildlake import schemas as S
@@ -56,14 +58,31 @@ class Window(InputPartition):
 
 class _Options:
     def __init__(self, options: dict) -> None:
-        self.start = max(OLDEST, int(options.get("start", OLDEST)))
-        self.end = int(options["end"])
+        oldest = int(options.get("oldest", OLDEST))
+        self.start = max(oldest, int(options.get("start", oldest)))
+        self.end = options.get("end")
+        self.frontier = options.get("frontier")
         self.interval = int(options.get("interval", 86400))
         self.fetcher = options.get("fetcher", f"{__name__}:sample_fetch")
+        self.source = options.get("source")
 
     def fetch(self) -> Callable[[int, int, int], tuple[int, list[dict]]]:
-        module, name = self.fetcher.split(":")
-        return getattr(importlib.import_module(module), name)
+        return self.of_source(self.fetcher) if self.source is not None else _imported(self.fetcher)
+
+    def of_source(self, name: str) -> Callable | int:
+        return _imported(name)(*([] if self.source is None else [self.source]))
+
+    def windows(self, start: int, end: int) -> list[Window]:
+        return [Window(max(start, until - self.interval), until) for until in range(end, start, -self.interval)]
+
+    def newest(self) -> int:
+        """The second up to which there is something to read: a fixed one, or what ``frontier`` (a ``module:function``, called with ``source`` if there is one) says now."""
+        return int(self.end if self.frontier is None else self.of_source(self.frontier))
+
+
+def _imported(name: str) -> Callable:
+    module, function = name.split(":")
+    return getattr(importlib.import_module(module), function)
 
 
 class CrawlReader(DataSourceReader):
@@ -71,31 +90,34 @@ class CrawlReader(DataSourceReader):
         self.options = _Options(options)
 
     def partitions(self) -> list[Window]:
-        o = self.options
-        return [Window(max(o.start, until - o.interval), until) for until in range(o.end, o.start, -o.interval)]
+        return self.options.windows(self.options.start, int(self.options.end))
+
+    def read(self, partition: Window | None) -> Iterator[tuple]:
+        """Rows of a window; without windows Spark asks for None."""
+        return iter(()) if partition is None else fetched(self.options.fetch(), partition.since, partition.until)
 
-    def read(self, partition: Window) -> Iterator[tuple]:
-        return fetched(self.options.fetch(), partition.since, partition.until)
 
+class CrawlStream(DataSourceStreamReader):
+    """A micro-batch is what lies between two offsets, in windows that executors fetch; nothing is kept on the driver.
 
-class CrawlStream(SimpleDataSourceStreamReader):
-    """One window a micro-batch, backwards; the offset is where the crawl has got to."""
+    Offsets only grow: after a restart the query goes on at the checkpointed
+    one, and a batch that was planned but not committed is planned again alike.
+    """
 
     def __init__(self, options: dict) -> None:
         self.options = _Options(options)
 
     def initialOffset(self) -> dict:  # noqa: N802
-        return {"until": self.options.end}
+        return {"until": self.options.start}
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        o, until = self.options, start["until"]
-        if until <= o.start:
-            return iter([]), start
-        since = max(o.start, until - o.interval)
-        return fetched(o.fetch(), since, until), {"until": since}
+    def latestOffset(self) -> dict:  # noqa: N802
+        return {"until": max(self.options.start, self.options.newest())}
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:  # noqa: N802
-        return fetched(self.options.fetch(), end["until"], start["until"]) if end["until"] < start["until"] else iter([])
+    def partitions(self, start: dict, end: dict) -> list[Window]:
+        return self.options.windows(start["until"], end["until"])
+
+    def read(self, partition: Window) -> Iterator[tuple]:
+        return fetched(self.options.fetch(), partition.since, partition.until)
 
 
 class RepositoryCrawl(DataSource):
@@ -109,12 +131,23 @@ class RepositoryCrawl(DataSource):
     def reader(self, schema: StructType) -> CrawlReader:
         return CrawlReader(self.options)
 
-    def simpleStreamReader(self, schema: StructType) -> CrawlStream:  # noqa: N802
+    def streamReader(self, schema: StructType) -> CrawlStream:  # noqa: N802
         return CrawlStream(self.options)
 
 
-def crawl(spark: SparkSession, start: int, end: int, interval: int = 86400, fetcher: str | None = None) -> DataFrame:
-    """Rows of all windows; filter and project them like any table."""
+def _options(**chosen: object) -> dict:
+    return {k: v for k, v in chosen.items() if v is not None}
+
+
+def crawl(spark: SparkSession, start: int, end: int, interval: int = 86400, fetcher: str | None = None, source: str | None = None, oldest: int | None = None) -> DataFrame:
+    """Rows of all windows from ``start``, or ``oldest`` if that is later; filter and project them like any table."""
+    spark.dataSource.register(RepositoryCrawl)
+    return spark.read.format(FORMAT).options(**_options(start=start, end=end, interval=interval, fetcher=fetcher, source=source, oldest=oldest)).load()
+
+
+def crawl_stream(spark: SparkSession, start: int, end: int | None = None, frontier: str | None = None, interval: int = 86400, fetcher: str | None = None, source: str | None = None, oldest: int | None = None) -> DataFrame:
+    """The crawl as a stream, up to ``end`` or as far as ``frontier`` says whenever a batch is planned."""
+    if (end is None) == (frontier is None):
+        raise ValueError("a crawl ends at a second or at a frontier")
     spark.dataSource.register(RepositoryCrawl)
-    reader = spark.read.format(FORMAT).option("start", start).option("end", end).option("interval", interval)
-    return (reader.option("fetcher", fetcher) if fetcher else reader).load()
+    return spark.readStream.format(FORMAT).options(**_options(start=start, end=end, frontier=frontier, interval=interval, fetcher=fetcher, source=source, oldest=oldest)).load()
