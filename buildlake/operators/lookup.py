@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from buildlake.functions import numbers, text, times
 from buildlake.operators.numbering import with_keys
+from buildlake.sources.staging import staged
 
 
 def by_id(table: DataFrame, value: int, key: str = "_id") -> DataFrame:
@@ -63,6 +64,10 @@ def first_by_name(table: DataFrame, limit: int | None, *order: str) -> DataFrame
     return table.orderBy(*order).limit(limit) if limit else table
 
 
+GRAM = 4
+"""Characters of the runs by which texts of one or two words meet."""
+
+
 def _inner_word(value: Column) -> Column:
     """The longest word with white space on both sides, null without one: what contains the text has it as a word of its own."""
     parts = F.split(value, r"\s+")
@@ -70,19 +75,41 @@ def _inner_word(value: Column) -> Column:
     return F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("word"))))["word"]
 
 
+def _grams(value: Column, n: int) -> Column:
+    """Distinct runs of ``n`` characters; the empty one for 0, none where the text is shorter."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(value) - n + 1, F.lit(1)))
+    return F.when(F.length(value) >= n, F.array_distinct(F.transform(starts, lambda i: F.substring(value, i, F.lit(n))))).otherwise(F.array())
+
+
+def _by_grams(told: DataFrame, part: DataFrame) -> DataFrame:
+    """Likely (key, part): texts (key, whole) that have the rarest run of ``GRAM`` characters of a part, or all of a shorter one."""
+    part = part.withColumn("n", F.least(F.length("part"), F.lit(GRAM)))
+    lengths = sorted(r["n"] for r in part.select("n").distinct().collect())  # GRAM + 1 at most
+    if not lengths:
+        return told.select("key", F.lit(None).cast("string").alias("part")).limit(0)
+    of_part = F.coalesce(*[F.when(F.col("n") == n, _grams(F.col("part"), n)) for n in lengths])
+    wanted = staged(part.select("part", F.explode(of_part).alias("gram")), "grams")
+    of_text = F.concat(*[_grams(F.col("whole"), n) for n in lengths])
+    hits = staged(told.select("key", F.explode(of_text).alias("gram")).join(wanted.select("gram").distinct(), "gram"), "gram-hits")
+    often = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    # a run that no text has is the rarest: its part is in none
+    ranked = wanted.join(often, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    rarest = staged(ranked.groupBy("part").agg(F.min_by("gram", F.struct("df", "gram")).alias("gram")), "rarest-grams")
+    return hits.join(rarest, "gram").select("key", "part")
+
+
 def _contained(whole: DataFrame, part: DataFrame) -> DataFrame:
-    """Distinct (whole, part) with the part inside the whole.
+    """Distinct (whole, part) with the part inside the whole; the two meet by equality only.
 
-    Parts of three words or more meet only texts that have their longest inner
-    word; shorter ones are compared with every text.
+    Parts of three words or more meet texts that have their longest inner word,
+    shorter ones texts that have their rarest run of characters; then the texts
+    are compared.
     """
     keyed = part.withColumn("word", _inner_word(F.col("part")))
     told = whole.withColumn("key", F.sha2("whole", 256))
     words = told.select("key", F.explode(F.array_distinct(F.split("whole", r"\s+"))).alias("word"))
-    likely = words.join(keyed.where("word is not null"), "word").select("key", "part").distinct()
-    inside = F.col("whole").contains(F.col("part"))
-    long = likely.join(told, "key").where(inside).select("whole", "part")
-    return long.union(whole.join(keyed.where("word is null").select("part"), inside).select("whole", "part"))
+    likely = words.join(keyed.where("word is not null"), "word").select("key", "part").union(_by_grams(told, keyed.where("word is null").select("part")))
+    return likely.distinct().join(told, "key").where(F.col("whole").contains(F.col("part"))).select("whole", "part")
 
 
 def without_blacklisted(table: DataFrame, name: Column, blacklist: DataFrame, item: str) -> DataFrame:

@@ -295,6 +295,19 @@ def blacklist_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.without_blacklisted(docs, F.col("text"), roles.load(spark, sf_dir, "benchmark"), "text").select("doc_id")
 
 
+@query(
+    """SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM
+    (SELECT 'x Customer#' || lpad(n_nationkey::VARCHAR, 9, '0') AS item FROM nation UNION SELECT right(s_name, 3) || '5' FROM supplier UNION SELECT '7' || p_size FROM part WHERE p_size < 3) i
+    WHERE contains(c_name, item) OR contains(item, c_name))"""
+)
+def blacklist_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of one word against items of one or two words, shorter and longer than they are."""
+    load = lambda t: roles.load(spark, sf_dir, t)
+    longer = load("nation").select(F.concat(F.lit("x Customer#"), F.lpad(F.col("n_nationkey").cast("string"), 9, "0")).alias("item"))
+    shorter = load("supplier").select(F.concat(F.right("s_name", F.lit(3)), F.lit("5"))).union(load("part").where("p_size < 3").select(F.concat(F.lit("7"), "p_size")))
+    return lookup.without_blacklisted(load("customer"), F.col("c_name"), longer.union(shorter), "item").select("c_custkey")
+
+
 @query("SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 def reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roles.load(spark, sf_dir, "documents").select("doc_id", "lang").join(roles.load(spark, sf_dir, "labels"), "doc_id", "left_semi")

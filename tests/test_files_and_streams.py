@@ -139,12 +139,15 @@ def test_numbers_follow_the_order(spark):
     assert numbering.with_keys(table.limit(0), "n", ["v"]).count() == 0
 
 
-def test_blacklists_by_brute_force(spark):
+def test_blacklists_by_brute_force(spark, capsys):
     names = ["one two three", "a one  two three b", "two", "xone two threey", "", "a", "ab", "xabcdy", "abcd", "bcde", "zzz", None, "long name with abcd inside", "日本語テキスト"]
-    for items in ([""], ["abcd"], ["b"], ["abcdefgh", "本語テキ"], ["zzzz", None], ["one two three"], ["one  two three"], ["q one two three r", "zz"], []):
+    for items in ([""], ["abcd"], ["b"], ["abcdefgh", "本語テキ"], ["zzzz", None], ["one two three"], ["one  two three"], ["q one two three r", "zz"], ["", "zzz"], ["日", "キ", "x"], ["abc", "bcd", "bcde f", "wo t", "aaaa"], []):
         want = sorted((n is None, n or "") for n in names if n is None or not any(i is not None and (i in n or n in i) for i in items))
         table = spark.createDataFrame([(n, "c") for n in names], "name string, gram string")
         found = lookup.without_blacklisted(table, F.col("name"), spark.createDataFrame([(i,) for i in items], "item string"), "item")
+        found.explain()
+        plan = capsys.readouterr().out
+        assert "Join" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
         assert found.columns == table.columns and sorted((r["name"] is None, r["name"] or "") for r in found.collect()) == want
 
 
