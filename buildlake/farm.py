@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from buildlake.operators import corpus
 from buildlake.sources import files as readers
+from buildlake.sources.staging import staged
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -42,13 +43,20 @@ class Farm:
         return replace(self, steps=(*self.steps, step))
 
     def run(self, listed: DataFrame | None = None) -> dict[str, DataFrame]:
-        """binaries, dropped, functions and lines; ``listed``: files (identifier, file_name, n_bytes), else what the documents list."""
+        """binaries, dropped, functions and lines; ``listed``: files (identifier, file_name, n_bytes).
+
+        Without files those that the documents list are taken, whose sizes nobody
+        knows: they are null, and a farm with bounds on the size needs files.
+        """
         if self.source is None:
             raise ValueError("a farm needs documents")
         docs = self.source
         for step in self.steps:
             docs = docs.transform(step)
-        files = listed if listed is not None else corpus.described_binaries(docs).selectExpr("identifier", "file_name", "cast(4096 as long) as n_bytes")
+        if listed is None and (self.least_kb or self.most_kb):
+            raise ValueError("bounds on the size need files with their sizes")
+        docs = staged(docs, "documents")  # read for names, for metadata and for functions
+        files = listed if listed is not None else corpus.described_binaries(docs).selectExpr("identifier", "file_name", "cast(null as long) as n_bytes")
         binaries, dropped = corpus.dataset_binaries(files, docs, self.least_kb, self.most_kb, self.least_files)
         functions = corpus.dataset_functions(binaries)
         return {"binaries": binaries, "dropped": dropped, "functions": functions, "lines": corpus.dataset_lines(functions)}

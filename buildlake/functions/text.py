@@ -144,6 +144,12 @@ def version_parts(version: Column) -> Column:
     return F.transform(F.split(F.replace(version, F.lit("-"), F.lit(".")), r"\."), lambda p: p.try_cast("int"))
 
 
+def version_key(version: Column) -> Column:
+    """A text that sorts as the version's parts do: a part that is no number before all others, a shorter version before its extensions."""
+    # a part is an int: ten digits at most
+    return F.array_join(F.transform(version_parts(version), lambda p: F.coalesce(F.concat(F.lit("1"), F.lpad(p.cast("string"), 10, "0")), F.lit("0"))), "")
+
+
 def version_at_most(version: Column, limit: Column) -> Column:
     """Whether a version is not newer, part by part; a shorter one that agrees so far is older."""
     return version_parts(version) <= version_parts(limit)

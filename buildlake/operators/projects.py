@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -87,25 +87,36 @@ def described_projects(projects: DataFrame, xml: str = "xml") -> DataFrame:
     })
 
 
-def _edited(change: Callable[[ET.Element, str], None]) -> Callable[[Column, Column], Column]:
+Change = Callable[[ET.Element, str | None], None]
+
+
+def _rewriter(changes: Sequence[Change]) -> Callable[[Column, Column], Column]:
+    """A function of (document, array of values) that makes all changes, in their order, in one parse; null for what isn't XML."""
+
     @F.pandas_udf(T.StringType())
     def over(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         ET.register_namespace("", NAMESPACE)
         for documents, values in batches:
             out = []
-            for document, value in zip(documents, values, strict=True):
+            for document, row in zip(documents, values, strict=True):
                 try:
                     root = ET.fromstring(document)
                 except (ET.ParseError, TypeError):
                     out.append(None)
                     continue
-                change(root, value)
+                for change, value in zip(changes, row, strict=True):
+                    change(root, value)
                 out.append(ET.tostring(root, encoding="unicode"))
             yield pd.Series(out, dtype=object)
 
     return over
 
 
+def _edited(change: Change) -> Callable[[Column, Column], Column]:
+    rewrite = _rewriter([change])
+    return lambda xml, value: rewrite(xml, F.array(value))
+
+
 def _q(name: str) -> str:
     return f"{{{NAMESPACE}}}{name}"
 
@@ -122,7 +133,7 @@ def _put(parent: ET.Element, name: str, value: str | None) -> None:
     child.text = value
 
 
-def _definition(group: str, item: str) -> Callable[[ET.Element, str], None]:
+def _definition(group: str, item: str) -> Change:
     def change(root: ET.Element, value: str) -> None:
         for parent in root.findall(f"./{_q('ItemDefinitionGroup')}/{_q(group)}"):
             _put(parent, item, value)
@@ -130,7 +141,7 @@ def _definition(group: str, item: str) -> Callable[[ET.Element, str], None]:
     return change
 
 
-def _property(item: str, label: str | None = "Configuration") -> Callable[[ET.Element, str], None]:
+def _property(item: str, label: str | None = "Configuration") -> Change:
     def change(root: ET.Element, value: str) -> None:
         for parent in root.findall(f"./{_q('PropertyGroup')}"):
             if parent.get("Label") == label:
@@ -148,17 +159,36 @@ def _optimize(root: ET.Element, flag: str) -> None:
         _property("WholeProgramOptimization")(root, "true")
 
 
-set_toolset = _edited(_property("PlatformToolset"))
-set_whole_program = _edited(_property("WholeProgramOptimization"))
-set_output_directory = _edited(_property("OutDir", None))
-set_incremental_link = _edited(_property("LinkIncremental", None))
-set_optimization = _edited(_optimize)
-set_favor = _edited(_definition("ClCompile", "FavorSizeOrSpeed"))
-set_inline = _edited(_definition("ClCompile", "InlineFunctionExpansion"))
-set_intrinsics = _edited(_definition("ClCompile", "IntrinsicFunctions"))
-set_output_file = _edited(_definition("Link", "OutputFile"))
-set_pdb_file = _edited(_definition("Link", "ProgramDatabaseFile"))
-set_include_directories = _edited(_definition("ClCompile", "AdditionalIncludeDirectories"))
+CHANGES: dict[str, Change] = {
+    "toolset": _property("PlatformToolset"),
+    "whole_program": _property("WholeProgramOptimization"),
+    "output_directory": _property("OutDir", None),
+    "incremental_link": _property("LinkIncremental", None),
+    "optimization": _optimize,
+    "favor": _definition("ClCompile", "FavorSizeOrSpeed"),
+    "inline": _definition("ClCompile", "InlineFunctionExpansion"),
+    "intrinsics": _definition("ClCompile", "IntrinsicFunctions"),
+    "output_file": _definition("Link", "OutputFile"),
+    "pdb_file": _definition("Link", "ProgramDatabaseFile"),
+    "include_directories": _definition("ClCompile", "AdditionalIncludeDirectories"),
+}
+
+set_toolset = _edited(CHANGES["toolset"])
+set_whole_program = _edited(CHANGES["whole_program"])
+set_output_directory = _edited(CHANGES["output_directory"])
+set_incremental_link = _edited(CHANGES["incremental_link"])
+set_optimization = _edited(CHANGES["optimization"])
+set_favor = _edited(CHANGES["favor"])
+set_inline = _edited(CHANGES["inline"])
+set_intrinsics = _edited(CHANGES["intrinsics"])
+set_output_file = _edited(CHANGES["output_file"])
+set_pdb_file = _edited(CHANGES["pdb_file"])
+set_include_directories = _edited(CHANGES["include_directories"])
+
+
+def edited(xml: Column, edits: Sequence[tuple[str, Column]]) -> Column:
+    """``xml`` after a script of edits (name in ``CHANGES``, value), as the setters in turn would leave it, parsed and written once."""
+    return _rewriter([CHANGES[name] for name, _ in edits])(xml, F.array(*[value.cast("string") for _, value in edits]))
 
 
 _PROJECT = r'^Project\("\{([^}]+)\}"\)[\s=]+"([^"]+)",\s"(.+proj)", "(\{[^}]+\})"'

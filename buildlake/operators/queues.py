@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from buildlake import schemas as S
+from buildlake.functions import text
+from buildlake.operators import scans
 
 # fixed values: what a queue holds at most, how long a served archive stays, in seconds
 QUEUE_CAPACITY = 3600
@@ -59,7 +61,17 @@ def parsed_commands(lines: DataFrame, line: str, arity: Mapping[str, int]) -> Da
     return parsed.withColumn("valid", F.coalesce(F.size("args") == needed, F.lit(False)))
 
 
-def newest_at_most(commits: DataFrame, wanted: DataFrame, per: str, version_ok: Column, order: list[str], *values: str) -> DataFrame:
-    """Each key's newest commit that ``version_ok`` accepts beside the key's wanted version; a partial aggregation."""
-    accepted = commits.join(wanted, per).where(version_ok)
-    return accepted.groupBy(per).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("v")).select(per, "v.*")
+def newest_at_most(commits: DataFrame, wanted: DataFrame, per: str, version: str, limit: str, order: list[str], *values: str) -> DataFrame:
+    """For each row of ``wanted`` (per, limit) its key's newest commit, by ``order``, whose version isn't newer than the limit.
+
+    Both sides are one stream in the order of sortable version keys, commits
+    first at equal ones, and a running maximum finds the newest so far: linear
+    in both, whatever a key's number of commits and of limits. Rows without
+    such a commit are left out; null limits have none; commits without a
+    version count as older than any.
+    """
+    newest = F.struct(*order, *[F.col(c).alias(f"__{i}") for i, c in enumerate(values)])
+    left = commits.select(per, F.coalesce(text.version_key(F.col(version)), F.lit("")).alias("__key"), F.lit(0).alias("__side"), F.lit(None).cast(wanted.schema[limit].dataType).alias(limit), newest.alias("__c"))
+    right = wanted.where(F.col(limit).isNotNull()).select(per, text.version_key(F.col(limit)).alias("__key"), F.lit(1).alias("__side"), limit, F.lit(None).cast(left.schema["__c"].dataType).alias("__c"))
+    found = scans.scanned(left.union(right), [per], ["__key", "__side"], {"__best": scans.Most(F.col("__c"))})
+    return found.where("__side = 1 and __best is not null").select(per, limit, *[F.col(f"__best.__{i}").alias(c) for i, c in enumerate(values)])

@@ -47,6 +47,13 @@ class First:
     since: Column | None = None
 
 
+@dataclass(frozen=True)
+class Most:
+    """The largest value up to each row."""
+
+    value: Column
+
+
 @dataclass(frozen=True)
 class Following:
     """The value of the row behind each; null for a group's last."""
@@ -54,7 +61,7 @@ class Following:
     value: Column
 
 
-Step = Last | Sum | First | Following
+Step = Last | Sum | First | Most | Following
 
 
 class _Plan:
@@ -84,8 +91,13 @@ class _Plan:
         ordered = Window.partitionBy(*keys).orderBy("__at")
         if isinstance(self.step, Following):
             return {self.own: F.lead(self.value).over(ordered)}
-        so_far = ordered.rowsBetween(*_SO_FAR)
-        return {self.own: F.sum(self.value).over(so_far) if isinstance(self.step, Sum) else (F.last if isinstance(self.step, Last) else F.first)(self.value, ignorenulls=True).over(so_far)}
+        return {self.own: self.pick(self.value).over(ordered.rowsBetween(*_SO_FAR))}
+
+    def pick(self, column: str) -> Column:
+        """What the step makes of a run of values."""
+        if isinstance(self.step, (Sum, Most)):
+            return (F.sum if isinstance(self.step, Sum) else F.max)(column)
+        return (F.last if isinstance(self.step, Last) else F.first)(column, ignorenulls=True)
 
     def summary(self) -> dict[str, Column]:
         if isinstance(self.step, Following):
@@ -97,19 +109,23 @@ class _Plan:
         by_range = Window.partitionBy(*self.group).orderBy("__range")
         if isinstance(self.step, Following):
             return summaries.withColumn(self.carry, F.lead(self.end).over(by_range))
-        pick = F.sum if isinstance(self.step, Sum) else lambda c: (F.last if isinstance(self.step, Last) else F.first)(c, ignorenulls=True)
         if not self.restarts:
-            return summaries.withColumn(self.carry, pick(self.end).over(by_range.rowsBetween(*_BEFORE)))
+            return summaries.withColumn(self.carry, self.pick(self.end).over(by_range.rowsBetween(*_BEFORE)))
         # ranges up to the next one that restarts go on with one another
         placed = summaries.withColumn(self.stretch, F.sum((F.col(self.most) > 0).cast("long")).over(by_range.rowsBetween(*_SO_FAR)))
         so_far = Window.partitionBy(*self.group, self.stretch).orderBy("__range").rowsBetween(*_SO_FAR)
-        return placed.withColumn(self.carry, pick(self.end).over(so_far)).withColumn(self.carry, F.lag(self.carry).over(by_range))
+        return placed.withColumn(self.carry, self.pick(self.end).over(so_far)).withColumn(self.carry, F.lag(self.carry).over(by_range))
 
     def result(self) -> Column:
         own, carry = F.col(self.own), F.col(self.carry)
         if isinstance(self.step, Following):
             return F.coalesce(own, carry)["v"]
-        both = own + F.coalesce(carry, F.lit(0)) if isinstance(self.step, Sum) else F.coalesce(own, carry) if isinstance(self.step, Last) else F.coalesce(carry, own)
+        if isinstance(self.step, Sum):
+            both = own + F.coalesce(carry, F.lit(0))
+        elif isinstance(self.step, Most):
+            both = F.greatest(own, carry)
+        else:
+            both = F.coalesce(own, carry) if isinstance(self.step, Last) else F.coalesce(carry, own)
         return F.when(F.col(self.runs) == 0, both).otherwise(own) if self.restarts else both
 
 

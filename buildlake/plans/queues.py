@@ -85,7 +85,7 @@ def newest_wanted_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     version = F.concat(key % 4, F.lit("."), key % 11, F.lit("-"), key % 3)
     commits = roles.load(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", version.alias("version"))
     wanted = roles.load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.concat(F.col("c_nationkey") % 4, F.lit(".5")).alias("wanted"))
-    return queues.newest_at_most(commits, wanted, "o_custkey", text.version_at_most(F.col("version"), F.col("wanted")), ["o_orderdate", "o_orderkey"], "o_orderkey")
+    return queues.newest_at_most(commits, wanted, "o_custkey", "version", "wanted", ["o_orderdate", "o_orderkey"], "o_orderkey").drop("wanted")
 
 
 @query(

@@ -9,8 +9,8 @@ from buildlake.farm import Farm
 from buildlake.operators import corpus, debuginfo, projects, source_text
 from buildlake.operators.numbering import with_keys
 from buildlake.plans.registry import Registry
-from buildlake.sources import files, roles
-from buildlake.sources.staging import work_folder
+from buildlake.sources import addresses, files, roles
+from buildlake.sources.staging import staged, work_folder
 from buildlake.streaming import jobs
 
 REGISTRY = query = Registry()
@@ -72,34 +72,40 @@ def xml_project_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projects.configurations(_project_files(spark, sf_dir)).select("p_partkey", "configuration", "platform")
 
 
-@query("SELECT p_partkey, 'v143' AS toolset, 'Full' AS optimization, 'true' AS whole_program FROM part")
+@query("SELECT p_partkey, 'v' || 140 + p_size % 4 AS toolset, CASE p_size % 3 WHEN 0 THEN 'Full' WHEN 1 THEN 'MinSpace' ELSE '' END AS optimization, CASE WHEN p_size % 3 = 0 THEN 'true' ELSE '' END AS whole_program FROM part")
 def xml_project_setters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changed = _project_files(spark, sf_dir).withColumn("xml", projects.set_optimization(projects.set_toolset(F.col("xml"), F.lit("v143")), F.lit("/Ox")))
+    table = _sized_projects(spark, sf_dir)
+    flag = F.element_at(F.array(*map(F.lit, ("/Ox", "/O1", "/Od"))), (F.col("p_size") % 3 + 1).cast("int"))
+    changed = table.withColumn("xml", projects.edited(F.col("xml"), [("toolset", F.concat(F.lit("v"), 140 + F.col("p_size") % 4)), ("optimization", flag)]))
     return projects.described_projects(changed).select("p_partkey", "toolset", "optimization", "whole_program")
 
 
+def _sized_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project_files(spark, sf_dir).join(roles.load(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
+
+
 @query(
-    """SELECT p_partkey, 'true' AS whole_program, 'out' || p_size AS output_directory, 'Speed' AS favor, 'OnlyExplicitInline' AS inline_expansion, 'true' AS intrinsics, 'o.exe' AS output_file, 'o.pdb' AS pdb_file,
-    'x' || p_size || ',y' AS include_directories, 'false' AS incremental FROM part"""
+    """SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'true' ELSE 'false' END AS whole_program, 'out' || p_size AS output_directory, CASE WHEN p_size % 3 = 0 THEN 'Speed' ELSE 'Size' END AS favor,
+    'Inline' || p_size % 4 AS inline_expansion, CASE WHEN p_size % 5 = 0 THEN 'true' ELSE 'false' END AS intrinsics, 'o' || p_partkey || '.exe' AS output_file, 'o' || p_partkey || '.pdb' AS pdb_file,
+    'x' || p_size || ',y' AS include_directories, CASE WHEN p_size % 7 = 0 THEN 'true' ELSE 'false' END AS incremental FROM part"""
 )
 def xml_project_all_setters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each of the other setters writes, read back."""
-    table = _project_files(spark, sf_dir).join(roles.load(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
+    """What each of the other setters writes, all in one pass, read back."""
+    size = F.col("p_size")
+    truth = lambda n: F.when(size % n == 0, "true").otherwise("false")
+    script = [
+        ("whole_program", truth(2)),
+        ("output_directory", F.concat(F.lit("out"), size)),
+        ("favor", F.when(size % 3 == 0, "Speed").otherwise("Size")),
+        ("inline", F.concat(F.lit("Inline"), size % 4)),
+        ("intrinsics", truth(5)),
+        ("output_file", F.concat(F.lit("o"), "p_partkey", F.lit(".exe"))),
+        ("pdb_file", F.concat(F.lit("o"), "p_partkey", F.lit(".pdb"))),
+        ("include_directories", F.concat(F.lit("x"), size, F.lit(";y"))),
+        ("incremental_link", truth(7)),
+    ]
     plain = F.replace(F.col("xml"), F.lit("</Project>"), F.lit("<PropertyGroup/></Project>"))
-    steps = (
-        (projects.set_whole_program, F.lit("true")),
-        (projects.set_output_directory, F.concat(F.lit("out"), "p_size")),
-        (projects.set_favor, F.lit("Speed")),
-        (projects.set_inline, F.lit("OnlyExplicitInline")),
-        (projects.set_intrinsics, F.lit("true")),
-        (projects.set_output_file, F.lit("o.exe")),
-        (projects.set_pdb_file, F.lit("o.pdb")),
-        (projects.set_include_directories, F.concat(F.lit("x"), "p_size", F.lit(";y"))),
-        (projects.set_incremental_link, F.lit("false")),
-    )
-    for setter, value in steps:
-        plain = setter(plain, value)
-    found = projects.described_projects(table.withColumn("xml", plain))
+    found = projects.described_projects(_sized_projects(spark, sf_dir).withColumn("xml", projects.edited(plain, script)))
     x = F.col("xml")
     more = {"favor": projects.definition_value(x, "ClCompile", "FavorSizeOrSpeed"), "inline_expansion": projects.definition_value(x, "ClCompile", "InlineFunctionExpansion"), "intrinsics": projects.definition_value(x, "ClCompile", "IntrinsicFunctions"), "incremental": projects.property_value(x, "LinkIncremental", None), "include_directories": F.array_join("include_directories", ",")}
     return found.withColumns(more).select("p_partkey", "whole_program", "output_directory", "favor", "inline_expansion", "intrinsics", "output_file", "pdb_file", "include_directories", "incremental")
@@ -127,6 +133,11 @@ def elf_magic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.elf_binaries(roles.load(spark, sf_dir, "part").select("p_partkey", F.unhex(head).alias("content"))).select("p_partkey", "elf_type")
 
 
+def _build() -> dict[str, F.Column]:
+    """What all documents say about their builds, by order."""
+    return {"Platform": F.lit(None).cast("string"), "Build_mode": F.lit("Debug"), "Toolset_version": F.lit("v142"), "Optimization": F.lit("O2"), "Pushed_at": F.lit("02/03/2020, 04:05:06"), "URL": F.concat(F.lit("https://forge.com/"), "l_orderkey")}
+
+
 def _build_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A build document for each order: a binary for each line number, a function for each part; every fifth has none."""
     items = roles.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("int").alias("q")).distinct()
@@ -137,37 +148,37 @@ def _build_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     functions = F.when(F.col("l_linenumber") % 5 == 0, F.filter("functions", lambda f: F.lit(False))).otherwise(F.col("functions"))
     binary = F.struct(F.concat(F.lit("d:\\out\\b"), "l_linenumber", F.lit(".exe")).alias("file"), functions.alias("functions"))
     docs = binaries.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(binary)).alias("Binary_info_list"))
-    constant = {"Platform": F.lit(None).cast("string"), "Build_mode": F.lit("Debug"), "Toolset_version": F.lit("v142"), "Optimization": F.lit("O2"), "Pushed_at": F.lit("02/03/2020, 04:05:06"), "URL": F.concat(F.lit("https://forge.com/"), "l_orderkey")}
-    return docs.withColumns(constant)
+    return docs.withColumns(_build())
 
 
-_DATASET = """WITH b AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_linenumber) >= 2)),
-f AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_quantity::INT AS q FROM lineitem JOIN b USING (l_orderkey, l_linenumber) WHERE l_linenumber % 5 <> 0)"""
+_DATASET = """WITH s AS (SELECT l_orderkey, l_linenumber, (1024 * max(l_quantity) + l_orderkey % 1000)::BIGINT AS n_bytes FROM lineitem GROUP BY l_orderkey, l_linenumber),
+z AS (SELECT * FROM s WHERE n_bytes / 1024.0 BETWEEN 5 AND 40),
+b AS (SELECT * FROM z WHERE l_orderkey IN (SELECT l_orderkey FROM z GROUP BY l_orderkey HAVING count(*) >= 2)),
+f AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_quantity::INT AS q, n_bytes FROM lineitem JOIN b USING (l_orderkey, l_linenumber) WHERE l_linenumber % 5 <> 0)"""
 
 
 @query(f"{_DATASET} SELECT (SELECT count(*) FROM b WHERE l_linenumber % 5 <> 0) AS binaries, (SELECT count(*) FROM b WHERE l_linenumber % 5 = 0) AS dropped, (SELECT count(*) FROM f) AS functions, (SELECT count(*) FROM f) AS lines, (SELECT sum(q)::BIGINT FROM f) AS total, 0.125::DOUBLE AS ratio")
 def dataset_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _build_documents(spark, sf_dir)
-    listed = corpus.described_binaries(docs).select("identifier", "file_name", F.lit(4096).cast("long").alias("n_bytes"))
-    binaries, dropped = corpus.dataset_binaries(listed, docs, least_kb=1, most_kb=100)
-    functions = corpus.dataset_functions(binaries)
-    lines = corpus.dataset_lines(functions)
+    tables = _dataset(spark, sf_dir)
     one = lambda t, n: t.agg(F.count(F.lit(1)).alias(n))
-    counts = one(binaries, "binaries").crossJoin(one(dropped, "dropped")).crossJoin(functions.agg(F.count(F.lit(1)).alias("functions"), F.max("intersect_ratio").alias("ratio")))
-    return counts.crossJoin(lines.agg(F.count(F.lit(1)).alias("lines"), F.sum("line_number").alias("total")))  # one row each
+    counts = one(tables["binaries"], "binaries").crossJoin(one(tables["dropped"], "dropped")).crossJoin(tables["functions"].agg(F.count(F.lit(1)).alias("functions"), F.max("intersect_ratio").alias("ratio")))
+    return counts.crossJoin(tables["lines"].agg(F.count(F.lit(1)).alias("lines"), F.sum("line_number").alias("total")))  # one row each
 
 
 _DATASET_ROWS = _DATASET + """,
-k AS (SELECT l_orderkey, l_linenumber, md5('https://forge.com/' || l_orderkey) || '_unknown_Debug_v142_O2' AS identifier, 'b' || l_linenumber || '.exe' AS file_name FROM b WHERE l_linenumber % 5 <> 0),
+k AS (SELECT l_orderkey, l_linenumber, md5('https://forge.com/' || l_orderkey) || '_unknown_Debug_v142_O2' AS identifier, 'b' || l_linenumber || '.exe' AS file_name, n_bytes FROM b WHERE l_linenumber % 5 <> 0),
 binaries AS (SELECT row_number() OVER (ORDER BY identifier, file_name) AS id, *, md5(identifier || '_' || file_name) AS h FROM k),
 functions AS (SELECT row_number() OVER (ORDER BY id, 'f' || l_partkey, q) AS id, id AS binary_id, 'f' || l_partkey AS name, q FROM f JOIN binaries USING (l_orderkey, l_linenumber))"""
 
 
 def _dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return Farm(spark).documents(_build_documents(spark, sf_dir)).sizes(least_kb=1, most_kb=100).folders_of(2).run()
+    quantity = roles.load(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"))
+    file = F.concat(F.lit("b"), "l_linenumber", F.lit(".exe"))
+    listed = corpus.identified(quantity.withColumns(_build())).select("identifier", file.alias("file_name"), (1024 * F.col("q") + F.col("l_orderkey") % 1000).cast("long").alias("n_bytes"))
+    return Farm(spark).documents(_build_documents(spark, sf_dir)).sizes(least_kb=5, most_kb=40).folders_of(2).run(listed)
 
 
-@query(f"{_DATASET_ROWS} SELECT id, identifier, file_name, left(h, 2) || '/' || substr(h, 3) AS path, 4::BIGINT AS size, 'unknown' AS platform, TIMESTAMP '2020-02-03 04:05:06' AS pushed_at FROM binaries")
+@query(f"{_DATASET_ROWS} SELECT id, identifier, file_name, left(h, 2) || '/' || substr(h, 3) AS path, n_bytes // 1024 AS size, 'unknown' AS platform, TIMESTAMP '2020-02-03 04:05:06' AS pushed_at FROM binaries")
 def dataset_binary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dataset(spark, sf_dir)["binaries"].select("id", "identifier", "file_name", "path", "size", "platform", F.col("pushed_at").cast("timestamp_ntz").alias("pushed_at"))
 
@@ -226,6 +237,41 @@ def _cut_bytes(docs: DataFrame) -> DataFrame:
     return corpus.function_bytes(docs.select(F.col("doc_id").alias("file_name"), F.lit("f").alias("name"), segments.alias("segments")), images)
 
 
+def _executables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A portable executable for each document: its text in two sections that are neighbours in memory and stored the other way round."""
+    docs = roles.load(spark, sf_dir, "documents").select("doc_id", F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("body"))
+    n = F.octet_length("body")
+    half = F.floor(n / 2).cast("int")
+
+    def little(value: F.Column, width: int) -> F.Column:
+        digits = F.lpad(F.hex(value), 2 * width, "0")
+        return F.concat(*[F.substring(digits, 2 * k + 1, 2) for k in reversed(range(width))])
+
+    number = lambda v, width=4: little(F.lit(v) if isinstance(v, int) else v, width)
+    section = lambda size, at, place: F.concat(F.lit("00" * 8), number(size), number(at), number(size), number(place), F.lit("00" * 16))
+    # the header's offset at 0x3C, the header at 0x40 with 96 optional bytes, two sections of 40 bytes: 0x108 in all
+    head = F.concat(
+        F.lit("4D5A" + "00" * 58), number(0x40), F.lit("50450000" + "0000"), number(2, 2), F.lit("00" * 12), number(96, 2), F.lit("00" * 2 + "00" * 56),
+        number(n + 0x1000), number(0x108), F.lit("00" * 32), section(half, 0x1000, n - half + 0x108), section(n - half, half + 0x1000, 0x108),
+    )
+    body = lambda at, size: F.substring(F.col("body"), at + 1, size)
+    return docs.select(F.col("doc_id").alias("file_name"), F.concat(F.unhex(head), body(half, n - half), body(F.lit(0), half)).alias("content"), half.alias("half"), n.alias("n"))
+
+
+@query(
+    """SELECT doc_id, substr(hex(b), 21, 40) AS first_slice, substr(hex(b), 2 * greatest(n // 2 - 5, 0) + 1, 2 * (least(n // 2 + 5, n) - greatest(n // 2 - 5, 0))) AS across, '4D5A' || repeat('00', 6) AS head
+    FROM (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents)"""
+)
+def mapped_function_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of functions by address: in one section, across two, and in the headers."""
+    images = staged(_executables(spark, sf_dir), "executables")
+    middle = F.col("half") + 0x1000
+    ranges = [(F.lit(0x100A), F.lit(0x101E)), (F.greatest(middle - 5, F.lit(0x1000)), F.least(middle + 5, F.col("n") + 0x1000)), (F.lit(0), F.lit(8))]
+    functions = images.select("file_name", F.lit("f").alias("name"), F.array(*[F.struct(a.alias("start"), b.alias("end")) for a, b in ranges]).alias("segments"))
+    found = addresses.mapped_bytes(functions, images.select("file_name", "content"))
+    return found.select(F.col("file_name").alias("doc_id"), *[F.hex(F.col("slices")[i]).alias(c) for i, c in enumerate(("first_slice", "across", "head"))])
+
+
 @query("SELECT doc_id, substr(hex(encode(text)), 21, 40) AS span, n_chars FROM documents")
 def function_bytes_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = roles.load(spark, sf_dir, "documents")

@@ -21,9 +21,11 @@ METADATA = "pdbinfo.json"
 PRODUCTS = r"(?i)\.(pdb|exe|dll|lib)$"
 
 
-def json_documents(spark: SparkSession, path: str, schema: str = S.BUILD_DOCUMENT) -> DataFrame:
-    """Build documents, one a file, by a fixed schema; what can't be read is in ``_corrupt``."""
-    return spark.read.schema(f"{schema}, _corrupt string").option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", True).json(path)
+def json_documents(spark: SparkSession, path: str, schema: str = S.BUILD_DOCUMENT, limit: int | None = None, name_filter: str | None = None) -> DataFrame:
+    """Build documents, one a file, by a fixed schema; what can't be read is in ``_corrupt``. ``limit``: the first ones by path."""
+    reader = spark.read.schema(f"{schema}, _corrupt string").option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", True)
+    docs = (reader.option("pathGlobFilter", name_filter) if name_filter else reader).json(path)
+    return docs.withColumn("__path", F.col("_metadata.file_path")).orderBy("__path").limit(limit).drop("__path") if limit else docs
 
 
 def decoded_json(table: DataFrame, column: str, schema: str) -> tuple[DataFrame, DataFrame]:
@@ -81,9 +83,22 @@ def hashed_layout(table: DataFrame, name: str) -> DataFrame:
 
 
 def write_hashed(table: DataFrame, name: str, path: str) -> None:
+    """``table`` below ``path``, a folder for each prefix; ``read_hashed`` reads some of them."""
     hashed_layout(table, name).repartition("prefix").write.mode("append").partitionBy("prefix").parquet(path)
 
 
+def read_hashed(spark: SparkSession, path: str, schema: T.StructType, names: DataFrame, name: str) -> DataFrame:
+    """Rows of a hashed layout whose name is in ``names``: only the folders that those names lie in are listed and read.
+
+    The names' prefixes, of which there are 256, become a filter on the
+    partition column; the names themselves are joined.
+    """
+    wanted = hashed_layout(names.select(F.col(name)).where(F.col(name).isNotNull()).distinct(), name)
+    prefixes = sorted(r["prefix"] for r in wanted.select("prefix").distinct().collect())  # 256 at most
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("rest", T.StringType()), T.StructField("prefix", T.StringType())])).parquet(path)
+    return stored.where(F.col("prefix").isin(prefixes)).join(wanted, ["prefix", "rest", name], "left_semi").select(*schema.fieldNames())
+
+
 def append_rows(table: DataFrame, path: str) -> None:
     """Bulk insert: ids are the store's, so they go."""
     table.drop("id", "_id").write.mode("append").parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import struct
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 import buildlake
 from buildlake.functions import text
 from buildlake.operators import corpus, lookup, numbering, projects
-from buildlake.sources import crawl, files, images, roles, staging
+from buildlake.sources import addresses, crawl, files, images, roles, staging
 from buildlake.streaming import jobs
 
 
@@ -183,6 +184,44 @@ def test_images_lie_as_in_memory(spark):
     assert got["b"]["error"] and got["c"]["error"] and got["b"]["content"] is None and len(got["d"]["content"]) == 0x400
 
 
+def test_bytes_by_address_equal_the_image(spark, tmp_path):
+    """Slices by section intervals are those of the whole image; sections overlap, touch, are cut short, lie behind the image."""
+    rng = np.random.default_rng(3)
+    blobs, rows = {}, []
+    for f in range(12):
+        sections = [(int(rng.integers(0, 60)) * 16 + 0x100, int(rng.integers(0, 90)), rng.bytes(int(rng.integers(0, 80)))) for _ in range(int(rng.integers(0, 6)))]
+        blob = executable(sections, 0x500, wide=bool(f % 2))
+        blobs[f"f{f}.exe"] = blob[: len(blob) - 7] if f == 5 else blob
+        rows += [(f"f{f}.exe", f"g{k}", [{"start": int(a), "end": int(a + rng.integers(-5, 200))} for a in rng.integers(0, 0x520, int(rng.integers(1, 4)))]) for k in range(15)]
+    rows += [("f0.exe", "none", None), ("f0.exe", "g0", rows[0][2]), ("bad.exe", "g", rows[0][2]), ("lost.exe", "g", rows[0][2])]
+    blobs |= {"bad.exe": b"MZ" + bytes(90)}
+    table = spark.createDataFrame([(n, bytearray(b)) for n, b in blobs.items()], "file_name string, content binary")
+    functions = spark.createDataFrame(rows, "file_name string, name string, segments array<struct<start: long, end: long>>")
+    want = set()
+    for name, g, segments in rows:
+        if name in blobs and name != "bad.exe":
+            image = images.image_of(blobs[name])
+            ends = [v for s in segments or [] for v in (s["start"], s["end"])]
+            want.add((name, g, tuple(image[s["start"] : max(s["start"], s["end"])] for s in segments or []), image[min(ends) : max(ends)] if ends else None))
+    got = [(r["file_name"], r["name"], tuple(bytes(s) for s in r["slices"]), None if r["span"] is None else bytes(r["span"])) for r in addresses.mapped_bytes(functions, table).collect()]
+    assert len(got) == len(want) and set(got) == want
+    errors = {r["file_name"]: r["error"] for r in addresses.mapped_files(table.union(spark.createDataFrame([("null", None)], table.schema)).union(spark.createDataFrame([("cut", bytearray(blobs["f1.exe"][:0x100]))], table.schema))).collect()}
+    assert {n for n, e in errors.items() if e} >= {"bad.exe", "null"} and errors["f1.exe"] is None
+
+
+def test_corpus_loader(spark, tmp_path):
+    """From a folder of documents and executables to functions and their bytes."""
+    code = bytes(range(64))
+    for n in "ab":
+        (tmp_path / n).mkdir()
+        (tmp_path / n / f"{n}.exe").write_bytes(executable([(0x1000, 64, code)], 0x2000, wide=True))
+        info = [{"rva_start": "00001004", "rva_end": "00001008"}, {"rva_start": "00001010", "rva_end": "00001012"}]
+        (tmp_path / n / f"{n}.json").write_text(json.dumps({"URL": n, "Binary_info_list": [{"file": f"c:\\{n}.exe", "functions": [{"function_name": "f", "function_info": info}]}]}))
+    got = {r["file_name"]: ([bytes(s) for s in r["slices"]], bytes(r["span"])) for r in addresses.load_corpus(spark, str(tmp_path)).collect()}
+    assert got == {f"{n}.exe": ([code[4:8], code[16:18]], code[4:18]) for n in "ab"}
+    assert [r["file_name"] for r in addresses.load_corpus(spark, str(tmp_path), limit=1).collect()] == ["a.exe"]
+
+
 def test_listed_by_ending_and_marked(spark):
     found = spark.createDataFrame([("d/out/a.exe",), ("x/a.exe",), ("b.dll",)], ["path"])
     listed = spark.createDataFrame([("out/a.exe", 0, "first"), ("a.exe", 1, "last"), ("c.exe", 2, "none")], "ending string, at int, meta string")

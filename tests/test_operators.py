@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import io
 import json
+import random
+import re
 import zipfile
 
 import pandas as pd
@@ -232,3 +234,51 @@ def test_commands(spark):
     got = [(r["command"], r["args"], r["valid"]) for r in queues.parsed_commands(lines, "line", {"progress": 0, "build": 2}).collect()]
     assert got[:3] == [("progress", [], True), ("build", ["a", "b"], True), ("build", ["a"], False)]
     assert [g[2] for g in got[3:]] == [False] * 3
+
+
+def test_newest_versions_by_brute_force(spark):
+    """Many commits and several limits of one key; versions with parts that are no numbers, prefixes, ties."""
+    rng = random.Random(9)
+    version = lambda: rng.choice(["", "v", "1-"]) * (rng.random() < 0.2) + ".".join(rng.choice(["0", "1", "2", "10", "03", "x", "2147483648"]) for _ in range(rng.randrange(1, 4)))
+    commits = [("hot" if i < 300 else rng.choice(["a", "b", None]), version() if i % 40 else None, rng.randrange(50), i) for i in range(500)]
+    wanted = [(k, v) for k in ("hot", "a", "c") for v in {version() for _ in range(12)}] + [("a", None)]
+    parts = lambda v: [(p.isdigit() and int(p) < 1 << 31, int(p) if p.isdigit() and int(p) < 1 << 31 else 0) for p in v.replace("-", ".").split(".")] if v is not None else []
+    best = {}
+    for k, limit in wanted:
+        fitting = [(at, i) for key, v, at, i in commits if key == k and limit is not None and parts(v) <= parts(limit)]
+        if fitting:
+            best[k, limit] = max(fitting)
+    table = spark.createDataFrame(commits, "key string, version string, at long, id long").repartition(5)
+    limits = spark.createDataFrame(wanted, "key string, wanted string")
+    got = {(r["key"], r["wanted"]): (r["at"], r["id"]) for r in queues.newest_at_most(table, limits, "key", "version", "wanted", ["at", "id"], "at", "id").collect()}
+    assert got == best and len(best) > 20
+    row = spark.range(1).select(*[text.version_key(F.lit(v)) for v in ("1.9", "1.10", "1", "x.1", "1-10", "1.x")]).first()
+    assert row[0] < row[1] == row[4] and row[2] < row[5] < row[0] and row[3] < row[2]
+
+
+def test_a_script_of_edits_equals_its_setters(spark, capsys):
+    xml = f'<Project xmlns="{projects.NAMESPACE}"><PropertyGroup Label="Configuration"><PlatformToolset>v1</PlatformToolset></PropertyGroup><PropertyGroup/><ItemDefinitionGroup><ClCompile/><Link/></ItemDefinitionGroup></Project>'
+    table = spark.createDataFrame([(xml, "v9"), (xml, None), ("<broken", "v9"), (None, "v9")], "xml string, v string")
+    chain, script = F.col("xml"), []
+    for name in projects.CHANGES:
+        value = F.lit("/Ox") if name == "optimization" else F.concat(F.lit(f"{name}"), F.col("v")) if name != "toolset" else F.col("v")
+        chain, script = getattr(projects, f"set_{name}")(chain, value), [*script, (name, value)]
+    once = table.select("v", chain.alias("want"), projects.edited(F.col("xml"), script).alias("got"))
+    rows = once.collect()
+    assert all(r["want"] == r["got"] for r in rows) and "toolsetv9" not in rows[0]["got"] and "<PlatformToolset>v9</PlatformToolset>" in rows[0]["got"]
+    assert [r["got"] is None for r in rows] == [False, False, True, True] and "PlatformToolset" not in rows[1]["got"]
+    table.select(projects.edited(F.col("xml"), script)).explain()
+    assert capsys.readouterr().out.count("EvalPython") == 1
+
+
+def test_hashed_layout_reads_the_folders_of_the_names(spark, tmp_path, capsys):
+    names = spark.createDataFrame([(i, f"name {i}") for i in range(3000)] + [(-1, None), (-2, "name 7")], "id long, name string")
+    files.write_hashed(names.where("name is not null"), "name", str(tmp_path / "h"))
+    wanted = spark.createDataFrame([("name 7",), ("name 2999",), ("none",), (None,), ("name 7",)], "name string")
+    found = files.read_hashed(spark, str(tmp_path / "h"), names.schema, wanted, "name")
+    assert sorted(r["id"] for r in found.collect()) == [-2, 7, 2999] and found.columns == ["id", "name"]
+    found.explain()
+    plan = capsys.readouterr().out
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)[1]
+    assert "prefix" in filters and len(found.inputFiles()) > 0
+    assert files.read_hashed(spark, str(tmp_path / "h"), names.schema, wanted.limit(0), "name").count() == 0
