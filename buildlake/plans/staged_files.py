@@ -204,22 +204,24 @@ def dataset_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SOURCE = """#include <a.h>
 /* adds
-   two */
+   {name} */
 static int
-add_{}(int a, int b)
+add_{key}(int a, int b)
 {{
-  // sum
+  // sum of {nation}
+  puts("// {name}");
   return a + b;
 }}"""
 
 
 @query(
-    """SELECT s_suppkey, 'add_' || s_suppkey AS name, '/* adds' || chr(10) || '   two */' AS top_comments, '  // sum' AS body_comments, 'static int' || chr(10) || 'add_' || s_suppkey || '(int a, int b)' AS prototype,
-    concat_ws(chr(10), '/* adds', '   two */', 'static int', 'add_' || s_suppkey || '(int a, int b)', '{', '  // sum', '  return a + b;', '}') AS definition FROM supplier"""
+    """SELECT s_suppkey, 'add_' || s_suppkey AS name, '/* adds' || chr(10) || '   ' || s_name || ' */' AS top_comments, '  // sum of ' || s_nationkey AS body_comments, 'static int' || chr(10) || 'add_' || s_suppkey || '(int a, int b)' AS prototype,
+    concat_ws(chr(10), '/* adds', '   ' || s_name || ' */', 'static int', 'add_' || s_suppkey || '(int a, int b)', '{', '  // sum of ' || s_nationkey, '  puts("// ' || s_name || '");', '  return a + b;', '}') AS definition FROM supplier"""
 )
 def comments_prototypes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head, tail = _SOURCE.replace("{{", "{").replace("}}", "}").split("{}")
-    body = F.concat(F.lit(head), F.col("s_suppkey").cast("string"), F.lit(tail))
+    body = F.lit(_SOURCE.replace("{{", "{").replace("}}", "}"))
+    for field, column in (("{name}", "s_name"), ("{key}", "s_suppkey"), ("{nation}", "s_nationkey")):
+        body = F.replace(body, F.lit(field), F.col(column).cast("string"))
     functions = roles.load(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("add_"), "s_suppkey").alias("name"), body.alias("body"))
     return source_text.described_functions(functions).drop("body")
 
@@ -287,14 +289,30 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT make_timestamp((e // 300 * 300 + 300 * (s + 1)) * 1000000) AS until, event_type, count(*) AS n FROM (SELECT event_type, floor(epoch(ts))::BIGINT AS e FROM events), range(12) t(s) GROUP BY ALL"""
 )
 def streamed_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of the last hour, every five minutes and by type, counted as a stream."""
-    counted = jobs.sliding_counts(_event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type").withColumn("until", F.col("until").cast("timestamp_ntz"))
-    folder = work_folder(spark, "sliding")
-    table = jobs.VersionedTable(spark, f"{folder}/table", counted.schema, ["until"])
-    jobs.run_available(counted, f"{folder}/checkpoint", lambda batch, k: table.write(batch, k), "complete")
+    """Events of the last hour, every five minutes and by type: panes counted as a stream, hours from sums of panes."""
+    return jobs.last_counts(_panes(spark, sf_dir), "event_type", 3600).withColumn("until", F.col("until").cast("timestamp_ntz"))
+
+
+def _panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = jobs.pane_counts(_event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type")
+    folder = work_folder(spark, "panes")
+    table = jobs.VersionedTable(spark, f"{folder}/table", counted.schema, ["pane"])
+    jobs.run_available(counted, f"{folder}/checkpoint", table.upsert(["pane", "event_type"]), "update")
     return table.before()
 
 
+@query(
+    """WITH p AS (SELECT event_type, floor(epoch(ts))::BIGINT // 300 * 300 AS pane, count(*) AS n FROM events GROUP BY ALL), m AS (SELECT (max(pane) + 300) // 86400 * 86400 AS mark FROM p)
+    SELECT event_type, sum(n) FILTER (WHERE pane >= mark - 86400) AS last_day, sum(n) FILTER (WHERE pane >= mark - 30 * 86400) AS last_month FROM p, m WHERE pane < mark AND pane >= mark - 30 * 86400 GROUP BY event_type"""
+)
+def streamed_last_day_and_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same panes summed over a day and over thirty days, at the last midnight."""
+    panes = staged(_panes(spark, sf_dir), "panes")
+    midnight = panes.agg((F.floor((F.max(F.unix_seconds("pane")) + 300) / 86400) * 86400).cast("long").alias("mark"))
+    at_midnight = lambda days, name: jobs.last_counts(panes, "event_type", days * 86400).join(midnight, F.unix_seconds("until") == F.col("mark")).select("event_type", F.col("n").alias(name))
+    return at_midnight(1, "last_day").join(at_midnight(30, "last_month"), "event_type")
+
+
 @query("SELECT user_id, min(event_id) AS event_id, count(*) AS events FROM events GROUP BY user_id")
 def streamed_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages that are JSON arrays of records: exploded, and the first record of each key kept, as a stream into a table."""
@@ -312,10 +330,10 @@ def streamed_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streamed_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream, counted by hour; each batch's updated hours replace the former ones."""
     folder = work_folder(spark, "hours")
-    counted = jobs.hourly_counts(_event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")), "ts").withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+    counted = jobs.hourly_counts(_event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")), "ts")
     table = jobs.VersionedTable(spark, f"{folder}/table", counted.schema)
-    jobs.run_available(counted, f"{folder}/checkpoint", lambda batch, k: table.write(batch, k), "complete")
-    return table.before()
+    jobs.run_available(counted, f"{folder}/checkpoint", table.upsert(["hour"]), "update")
+    return table.before().withColumn("hour", F.col("hour").cast("timestamp_ntz"))
 
 
 @query(

@@ -7,10 +7,9 @@ an explicit checkpoint folder. The batch twins are in ``operators``.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from datetime import UTC
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -44,9 +43,48 @@ def hourly_counts(stream: DataFrame, ts: str, delay: str = "600 seconds") -> Dat
     return stream.withWatermark(ts, delay).groupBy(F.window(ts, "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("hour"), "n")
 
 
-def sliding_counts(stream: DataFrame, ts: str, key: str, delay: str = "600 seconds") -> DataFrame:
-    """Counts of the last hour, every five minutes."""
-    return stream.withWatermark(ts, delay).groupBy(F.window(ts, "1 hour", "5 minutes").alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.end").alias("until"), key, "n")
+def pane_counts(stream: DataFrame, ts: str, key: str, pane: str = "5 minutes", delay: str = "600 seconds") -> DataFrame:
+    """(pane, key, n): rows of each pane of time, counted once whatever the number of windows over it.
+
+    In update mode a batch gives the panes it changed; state holds the panes that
+    the watermark hasn't passed. Later rows are dropped: ``late_apart`` keeps them.
+    """
+    counted = stream.withWatermark(ts, delay).groupBy(F.window(ts, pane).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.col("w.start").alias("pane"), key, "n")
+
+
+def last_counts(panes: DataFrame, key: str, seconds: int, pane: int = 300) -> DataFrame:
+    """(until, key, n): at every end of a pane, the rows of the last ``seconds`` by then, where there are any.
+
+    A pane adds to the count when it ends and takes it off ``seconds`` later, so
+    an hour, a day and a month cost the same: two changes a pane, one running sum.
+    """
+    at = F.unix_seconds("pane")
+    changes = panes.select(key, F.explode(F.array(F.struct((at + pane).alias("at"), F.col("n").alias("d")), F.struct((at + pane + seconds).alias("at"), (-F.col("n")).alias("d")))).alias("c"))
+    summed = changes.groupBy(key, "c.at").agg(F.sum("c.d").alias("d"))
+    w = Window.partitionBy(key).orderBy("at")  # panes of a key: bounded by time, not by rows
+    steps = summed.select(key, "at", F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("n"), F.lead("at").over(w).alias("next"))
+    marks = F.sequence(F.col("at"), F.col("next") - pane, F.lit(pane).cast("long"))
+    return steps.where("n > 0").select(F.explode(marks).alias("until"), key, "n").withColumn("until", F.timestamp_seconds("until"))
+
+
+def late_apart(on_time: Callable[[DataFrame, int], None], late: Callable[[DataFrame, int], None], ts: str, delay: int, progress: VersionedTable) -> Callable[[DataFrame, int], None]:
+    """A sink that hands each batch's rows to one of two: late are those ``delay`` seconds or more behind the newest row of earlier batches.
+
+    ``progress`` (id int, newest timestamp) keeps that time by batch, so a
+    replayed batch is parted alike. Rows without a time are late.
+    """
+
+    def sink(batch: DataFrame, k: int) -> None:
+        known = progress.before(k).agg(F.max("newest")).first()[0]
+        here = batch.agg(F.max(ts)).first()[0]
+        behind = F.col(ts).isNull() if known is None else F.col(ts).isNull() | (F.unix_micros(F.lit(known)) - F.unix_micros(ts) >= delay * 1_000_000)
+        on_time(batch.where(~behind), k)
+        late(batch.where(behind), k)
+        times = [t for t in (known, here) if t is not None]
+        progress.write(batch.sparkSession.createDataFrame([(0, max(times, default=None))], progress.schema), k)
+
+    return sink
 
 
 def once_per_key(stream: DataFrame, keys: list[str], ts: str, delay: str = "600 seconds") -> DataFrame:
@@ -59,7 +97,10 @@ def worker_sessions(stream: DataFrame, key: str, ts: str, gap: str = "600 second
 
 
 def heartbeats(stream: DataFrame, ttl: int = S.WORKER_TTL, delay: str = "0 seconds") -> DataFrame:
-    """Worker states (uuid, first, last, pings) after each batch of pings (uuid, ts), forgotten once pings are ``ttl`` seconds past the last one."""
+    """Worker states (uuid, first, last, pings) after each batch of pings (uuid, ts), forgotten once pings are ``ttl`` seconds past the last one.
+
+    On the plain state store; ``workers.worker_events`` tells of expiries too.
+    """
 
     def beat(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -67,21 +108,25 @@ def heartbeats(stream: DataFrame, ttl: int = S.WORKER_TTL, delay: str = "0 secon
             return
         first, last, pings = state.get if state.exists else (None, None, 0)
         for part in parts:
-            low, high = part["ts"].min().to_pydatetime(), part["ts"].max().to_pydatetime()
+            low, high = int(part["at"].min()), int(part["at"].max())
             first, last = (low, high) if first is None else (min(first, low), max(last, high))
             pings += len(part)
         state.update((first, last, pings))
-        state.setTimeoutTimestamp(max(int(last.replace(tzinfo=UTC).timestamp() + ttl) * 1000, state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutTimestamp(max(last // 1000 + 1000 * ttl, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"uuid": [key[0]], "first": [first], "last": [last], "pings": [pings]})
 
-    told = "first timestamp, last timestamp, pings long"
-    return stream.withWatermark("ts", delay).groupBy("uuid").applyInPandasWithState(beat, f"uuid string, {told}", told, "update", GroupStateTimeout.EventTimeTimeout)
+    # microseconds: the same in every time zone
+    told = "first long, last long, pings long"
+    timed = stream.select("uuid", "ts", F.unix_micros("ts").alias("at")).withWatermark("ts", delay)
+    beats = timed.groupBy("uuid").applyInPandasWithState(beat, f"uuid string, {told}", told, "update", GroupStateTimeout.EventTimeTimeout)
+    return beats.withColumns({c: F.timestamp_micros(c) for c in ("first", "last")})
 
 
-def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    """Everything that is there now, batch by batch, into ``sink``; a later call goes on where this one ended."""
+def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
+    """Everything that is there now, batch by batch, into ``sink``; a later call goes on where this one, now done, ended."""
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
     query.awaitTermination()
+    return query
 
 
 def to_folder(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -149,6 +194,11 @@ class VersionedTable:
         self._keyed_by([key])
         return lambda updates, batch: self.write(tasks.merged(self.before(batch, self._touched(updates)), updates, key, order), batch)
 
+    def upsert(self, keys: list[str]) -> Callable[[DataFrame, int], None]:
+        """A sink of rows that take the place of those with the same key; a batch has one row a key."""
+        self._keyed_by(keys)
+        return lambda rows, batch: self.write(self.before(batch, self._touched(rows)).join(rows, keys, "left_anti").unionByName(rows), batch)
+
     def insert_new(self, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
         """A sink that adds rows whose key is new, the first of each."""
         self._keyed_by(keys)

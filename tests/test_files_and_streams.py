@@ -47,14 +47,16 @@ def test_repetitions_within_the_delay_are_dropped(spark, tmp_path):
 
 def test_sliding_counts_of_closed_windows(spark, tmp_path):
     rows = [("a", at(0)), ("a", at(30)), ("b", at(61)), ("a", at(600))]
-    stream = stream_of(spark, str(tmp_path / "in"), rows, "key string, ts timestamp")
-    got = {(u, k): n for u, k, n in collected(jobs.sliding_counts(stream, "ts", "key"), str(tmp_path / "ck"), "complete")}
-    want = {}
-    for k, t in rows:
-        for s in range(12):
-            end = dt.datetime.fromtimestamp((t.timestamp() // 300 + 1 + s) * 300)
-            want[end, k] = want.get((end, k), 0) + 1
-    assert got == want
+    counted = jobs.pane_counts(stream_of(spark, str(tmp_path / "in"), rows, "key string, ts timestamp"), "ts", "key")
+    panes = spark.createDataFrame(collected(counted, str(tmp_path / "ck"), "update"), "pane timestamp, key string, n long")
+    for panes_in_window in (12, 288):
+        got = {(r["until"], r["key"]): r["n"] for r in jobs.last_counts(panes, "key", 300 * panes_in_window).collect()}
+        want = {}
+        for k, t in rows:
+            for s in range(panes_in_window):
+                end = dt.datetime.fromtimestamp((t.timestamp() // 300 + 1 + s) * 300)
+                want[end, k] = want.get((end, k), 0) + 1
+        assert got == want
 
 
 def test_heartbeats_add_up(spark, tmp_path):

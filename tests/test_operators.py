@@ -282,3 +282,35 @@ def test_hashed_layout_reads_the_folders_of_the_names(spark, tmp_path, capsys):
     filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)[1]
     assert "prefix" in filters and len(found.inputFiles()) > 0
     assert files.read_hashed(spark, str(tmp_path / "h"), names.schema, wanted.limit(0), "name").count() == 0
+
+
+def test_literals_and_comments_are_told_apart():
+    lines = [
+        'const char *url = "http://a/*b";',
+        "int other(int c) { return '\\\"'; } // add(1)",
+        "",
+        "// first",
+        "// second",
+        "",
+        "static",
+        'int add(int a, /* second( */ int b = f(")"),',
+        "        int c)",
+        "{",
+        '  puts("// no comment");  /* one',
+        "",
+        '  "two" */ puts("*/");',
+        "  return '/' / *p; // three",
+        "}",
+    ]
+    code = [line.code for line in source_text.lexed(lines)]
+    assert "http" not in code[0] and code[0].endswith(";") and "add" not in code[1] and "puts" in code[10] and "two" not in code[12] and "puts" in code[12]
+    assert all(len(line.text) == len(line.code) for line in source_text.lexed(lines))
+    assert source_text.definition_start(lines, "add") == 3
+    assert source_text.comment_lines(lines, "add", body=False) == [lines[1], *lines[3:5]]
+    assert source_text.comment_lines(lines, "add", body=True) == [lines[7], lines[10], lines[12], lines[13]]
+    assert source_text.prototype_lines(lines, "add") == lines[6:8]
+    assert source_text.definition_start(lines, "second") is None and source_text.comment_lines([], "x", True) == [] == source_text.prototype_lines([], "x")
+    assert source_text.lexed(["a /* open", "b"])[1].only_comment and source_text.lexed(['"open', "b"])[1].code == "b"
+    assert source_text.definition_start(["#define A", "/* x", "*/", "", "int f(", "  int a)", "{"], "f") == 1
+    assert source_text.definition_start(["g();", "int f(int a)", "{"], "f") == 1 and source_text.definition_start(["@deco", "", "int f(int a)"], "f") == 2
+    assert source_text.comment_lines(["// a", "#include <x> // b", "// c", "int f()"], "f", body=False) == ["// c"]

@@ -195,3 +195,30 @@ def test_digests_of_chunks(spark):
         assert hashlib.sha256(b"".join(c for *_, c in parts)).hexdigest() == want[name][2]
         assert [p for _, p, _ in parts] == [sum(len(c) for *_, c in parts[:i]) for i in range(len(parts))]
     assert chunks.chunk_digests(table.limit(0)).count() == 0 == chunks.placed_chunks(table.limit(0)).count()
+
+
+# --- panes and late rows
+
+
+def test_panes_leave_the_state_and_late_rows_are_kept_apart(spark, tmp_path):
+    folder = str(tmp_path)
+    schema = "key string, ts timestamp"
+    table = jobs.VersionedTable(spark, f"{folder}/panes", spark.createDataFrame([], "pane timestamp, key string, n long").schema, ["pane"])
+    progress = jobs.VersionedTable(spark, f"{folder}/progress", spark.createDataFrame([], "id int, newest timestamp").schema, ["id"])
+    seen = {"on time": [], "late": []}
+    note = lambda name: lambda rows, k: seen[name].extend((k, r["key"], r["ts"]) for r in rows.collect())
+    parted = jobs.late_apart(note("on time"), note("late"), "ts", 600, progress)
+    held = []
+    for n, rows in enumerate([[("a", at(1)), ("a", at(3)), ("b", at(2))], [("a", at(300)), ("a", at(4))], [("a", at(5)), ("a", at(292)), ("b", None)]]):
+        stream = appended(spark, f"{folder}/in", rows, schema)
+        query = jobs.run_available(jobs.pane_counts(stream, "ts", "key"), f"{folder}/ck", table.upsert(["pane", "key"]), "update")
+        held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        jobs.run_available(stream, f"{folder}/ck2", parted)
+        if n == 1:
+            for _ in range(2):  # replayed
+                parted(spark.createDataFrame(rows, schema), 1)
+    # of two keys' panes, of the one that the watermark hasn't passed, of that and one within the delay
+    assert held[0] == held[2] == 2 * held[1] > 0
+    assert {(r["pane"], r["key"], r["n"]) for r in table.before().collect()} >= {(at(0), "a", 3), (at(0), "b", 1), (at(300), "a", 1), (at(290), "a", 1)}
+    assert set(seen["late"]) == {(2, "a", at(5)), (2, "b", None)}
+    assert set(seen["on time"]) == {(0, "a", at(1)), (0, "a", at(3)), (0, "b", at(2)), (1, "a", at(300)), (1, "a", at(4)), (2, "a", at(292))}
