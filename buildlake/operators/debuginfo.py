@@ -100,8 +100,8 @@ def function_texts(tags: DataFrame, sources: DataFrame, step: int = 64) -> DataF
     return kept.groupBy(*key, F.col("start")).agg(body.alias("body"))
 
 
-def matched_functions(functions: DataFrame, tags: DataFrame, order: list[str]) -> DataFrame:
-    """Each debug function with the first tag of its name, whatever the case.
+def matched_functions(functions: DataFrame, tags: DataFrame, order: list[str], on: tuple[str, ...] = ()) -> DataFrame:
+    """Each debug function with the first tag of its name, whatever the case, and of equal ``on`` columns.
 
     If both names are qualified they are compared whole, else without their
     namespaces; so each side has up to two keys and the join is by equality.
@@ -116,11 +116,29 @@ def matched_functions(functions: DataFrame, tags: DataFrame, order: list[str]) -
     right = keyed(tags.withColumnRenamed("name", "tag"), "tag")
     # whole with whole; a bare name with a bare or a stripped one
     left = left.withColumn("__key", F.explode(F.when(F.col("__key").startswith("u:"), F.array("__key", F.concat(F.lit("q:"), F.substring("__key", 3, 1 << 20)))).when(F.col("__key").startswith("q:"), F.array(F.concat(F.lit("u:"), F.substring("__key", 3, 1 << 20)))).otherwise(F.array("__key"))))
-    joined = left.join(right.dropDuplicates(["__key", "tag", *order]), "__key")
+    joined = left.join(right.dropDuplicates([*on, "__key", "tag", *order]), [*on, "__key"])
     best = joined.groupBy(*functions.columns).agg(F.min_by(F.struct("tag", *order), F.struct(*order, "tag")).alias("t"))
     return best.select(*functions.columns, "t.*")
 
 
+TAG_FIELDS = ("ctag_definitions", "top_comments", "body_comments", "source_codes_ctags", "prototype", "source_codes")
+
+
+def with_tag_fields(functions: DataFrame, tags: DataFrame) -> DataFrame:
+    """Debug functions (function, source_file, others) with the fields of the first tag of their name in their file; nulls without one.
+
+    ``tags``: source_file, name, at (place in the file) and ``TAG_FIELDS``. Files
+    meet without the digest behind them.
+    """
+    plain = functions.withColumn("__file", text.digest_of_path(F.col("source_file"))["file"])
+    keys = plain.select("function", "__file").distinct()
+    found = matched_functions(keys, tags.withColumnRenamed("source_file", "__file"), ["at"], ("__file",))
+    # of a name with several tags the first place decides, then the least fields
+    listed = tags.groupBy(F.col("source_file").alias("__file"), F.col("name").alias("tag"), "at").agg(F.min(F.struct(*TAG_FIELDS)).alias("__fields"))
+    fields = found.join(listed, ["__file", "tag", "at"]).select("function", "__file", "__fields")
+    return plain.join(fields, ["function", "__file"], "left").select(*functions.columns, *[F.col(f"__fields.{c}").alias(c) for c in TAG_FIELDS])
+
+
 def first_gap_filled(rows: DataFrame, per: list[str], order: list[str], known: DataFrame) -> DataFrame:
     """Line rows; the first one of each function without source text gets it from ``known`` (source_file, line_number, source_code)."""
     gap = F.min_by(F.struct(*order), F.when(F.coalesce("source_code", F.lit("")) == "", F.struct(*order))).alias("__gap")

@@ -1,4 +1,9 @@
-"""Ordered-sequence operators: islands, carries, gaps, as-of and range joins. All partition by a key."""
+"""Ordered-sequence operators: islands, carries, gaps, as-of and range joins. All partition by a key.
+
+Windows here sort a group in one task: they are for groups of a bounded size,
+like the segments of a function or the items of an order. ``scans`` carries and
+sums along groups of any size.
+"""
 
 from __future__ import annotations
 
@@ -8,18 +13,6 @@ from pyspark.sql import functions as F
 _ALL_BEFORE = (Window.unboundedPreceding, Window.currentRow)
 
 
-def carried(table: DataFrame, column: str, per: list[str], order: list[str]) -> DataFrame:
-    """``column`` with nulls replaced by the last value before them."""
-    w = Window.partitionBy(*per).orderBy(*order).rowsBetween(*_ALL_BEFORE)
-    return table.withColumn(column, F.last(column, ignorenulls=True).over(w))
-
-
-def island_ids(table: DataFrame, starts: Column, per: list[str], order: list[str], name: str = "island") -> DataFrame:
-    """Number of the island each row is in: how many starts there were so far. Rows before the first start are island 0."""
-    w = Window.partitionBy(*per).orderBy(*order).rowsBetween(*_ALL_BEFORE)
-    return table.withColumn(name, F.sum(F.when(starts, 1).otherwise(0)).over(w))
-
-
 def gaps(table: DataFrame, start: str, end: str, per: list[str]) -> DataFrame:
     """Gap between each segment's end and the next one's start; null for the last."""
     return table.withColumn("gap", F.lead(start).over(Window.partitionBy(*per).orderBy(start, end)) - F.col(end))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from buildlake.functions import numbers, times
-from buildlake.operators import corpus, numbering, sequences
+from buildlake.operators import corpus, numbering, scans, sequences
 from buildlake.plans.control import EVENT_NOW
 from buildlake.plans.registry import Registry
 from buildlake.sources import roles
@@ -65,22 +65,21 @@ def function_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT *, sum((event_type = 'signup')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM events) GROUP BY user_id, island"""
 )
 def dump_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sequences.island_ids(_events(spark, sf_dir), F.col("event_type") == "signup", ["user_id"], ["ts", "event_id"])
+    starts = F.when(F.col("event_type") == "signup", 1).otherwise(0)
+    rows = scans.scanned(_events(spark, sf_dir), ["user_id"], ["ts", "event_id"], {"island": scans.Sum(starts)})
     return rows.groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"), F.min_by("props", "event_id").alias("header"))
 
 
 @query("SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS header FROM events")
 def carried_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _events(spark, sf_dir).withColumn("header", F.when(F.col("event_type") == "signup", F.col("event_id")))
-    return sequences.carried(rows, "header", ["user_id"], ["ts", "event_id"]).select("event_id", "header")
+    header = F.when(F.col("event_type") == "signup", F.col("event_id"))
+    return scans.scanned(_events(spark, sf_dir), ["user_id"], ["ts", "event_id"], {"header": scans.Last(header)}).select("event_id", "header")
 
 
 @query("SELECT event_id, coalesce(lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) <> event_type, true) AS closes FROM events")
 def run_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    after = F.lead("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return _events(spark, sf_dir).select("event_id", F.coalesce(after != F.col("event_type"), F.lit(True)).alias("closes"))
+    rows = scans.scanned(_events(spark, sf_dir), ["user_id"], ["ts", "event_id"], {"after": scans.Following(F.col("event_type"))})
+    return rows.select("event_id", F.coalesce(F.col("after") != F.col("event_type"), F.lit(True)).alias("closes"))
 
 
 @query(

@@ -226,6 +226,21 @@ def comments_prototypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_text.described_functions(functions).drop("body")
 
 
+@query(
+    """SELECT p_partkey, 'int add_' || s_suppkey AS ctag_definitions, '/* ' || s_name || ' */' AS top_comments, 'add_' || s_suppkey || '(int a)' AS prototype, s_address AS source_codes
+    FROM part LEFT JOIN (SELECT *, s_nationkey::VARCHAR AS s_address FROM supplier) ON s_suppkey = p_partkey % 120 AND s_suppkey % 3 = p_size % 3"""
+)
+def tagged_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Debug functions with what the tags of their source file say; names differ in case and namespace."""
+    parts, suppliers = roles.load(spark, sf_dir, "part"), roles.load(spark, sf_dir, "supplier")
+    wanted = F.concat(F.when(F.col("p_partkey") % 2 == 0, "Ns::ADD_").otherwise("Add_"), F.col("p_partkey") % 120)
+    functions = parts.select("p_partkey", wanted.alias("function"), F.concat(F.lit("c:\\f"), F.col("p_size") % 3, F.lit(".c (MD5: AB)")).alias("source_file"))
+    key = F.col("s_suppkey").cast("string")
+    said = {"ctag_definitions": F.concat(F.lit("int add_"), key), "top_comments": F.concat(F.lit("/* "), "s_name", F.lit(" */")), "body_comments": F.lit(""), "source_codes_ctags": F.lit(""), "prototype": F.concat(F.lit("add_"), key, F.lit("(int a)")), "source_codes": F.col("s_nationkey").cast("string")}
+    tags = suppliers.select(F.concat(F.lit("c:\\f"), F.col("s_suppkey") % 3, F.lit(".c")).alias("source_file"), F.concat(F.lit("add_"), key).alias("name"), F.col("s_suppkey").alias("at"), *[v.alias(k) for k, v in said.items()])
+    return debuginfo.with_tag_fields(functions, tags).select("p_partkey", "ctag_definitions", "top_comments", "prototype", "source_codes")
+
+
 @query("SELECT doc_id, substr(hex(encode(text)), 21, 10) AS first_slice, substr(hex(encode(text)), 37, 24) AS last_slice, substr(hex(encode(text)), 21, 40) AS span FROM documents")
 def function_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slices and span of bytes of every document, in hex: a byte may be part of a character."""

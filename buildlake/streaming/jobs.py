@@ -185,6 +185,9 @@ class VersionedTable:
         for b, vs in self.versions().items():
             for v in vs[:-2]:
                 self.fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}/bucket={b}"), True)
+        for v in self._numbers(self.path, "v=")[:-2]:
+            if not self._numbers(f"{self.path}/v={v}", "bucket="):
+                self.fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}"), True)
 
     def _touched(self, rows: DataFrame) -> list[int]:
         return [r["b"] for r in rows.select(self.bucket().alias("b")).distinct().collect()]  # bounded by the number of buckets

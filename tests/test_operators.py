@@ -314,3 +314,13 @@ def test_literals_and_comments_are_told_apart():
     assert source_text.definition_start(["#define A", "/* x", "*/", "", "int f(", "  int a)", "{"], "f") == 1
     assert source_text.definition_start(["g();", "int f(int a)", "{"], "f") == 1 and source_text.definition_start(["@deco", "", "int f(int a)"], "f") == 2
     assert source_text.comment_lines(["// a", "#include <x> // b", "// c", "int f()"], "f", body=False) == ["// c"]
+
+
+def test_fields_of_the_first_tag_of_a_file(spark):
+    functions = spark.createDataFrame([(1, "ns::Run", "a.c (MD5: 1)"), (2, "RUN", "a.c (0x3: 2)"), (3, "run", "b.c"), (4, "x::run", "b.c"), (5, None, "a.c")], "id long, function string, source_file string")
+    row = lambda file, name, at, mark: (file, name, at, *[f"{mark}{i}" for i in range(len(debuginfo.TAG_FIELDS))])
+    tags = spark.createDataFrame([row("a.c", "run", 7, "late"), row("a.c", "Run", 3, "first"), row("a.c", "Run", 3, "again"), row("b.c", "y::run", 1, "other")], f"source_file string, name string, at long, {', '.join(f'{c} string' for c in debuginfo.TAG_FIELDS)}")
+    found = debuginfo.with_tag_fields(functions, tags)
+    assert found.columns == [*functions.columns, *debuginfo.TAG_FIELDS]
+    # of two tags in one place the one of the least fields; two qualified names are compared whole
+    assert {r["id"]: (r["ctag_definitions"], r["source_codes"]) for r in found.collect()} == {1: ("again0", "again5"), 2: ("again0", "again5"), 3: ("other0", "other5"), 4: (None, None), 5: (None, None)}
