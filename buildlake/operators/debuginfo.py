@@ -43,6 +43,7 @@ def dump_rows(lines: DataFrame, per: str = "dump", end_closes: bool = True) -> D
         "rva": F.when(row, F.regexp_extract(line, r"at \[(\w+)\]", 1)),
         "length": F.when(row, numbers.from_hex(F.regexp_extract(line, r"len = (\w+)", 1))),
     })
+    marked = marked.select(per, "pos", "is_row", "is_header", "function", "path", "line_number", "rva", "length")
     begins = F.col("is_header")
     found = scans.scanned(marked, [per], ["pos"], {
         "header": scans.Sum(F.when(begins, 1).otherwise(0)),
