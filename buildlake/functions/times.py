@@ -36,6 +36,11 @@ def epoch(ts: Column) -> Column:
     return F.unix_timestamp(ts.cast("timestamp"))
 
 
+def exact_epoch(ts: Column) -> Column:
+    """Seconds since 1970 with their fraction: a bound on whole seconds cuts between microseconds."""
+    return F.unix_micros(ts.cast("timestamp")) / 1_000_000
+
+
 def iso_of_epoch(seconds: Column) -> Column:
     return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss")
 

@@ -29,7 +29,7 @@ def progress(statuses: DataFrame, binaries: DataFrame, now: int) -> DataFrame:
         {"cloned": clone == S.SUCCESS, "clone_failed": clone == S.FAILED, "built": build == S.SUCCESS, "build_failed": build.isin(*S.FAILURES)},
     )
     name = F.col("file_name")
-    files = windowed_counts(binaries, times.epoch(F.col("build_date")), now, {"binaries": F.lit(True), "windows_binaries": name.endswith(".exe") | name.endswith(".dll")})
+    files = windowed_counts(binaries, times.exact_epoch(F.col("build_date")), now, {"binaries": F.lit(True), "windows_binaries": name.endswith(".exe") | name.endswith(".dll")})
     return tasks.crossJoin(files)  # one row each
 
 

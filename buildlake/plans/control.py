@@ -44,7 +44,7 @@ _EVENT_KINDS = ("click", "error", "purchase", "signup", "view")
 
 @query(f"SELECT {', '.join(f"count_if(event_type = '{k}' AND epoch(ts) > {EVENT_NOW} - {s})::BIGINT AS {k}_{w}" for k in _EVENT_KINDS for w, s in metrics.WINDOWS.items())} FROM events")
 def progress_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.windowed_counts(_events(spark, sf_dir), times.epoch(F.col("ts")), EVENT_NOW, {k: F.col("event_type") == k for k in _EVENT_KINDS})
+    return metrics.windowed_counts(_events(spark, sf_dir), times.exact_epoch(F.col("ts")), EVENT_NOW, {k: F.col("event_type") == k for k in _EVENT_KINDS})
 
 
 @query("SELECT count(_id) AS total, count_if(clone_status = 3)::BIGINT AS cloned, count_if(build_status = 3)::BIGINT AS built FROM statuses", roles=True)

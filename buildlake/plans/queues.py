@@ -17,6 +17,11 @@ REGISTRY = query = Registry()
 _TTL = 20 * S.DAY
 
 
+def _nearest_second(ts: str) -> F.Column:
+    """A time's second, rounded to the nearest one (a half to the even one), as the SQL's cast does."""
+    return F.rint(times.exact_epoch(F.col(ts))).cast("long")
+
+
 @query(
     f"""WITH e AS (SELECT event_id, event_type, ts, {EVENT_NOW} - epoch(ts)::BIGINT AS age FROM events),
     f AS (SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM e WHERE age < {_TTL})
@@ -24,7 +29,7 @@ _TTL = 20 * S.DAY
 )
 def queue_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = roles.load(spark, sf_dir, "events").select("event_id", "event_type", "ts")
-    age = F.lit(EVENT_NOW) - times.epoch(F.col("ts"))
+    age = F.lit(EVENT_NOW) - _nearest_second("ts")
     return queues.admission(events, "event_type", ["ts", "event_id"], age, capacity=70, ttl=_TTL).drop("ts")
 
 
@@ -51,7 +56,7 @@ def analysis_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT event_id, ts FROM events WHERE {EVENT_NOW} - epoch(ts)::BIGINT > 60")
 def cache_eviction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queues.outlived(roles.load(spark, sf_dir, "events").select("event_id", "ts"), times.epoch(F.col("ts")), F.lit(EVENT_NOW))
+    return queues.outlived(roles.load(spark, sf_dir, "events").select("event_id", "ts"), _nearest_second("ts"), F.lit(EVENT_NOW))
 
 
 @query(
