@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import bisect
 import functools
 from collections.abc import Callable
 
+import pyarrow as pa
 import pyarrow.dataset as ds
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from buildlake import schemas as S
+from buildlake.functions import times
 from buildlake.operators import chunks
 from buildlake.plans.registry import Registry
 from buildlake.sources import crawl, files, outbox, roles
@@ -20,21 +24,43 @@ REGISTRY = query = Registry()
 
 # the orders' time, in windows of thirty days
 ORDERS_BEGIN, ORDERS_END, MONTH = 631_152_000, 1_072_915_200, 30 * 86400  # 1990-01-01, 2004-01-01
+_FILES = 4  # of a month at the service, at most
 
 
-def orders_pages(sf_dir: str) -> Callable[[int, int, int], tuple[int, list[dict]]]:
-    """A fetcher that serves the orders of a time window page by page, by order of their keys."""
+def served_orders(spark: SparkSession, sf_dir: str) -> str:
+    """The orders as the crawled service keeps them: a folder for each month of the crawl. One pass writes it, a window reads its month only."""
+    orders, path = roles.load(spark, sf_dir, "orders"), work_folder(spark, "service")
+    at = times.epoch(F.col("o_orderdate"))
+    rows = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", at.alias("at"), F.floor((ORDERS_END - 1 - at) / MONTH).alias("month"))
+    rows.where((at >= ORDERS_BEGIN) & (at < ORDERS_END)).repartition("month", F.pmod(F.col("o_orderkey"), F.lit(_FILES))).write.partitionBy("month").parquet(path)
+    return path
 
-    @functools.lru_cache(maxsize=1)
-    def window(since: int, until: int) -> list[dict]:
-        at = ds.field("o_orderdate").cast("timestamp[s]").cast("int64")
-        table = ds.dataset(f"{sf_dir}/orders.parquet").to_table(["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus"], filter=(at >= since) & (at < until))
-        rows = table.append_column("at", table["o_orderdate"].cast("timestamp[s]").cast("int64")).sort_by("o_orderkey").to_pylist()
-        return [{"name": f"repo{r['o_orderkey']}", "url": f"https://api.forge.com/repos/repo{r['o_orderkey']}", "owner_id": r["o_custkey"], "size": int(r["o_totalprice"] // 1000), "created_at": str(r["at"]), "build_system": {"O": "make", "F": "cmake"}.get(r["o_orderstatus"], "sln")} for r in rows]
+
+def orders_pages(service: str) -> Callable[[int, int, int], tuple[int, list[dict]]]:
+    """A fetcher that serves ``served_orders`` of a time window page by page, by order of times and keys."""
+
+    @functools.lru_cache(maxsize=2)
+    def month(number: int) -> tuple[pa.Table, list[int]]:
+        system, folder = fs.FileSystem.from_uri(service) if ":/" in service else (fs.LocalFileSystem(), service)
+        if system.get_file_info(f"{folder}/month={number}").type == fs.FileType.NotFound:
+            return pa.table({}), []
+        table = ds.dataset(f"{folder}/month={number}", filesystem=system, format="parquet").to_table().sort_by([("at", "ascending"), ("o_orderkey", "ascending")])
+        return table, table["at"].to_pylist()
+
+    def rows(table: pa.Table) -> list[dict]:
+        return [{"name": f"repo{r['o_orderkey']}", "url": f"https://api.forge.com/repos/repo{r['o_orderkey']}", "owner_id": r["o_custkey"], "size": int(r["o_totalprice"] // 1000), "created_at": str(r["at"]), "build_system": {"O": "make", "F": "cmake"}.get(r["o_orderstatus"], "sln")} for r in table.to_pylist()]
 
     def fetch(since: int, until: int, page: int) -> tuple[int, list[dict]]:
-        rows = window(since, until)
-        return len(rows), rows[(page - 1) * crawl.PAGE : page * crawl.PAGE]
+        total, found, skip = 0, [], (page - 1) * crawl.PAGE
+        # months count backwards from the end
+        for number in range((ORDERS_END - 1 - since) // MONTH, (ORDERS_END - until) // MONTH - 1, -1):
+            table, at = month(number)
+            first, last = bisect.bisect_left(at, since), bisect.bisect_left(at, until)
+            start = max(first, first + skip - total)
+            total += last - first
+            if start < last and len(found) < crawl.PAGE:
+                found += rows(table.slice(start, min(last - start, crawl.PAGE - len(found))))
+        return total, found
 
     return fetch
 
@@ -50,7 +76,7 @@ def _rows(crawled: DataFrame) -> DataFrame:
 @query(_CRAWLED)
 def crawled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders, fetched in pages; windows with more than the service gives are halved."""
-    return _rows(crawl.crawl(spark, ORDERS_BEGIN, ORDERS_END, MONTH, f"{__name__}:orders_pages", sf_dir, ORDERS_BEGIN))
+    return _rows(crawl.crawl(spark, ORDERS_BEGIN, ORDERS_END, MONTH, f"{__name__}:orders_pages", served_orders(spark, sf_dir), ORDERS_BEGIN))
 
 
 @query(f"SELECT build_system, count(*) AS repositories, count(DISTINCT created_at::BIGINT // 86400) AS days FROM ({_CRAWLED}) GROUP BY build_system")
@@ -63,7 +89,7 @@ def crawled_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streamed_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The crawl as a stream into an outbox, and the outbox's messages as rows again."""
     folder = work_folder(spark, "crawl")
-    stream = crawl.crawl_stream(spark, ORDERS_BEGIN, ORDERS_END, None, MONTH, f"{__name__}:orders_pages", sf_dir, ORDERS_BEGIN)
+    stream = crawl.crawl_stream(spark, ORDERS_BEGIN, ORDERS_END, None, MONTH, f"{__name__}:orders_pages", served_orders(spark, sf_dir), ORDERS_BEGIN)
     outbox.to_outbox(stream.writeStream, f"{folder}/outbox", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return _rows(spark.read.schema(S.CRAWLED).json(f"{folder}/outbox"))
 

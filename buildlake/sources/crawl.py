@@ -4,9 +4,10 @@ The source splits ``[start, end)`` into windows, newest first; each window is
 a partition, so executors fetch windows in parallel, in a stream too: its
 driver side only moves the offset, the time up to which all is read. A fetcher
 is any importable ``module:function`` that takes (since, until, page) and
-returns (total, rows); a window is read until ``page * 100 >= min(total, 999)``,
-and in halves where its total is over 999. With the option ``source`` the
-function is called with it and returns the fetcher.
+returns (total, rows); a window is read until ``page * 100 >= total``, and in
+halves where its total is over 999. A second can't be halved: it is read page by
+page, and if the service stops before its total the crawl fails. With the
+option ``source`` the function is called with it and returns the fetcher.
 """
 
 from __future__ import annotations
@@ -41,14 +42,16 @@ def fetched(fetch: Callable[[int, int, int], tuple[int, list[dict]]], since: int
         yield from fetched(fetch, middle, until)
         yield from fetched(fetch, since, middle)
         return
-    page = 1
+    names, page = [f.name for f in S.CRAWLED.fields], 1
     while True:
         for row in rows:
-            yield tuple(row.get(f.name) for f in S.CRAWLED.fields)
-        if page * PAGE >= min(total, CAP):
+            yield tuple(map(row.get, names))
+        if page * PAGE >= total:
             return
         page += 1
         rows = fetch(since, until, page)[1]
+        if not rows:
+            raise ValueError(f"the service gives fewer than its {total} rows between {since} and {until}")
 
 
 class Window(InputPartition):
