@@ -1,8 +1,9 @@
 """Project files (XML) and solution files (text) as tables: getters by XPath and patterns, setters by rewriting.
 
 A project file is a row with an ``xml`` column; one row a configuration comes
-out of the getters. Setters change one text per row with standard XML
-parsing, batch by batch.
+out of the getters. Getters of single values are XPath expressions, each of
+which parses the text; ``values_of`` takes any number of values in one parse.
+Setters change one text per row with standard XML parsing, batch by batch.
 """
 
 from __future__ import annotations
@@ -67,24 +68,73 @@ def value_list(value: Column) -> Column:
     return F.filter(F.split(value, ";"), lambda x: x != "")
 
 
-def described_projects(projects: DataFrame, xml: str = "xml") -> DataFrame:
-    """One row a project: files, type, toolset, optimisation, outputs and dependencies."""
-    x = F.col(xml)
-    kind = property_value(x, "ConfigurationType")
-    linked = F.when(kind == "StaticLibrary", definition_value(x, "Lib", "OutputFile")).otherwise(definition_value(x, "Link", "OutputFile"))
-    return projects.withColumns({
-        "sources": source_files(x),
-        "includes": include_files(x),
-        "configuration_type": kind,
-        "toolset": property_value(x, "PlatformToolset"),
-        "whole_program": property_value(x, "WholeProgramOptimization"),
-        "output_directory": property_value(x, "OutDir", None),
-        "optimization": definition_value(x, "ClCompile", "Optimization"),
-        "output_file": linked,
-        "pdb_file": definition_value(x, "Link", "ProgramDatabaseFile"),
-        "link_dependencies": value_list(definition_value(x, "Link", "AdditionalDependencies")),
-        "include_directories": value_list(definition_value(x, "ClCompile", "AdditionalIncludeDirectories")),
-    })
+Place = tuple[str, ...]
+"""Where a value stands: ("PropertyGroup", item, label or None), ("ItemDefinitionGroup", group, item) or ("Include", item)."""
+
+_DESCRIBED: dict[str, Place] = {
+    "sources": ("Include", "ClCompile"),
+    "includes": ("Include", "ClInclude"),
+    "configuration_type": ("PropertyGroup", "ConfigurationType", "Configuration"),
+    "toolset": ("PropertyGroup", "PlatformToolset", "Configuration"),
+    "whole_program": ("PropertyGroup", "WholeProgramOptimization", "Configuration"),
+    "output_directory": ("PropertyGroup", "OutDir", None),
+    "optimization": ("ItemDefinitionGroup", "ClCompile", "Optimization"),
+    "lib_file": ("ItemDefinitionGroup", "Lib", "OutputFile"),
+    "output_file": ("ItemDefinitionGroup", "Link", "OutputFile"),
+    "pdb_file": ("ItemDefinitionGroup", "Link", "ProgramDatabaseFile"),
+    "link_dependencies": ("ItemDefinitionGroup", "Link", "AdditionalDependencies"),
+    "include_directories": ("ItemDefinitionGroup", "ClCompile", "AdditionalIncludeDirectories"),
+}
+
+
+def _found(root: ET.Element, places: dict[Place, list[int]], row: list) -> None:
+    """Fills ``row`` with the first value of each place in the order of the document, and with the lists of Include."""
+    stack = [(root, "", None, "")]
+    while stack:
+        e, parent, label, above = stack.pop()
+        name = e.tag.rpartition("}")[2] if isinstance(e.tag, str) else ""
+        for key in (("PropertyGroup", name, label),) * (parent == "PropertyGroup") + (("ItemDefinitionGroup", parent, name),) * (above == "ItemDefinitionGroup"):
+            for i in places.get(key, ()):
+                if row[i] == "":
+                    row[i] = e
+        if "Include" in e.attrib:
+            for i in places.get(("Include", name), ()):
+                row[i].append(e.attrib["Include"])
+        stack += [(child, name, e.attrib.get("Label"), parent) for child in reversed(e)]
+    row[:] = ["".join(v.itertext()) if isinstance(v, ET.Element) else v for v in row]
+
+
+def values_of(xml: Column, wanted: dict[str, Place]) -> Column:
+    """A struct of the values at ``wanted`` places, as the single getters give them, from one parse; null for null, an error for what isn't XML."""
+    lists = [place[0] == "Include" for place in wanted.values()]
+    places: dict[Place, list[int]] = {}
+    for i, place in enumerate(wanted.values()):
+        places.setdefault(place, []).append(i)
+    kinds = T.StructType([T.StructField(n, T.ArrayType(T.StringType()) if many else T.StringType()) for n, many in zip(wanted, lists, strict=True)])
+
+    @F.pandas_udf(kinds)
+    def over(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for documents in batches:
+            out = []
+            for document in documents:
+                row: list = [None] * len(lists)
+                if document is not None:
+                    row = [[] if many else "" for many in lists]
+                    _found(ET.fromstring(document), places, row)
+                out.append(row)
+            yield pd.DataFrame(out, columns=list(wanted), dtype=object)
+
+    return over(xml)
+
+
+def described_projects(projects: DataFrame, xml: str = "xml", more: dict[str, Place] | None = None) -> DataFrame:
+    """One row a project: files, type, toolset, optimisation, outputs, dependencies and ``more`` values, in one parse."""
+    wanted = _DESCRIBED | (more or {})
+    v = lambda name: F.col(f"__values.{name}")
+    linked = F.when(v("configuration_type") == "StaticLibrary", v("lib_file")).otherwise(v("output_file"))
+    listed = {name: value_list(v(name)) for name in ("link_dependencies", "include_directories")}
+    columns = {name: v(name) for name in wanted if name != "lib_file"} | {"output_file": linked} | listed
+    return projects.withColumn("__values", values_of(F.col(xml), wanted)).withColumns(columns).drop("__values")
 
 
 Change = Callable[[ET.Element, str | None], None]

@@ -58,7 +58,9 @@ def _project_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<ItemGroup><ClCompile Include="'),
         F.concat(F.lit("part"), "p_partkey", F.lit('.cpp"/><ClInclude Include="part'), "p_partkey", F.lit('.h"/></ItemGroup></Project>')),
     )
-    return roles.load(spark, sf_dir, "part").select("p_partkey", xml.alias("xml"))
+    # few bytes of input, much work for each: one file's rows are dealt to all cores
+    parts = roles.load(spark, sf_dir, "part").select("p_partkey", "p_size").repartition(4 * spark.sparkContext.defaultParallelism)
+    return parts.select("p_partkey", "p_size", xml.alias("xml"))
 
 
 @query("SELECT p_partkey, 'v14' || p_size % 3 AS toolset, 'part' || p_partkey || '.cpp' AS source, 'part' || p_partkey || '.h' AS include, 'Disabled' AS optimization, 'a.lib,b.lib' AS link FROM part")
@@ -74,16 +76,12 @@ def xml_project_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT p_partkey, 'v' || 140 + p_size % 4 AS toolset, CASE p_size % 3 WHEN 0 THEN 'Full' WHEN 1 THEN 'MinSpace' ELSE '' END AS optimization, CASE WHEN p_size % 3 = 0 THEN 'true' ELSE '' END AS whole_program FROM part")
 def xml_project_setters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _sized_projects(spark, sf_dir)
+    table = _project_files(spark, sf_dir)
     flag = F.element_at(F.array(*map(F.lit, ("/Ox", "/O1", "/Od"))), (F.col("p_size") % 3 + 1).cast("int"))
     changed = table.withColumn("xml", projects.edited(F.col("xml"), [("toolset", F.concat(F.lit("v"), 140 + F.col("p_size") % 4)), ("optimization", flag)]))
     return projects.described_projects(changed).select("p_partkey", "toolset", "optimization", "whole_program")
 
 
-def _sized_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _project_files(spark, sf_dir).join(roles.load(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
-
-
 @query(
     """SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'true' ELSE 'false' END AS whole_program, 'out' || p_size AS output_directory, CASE WHEN p_size % 3 = 0 THEN 'Speed' ELSE 'Size' END AS favor,
     'Inline' || p_size % 4 AS inline_expansion, CASE WHEN p_size % 5 = 0 THEN 'true' ELSE 'false' END AS intrinsics, 'o' || p_partkey || '.exe' AS output_file, 'o' || p_partkey || '.pdb' AS pdb_file,
@@ -105,10 +103,10 @@ def xml_project_all_setters(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("incremental_link", truth(7)),
     ]
     plain = F.replace(F.col("xml"), F.lit("</Project>"), F.lit("<PropertyGroup/></Project>"))
-    found = projects.described_projects(_sized_projects(spark, sf_dir).withColumn("xml", projects.edited(plain, script)))
-    x = F.col("xml")
-    more = {"favor": projects.definition_value(x, "ClCompile", "FavorSizeOrSpeed"), "inline_expansion": projects.definition_value(x, "ClCompile", "InlineFunctionExpansion"), "intrinsics": projects.definition_value(x, "ClCompile", "IntrinsicFunctions"), "incremental": projects.property_value(x, "LinkIncremental", None), "include_directories": F.array_join("include_directories", ",")}
-    return found.withColumns(more).select("p_partkey", "whole_program", "output_directory", "favor", "inline_expansion", "intrinsics", "output_file", "pdb_file", "include_directories", "incremental")
+    compiled = {"favor": "FavorSizeOrSpeed", "inline_expansion": "InlineFunctionExpansion", "intrinsics": "IntrinsicFunctions"}
+    more = {name: ("ItemDefinitionGroup", "ClCompile", item) for name, item in compiled.items()} | {"incremental": ("PropertyGroup", "LinkIncremental", None)}
+    found = projects.described_projects(_project_files(spark, sf_dir).withColumn("xml", projects.edited(plain, script)), more=more)
+    return found.withColumn("include_directories", F.array_join("include_directories", ",")).select("p_partkey", "whole_program", "output_directory", "favor", "inline_expansion", "intrinsics", "output_file", "pdb_file", "include_directories", "incremental")
 
 
 @query(
