@@ -117,9 +117,10 @@ def matched_functions(functions: DataFrame, tags: DataFrame, order: list[str], o
     right = keyed(tags.withColumnRenamed("name", "tag"), "tag")
     # whole with whole; a bare name with a bare or a stripped one
     left = left.withColumn("__key", F.explode(F.when(F.col("__key").startswith("u:"), F.array("__key", F.concat(F.lit("q:"), F.substring("__key", 3, 1 << 20)))).when(F.col("__key").startswith("q:"), F.array(F.concat(F.lit("u:"), F.substring("__key", 3, 1 << 20)))).otherwise(F.array("__key"))))
-    joined = left.join(right.dropDuplicates([*on, "__key", "tag", *order]), [*on, "__key"])
-    best = joined.groupBy(*functions.columns).agg(F.min_by(F.struct("tag", *order), F.struct(*order, "tag")).alias("t"))
-    return best.select(*functions.columns, "t.*")
+    # the first tag of a key is the first of all functions that meet it
+    first = right.groupBy(*on, "__key").agg(F.min(F.struct(*[F.col(c).alias(f"__at{i}") for i, c in enumerate(order)], "tag")).alias("__t"))
+    best = left.join(first, [*on, "__key"]).groupBy(*functions.columns).agg(F.min("__t").alias("__t"))
+    return best.select(*functions.columns, "__t.tag", *[F.col(f"__t.__at{i}").alias(c) for i, c in enumerate(order)])
 
 
 TAG_FIELDS = ("ctag_definitions", "top_comments", "body_comments", "source_codes_ctags", "prototype", "source_codes")
