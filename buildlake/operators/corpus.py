@@ -45,8 +45,10 @@ def dataset_binaries(files: DataFrame, documents: DataFrame, least_kb: float | N
     listed = described_binaries(documents).dropDuplicates(["identifier", "file_name"])
     joined = found.join(listed, ["identifier", "file_name"], "left")
     full = joined.where(F.col("functions").isNull() | (F.size("functions") > 0))
-    out = full.withColumns({"path": path_of(F.concat_ws("_", "identifier", "file_name")), "size": numbers.whole_kb(F.col("n_bytes"))}).drop("n_bytes")
-    return with_keys(out, "id", ["identifier", "file_name"]), joined.where(F.size("functions") == 0)
+    keyed = with_keys(full.withColumn("size", numbers.whole_kb(F.col("n_bytes"))).drop("n_bytes"), "id", ["identifier", "file_name"])
+    # the path follows from the name, so it isn't moved with the row
+    out = keyed.withColumn("path", path_of(F.concat_ws("_", "identifier", "file_name")))
+    return out, joined.where(F.size("functions") == 0)
 
 
 def segment_text(segments: Column) -> Column:

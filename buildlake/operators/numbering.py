@@ -2,7 +2,8 @@
 
 Rows are dealt out by ranges of (group, order) and sorted within a range. The
 table is written in that state, so that positions within ranges and the counts
-of the earlier ranges come from the same rows.
+of the earlier ranges come from the same rows. Counts over all rows, one row a
+range, are broadcast, so the rows themselves move once.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def with_keys(table: DataFrame, name: str, order: Sequence[str], per: Sequence[s
     earlier = Window.partitionBy(*per).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
     number = F.col("__before") + F.col("__at") - F.col("__first") + 1
-    return held.join(starts, [*per, "__range"]).withColumn(name, number).select(*table.columns, name)
+    return held.join(starts if per else F.broadcast(starts), [*per, "__range"]).withColumn(name, number).select(*table.columns, name)
 
 
 def running_sums(table: DataFrame, name: str, value: Column, order: Sequence[str]) -> DataFrame:
@@ -41,4 +42,4 @@ def running_sums(table: DataFrame, name: str, value: Column, order: Sequence[str
     earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("__before", F.coalesce(F.sum("__s").over(earlier), F.lit(0))).drop("__s")
     inside = F.sum("__v").over(Window.partitionBy("__range").orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return held.join(starts, "__range").withColumn(name, F.col("__before") + inside).select(*table.columns, name)
+    return held.join(F.broadcast(starts), "__range").withColumn(name, F.col("__before") + inside).select(*table.columns, name)

@@ -138,7 +138,8 @@ def _build() -> dict[str, F.Column]:
 
 def _build_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A build document for each order: a binary for each line number, a function for each part; every fifth has none."""
-    items = roles.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("int").alias("q")).distinct()
+    items = roles.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("int").alias("q"))
+    items = items.repartition("l_orderkey").distinct()  # numbers move once; all that is nested into an order is built where they are
     line = F.struct(F.col("q").alias("line_number"), F.lit("00000010").alias("rva"), F.col("q").alias("length"), F.lit("x;").alias("source_code"), F.lit("a.c").alias("source_file"))
     segment = F.struct(F.lit("00000010").alias("rva_start"), F.lit("00000020").alias("rva_end"), F.lit("0%").alias("debug_ratio"))
     function = F.struct(F.concat(F.lit("f"), "l_partkey").alias("function_name"), F.lit("12.5%").alias("intersect_ratio"), F.lit("a.c").alias("source_file"), F.array(segment).alias("function_info"), F.array(line).alias("lines"))
