@@ -551,6 +551,33 @@ def test_rules_reject_bad_rows_they_have_not_seen(spark):
     assert share[1] >= 0.985 and share[0] <= 0.1, share
 
 
+def test_rules_learn_from_all_labelled_rows(spark):
+    """All bad rows lie beyond the 8000 labelled ids of least hash, which once were all that the fit saw."""
+    last = [r["doc_id"] for r in spark.range(8200).select(F.col("id").alias("doc_id")).orderBy(F.xxhash64("doc_id").desc()).limit(150).collect()]
+    bad = F.col("id").isin(last)
+    word = lambda w: F.when(bad & (w % 2 == 0), F.concat(F.lit("#"), F.upper(F.hex(F.xxhash64("id", w))))).otherwise(F.concat(F.lit("w"), F.lower(F.hex(F.pmod(F.xxhash64("id", w), F.lit(99999))))))
+    table = spark.range(8200).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(55)), word), " ").alias("text"), F.when(bad, 0).otherwise(1).alias("quality"))
+    judged = quality_rules.quality_rules(table, table).join(table.select("doc_id", "quality"), "doc_id")
+    share = {r["quality"]: r["kept"] for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1] >= 0.985 and share[0] <= 0.1, share
+
+
+def test_threshold_from_sums_along_the_scores(spark):
+    rng = np.random.default_rng(3)
+    good, bad = np.round(rng.normal(0.4, 0.1, 3000), 3), np.round(rng.normal(0.6, 0.1, 700), 3)
+    rows = spark.createDataFrame([(float(v), k) for k, part in ((1, good), (0, bad)) for v in part], "score double, good int")
+    for cost in (1.0, 10.0):
+        assert math.isclose(quality_rules.least_cost_of(rows, cost), quality_rules.least_cost(good, bad, cost))
+    assert quality_rules.least_cost_of(rows.where("good = 1")) == 1.0 == quality_rules.least_cost_of(rows.limit(0))
+
+
+@pytest.mark.parametrize("copies", [1, 3, 10])
+def test_each_row_grows_trees(spark, copies):
+    rows = spark.range(500).select(*[(F.col("id") % 250 + i).cast("double").alias(c) for i, c in enumerate(quality_rules.FEATURES)])
+    got = quality_rules.dealt(rows, copies, 10).groupBy(*quality_rules.FEATURES).agg(F.count("*").alias("n"), F.count_distinct("tree").alias("trees")).collect()
+    assert len(got) == 250 and {(r["n"], r["trees"]) for r in got} == {(2 * copies, copies)}
+
+
 @pytest.mark.parametrize(("copies", "share"), [(12, 0.05), (40, 0.1)])
 def test_families_of_edited_copies(spark, copies, share):
     """Passages of 100 words in more documents than make a seed rare, each edited on its own; an earlier copy must be found for nine in ten."""
