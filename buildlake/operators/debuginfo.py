@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from buildlake.functions import numbers, text
-from buildlake.operators import scans, sequences
+from buildlake.operators import numbering, scans, sequences
 
 # fixed value: line numbers beyond this are the compiler's own
 HIDDEN_LINE = 10_000_000
@@ -28,24 +28,29 @@ def dump_rows(lines: DataFrame, per: str = "dump", end_closes: bool = True) -> D
     A row closes its run if the line behind it is none; ``end_closes``: the end
     of the dump closes one as well. rva_start is the header's first address,
     share the share of hidden lines in the length of its lines so far. A dump
-    may have any number of lines: they are scanned in ranges.
+    may have any number of lines: they are scanned in ranges, those of
+    ``numbering.in_ranges`` by ``per`` and pos where ``lines`` has them.
     """
-    line = text.stripped(F.col("line"))
-    header = line.startswith("**")
-    row = line.startswith("line")
-    path = F.regexp_extract(line, r"(\w:\\.*)$", 1)
-    marked = lines.withColumns({
-        "is_row": row,
-        "is_header": header,
-        "function": F.when(header, F.replace(F.replace(line, F.lit("**"), F.lit("")), F.lit(" "), F.lit(""))),
-        "path": F.when(row & (path != ""), path),
-        "line_number": F.when(row, F.regexp_extract(line, r"line (\d+)", 1).cast("long")),
-        "rva": F.when(row, F.regexp_extract(line, r"at \[(\w+)\]", 1)),
-        "length": F.when(row, numbers.from_hex(F.regexp_extract(line, r"len = (\w+)", 1))),
-    })
-    marked = marked.select(per, "pos", "is_row", "is_header", "function", "path", "line_number", "rva", "length")
+    if "__at" not in lines.columns:
+        lines = numbering.in_ranges(lines.select(per, "pos", "line"), ["pos"], [per])
+
+    def read(rows: DataFrame) -> DataFrame:
+        # each step is a column of its own, so no text is searched again by every expression that reads it
+        line, kept = F.col("line"), [F.col(f"`{c}`") for c in rows.columns if c != "line"]
+        rows = rows.withColumn("line", text.stripped(line)).withColumns({"is_header": line.startswith("**"), "is_row": line.startswith("line")})
+        header, row = F.col("is_header"), F.col("is_row")
+        rows = rows.withColumns({"path": F.when(row, F.regexp_extract(line, r"(\w:\\.*)$", 1)), "length": F.when(row, F.regexp_extract(line, r"len = (\w+)", 1))})
+        rows = rows.withColumns({
+            "function": F.when(header, F.replace(F.replace(line, F.lit("**"), F.lit("")), F.lit(" "), F.lit(""))),
+            "path": F.when(F.col("path") != "", F.col("path")),
+            "line_number": F.when(row, F.regexp_extract(line, r"line (\d+)", 1).cast("long")),
+            "rva": F.when(row, F.regexp_extract(line, r"at \[(\w+)\]", 1)),
+            "length": numbers.from_hex(F.col("length")),
+        })
+        return rows.select(*kept, "is_row", "is_header", "function", "path", "line_number", "rva", "length")
+
     begins = F.col("is_header")
-    found = scans.scanned(marked, [per], ["pos"], {
+    found = scans.scanned_ranges(lines, [per], {
         "header": scans.Sum(F.when(begins, 1).otherwise(0)),
         "function": scans.Last(F.col("function")),
         "path": scans.Last(F.col("path")),
@@ -53,7 +58,7 @@ def dump_rows(lines: DataFrame, per: str = "dump", end_closes: bool = True) -> D
         "total": scans.Sum(F.col("length"), begins),
         "hidden": scans.Sum(F.when(F.col("line_number") > HIDDEN_LINE, F.col("length")), begins),
         "next_is_row": scans.Following(F.col("is_row")),
-    })
+    }, read)
     source = text.digest_of_path(F.col("path"))
     share = F.when(F.col("total") != 0, F.col("hidden") / F.col("total")).otherwise(F.lit(0.0))
     closes = ~F.coalesce("next_is_row", F.lit(not end_closes))

@@ -20,7 +20,11 @@ _ROW = 33  # bits of a row's position within its partition, as Spark numbers row
 
 def in_ranges(table: DataFrame, order: Sequence[str], per: Sequence[str]) -> DataFrame:
     """``table``, written, with ``__range`` and ``__at``: where each row lies in the order of groups and of ``order``."""
-    ordered = table.repartitionByRange(*per, *order).sortWithinPartitions(*per, *order)
+    return as_it_lies(table.repartitionByRange(*per, *order).sortWithinPartitions(*per, *order))
+
+
+def as_it_lies(ordered: DataFrame) -> DataFrame:
+    """``in_ranges`` of a table whose partitions are ranges of the order already, each sorted."""
     return staged(ordered.withColumn("__at", F.monotonically_increasing_id()), "ranges").withColumn("__range", F.shiftright("__at", _ROW))
 
 

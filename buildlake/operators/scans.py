@@ -1,10 +1,10 @@
 """Scans along an order that no group bounds: carries, running sums and neighbours across ranges.
 
 A window over a group sorts the group in one task. Here rows are dealt out by
-ranges of (group, order); each range is scanned on its own and summed up in one
-row; the summaries, one for each range of a group, are scanned in turn and what
-reaches a range from those before it (or the one behind it) is joined back. A
-group with a third of all rows is a third of all ranges.
+ranges of (group, order); each range is scanned on its own. A group that lies in
+several ranges has each of them summed up in one row; these summaries are
+scanned in turn and what reaches a range from those before it (or the one behind
+it) is joined back. A group with a third of all rows is a third of all ranges.
 
 Each column is described by one of the classes below. ``since`` restarts a
 column at the rows that meet a condition.
@@ -12,7 +12,8 @@ column at the rows that meet a condition.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import functools
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -135,18 +136,40 @@ def scanned(table: DataFrame, per: Sequence[str], order: Sequence[str], columns:
     Rows that ``order`` doesn't tell apart are scanned in any order, but in the
     same one by every step. Null keys are a group; an empty table gives an empty result.
     """
-    # groups are compared as one value that is never null
-    keys = {f"__key{i}": F.struct(F.col(c).alias("v")) for i, c in enumerate(per)}
+    return scanned_ranges(in_ranges(table, order, per), per, columns).select(*[F.col(f"`{c}`") for c in table.columns if c not in columns], *columns)
+
+
+def scanned_ranges(held: DataFrame, per: Sequence[str], columns: Mapping[str, Step], read: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """``scanned`` for rows that lie in ranges of (group, order), as ``in_ranges`` gives them; ``__range`` and ``__at`` stay.
+
+    ``read`` derives, row by row, what the steps read; as it does so where the
+    rows have been put together and sorted, what it adds is neither moved nor sorted.
+    All but a few groups lie within one range, where nothing reaches them. At
+    most one group goes on from a range to the next: summaries are made of
+    those alone, and what reaches a range, two rows for each at most, is broadcast.
+    """
+    keys = [f"__key{i}" for i in range(len(per))]
     conditions: list[Column] = []
-    plans = [_Plan(name, step, list(keys), conditions) for name, step in columns.items()]
-    inputs = {k: v for p in plans for k, v in p.inputs().items()}
-    held = in_ranges(table.withColumns(inputs), order, per).withColumns(keys)
-    local = held.withColumns(numbered) if (numbered := {k: v for p in plans for k, v in p.numbered().items()}) else held
-    local = local.withColumns({k: v for p in plans for k, v in p.within().items()})
+    plans = [_Plan(name, step, keys, conditions) for name, step in columns.items()]
+    keyed = held.withColumns({k: F.col(c) for k, c in zip(keys, per, strict=True)})
+    met = lambda first=F.lit(True): functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys], first)
+
+    def local(rows: DataFrame) -> DataFrame:
+        rows = read(rows.repartition(*keys, "__range").sortWithinPartitions(*keys, "__range", "__at"))
+        rows = rows.withColumns({k: v for p in plans for k, v in p.inputs().items()})
+        # steps that never restart share the sort that restarts are counted in; then each condition's steps share one
+        rows = rows.withColumns({k: v for p in plans for k, v in (p.numbered() if p.restarts else p.within()).items()})
+        restarting = {k: v for p in plans if p.restarts for k, v in p.within().items()}
+        return rows.withColumns(restarting) if restarting else rows
+
+    spanning = keyed
+    if keys:
+        several = keyed.select(*[F.col(k).alias(f"{k}_") for k in keys], "__range").distinct().groupBy(*[f"{k}_" for k in keys]).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+        spanning = keyed.join(F.broadcast(several), met(), "left_semi")
     ends = {k: v for p in plans for k, v in p.summary().items()}
-    summaries = local.groupBy(*keys, "__range").agg(*[v.alias(k) for k, v in ends.items()])
+    summaries = local(spanning).groupBy(*keys, "__range").agg(*[v.alias(k) for k, v in ends.items()])
     for p in plans:
         summaries = p.carried(summaries)
-    reaching = summaries.select(*keys, "__range", *[p.carry for p in plans])
-    joined = local.join(reaching, [*keys, "__range"])
-    return joined.select(*[F.col(f"`{c}`") for c in table.columns if c not in columns], *[p.result().alias(p.name) for p in plans])
+    reaching = summaries.select(*[F.col(k).alias(f"{k}_") for k in keys], F.col("__range").alias("__to"), *[p.carry for p in plans])
+    joined = local(keyed).join(F.broadcast(reaching), met(F.col("__range") == F.col("__to")), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in read(held).columns if c not in columns], *[p.result().alias(p.name) for p in plans])

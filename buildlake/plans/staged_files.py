@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from buildlake.farm import Farm
+from buildlake.functions import numbers
 from buildlake.operators import corpus, debuginfo, projects, source_text
-from buildlake.operators.numbering import with_keys
+from buildlake.operators.numbering import as_it_lies
 from buildlake.plans.registry import Registry
 from buildlake.sources import addresses, files, roles
 from buildlake.sources.staging import staged, work_folder
@@ -17,14 +18,24 @@ REGISTRY = query = Registry()
 
 
 def _dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A debug dump for each supplier: a header for each of its parts' orders, a line for each item."""
-    items = roles.load(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q")).distinct()
+    """A debug dump for each supplier: a header for each of its parts' orders, a line for each item.
+
+    Numbers move once, into ranges of (dump, order): where the lines are written, they are scanned too.
+    """
+    items = roles.load(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q"))
+    items = items.repartitionByRange("l_suppkey", "l_orderkey").distinct()
     number = F.col("l_linenumber") + F.when(F.col("l_partkey") % 5 == 0, 20_000_000).otherwise(0)  # hidden lines
-    row = F.format_string("line %d at [%08x], len = 0x%x c:\\src\\f%d.c (MD5: AB)", number, F.col("l_orderkey") * 64, "q", F.col("l_partkey") % 7)
-    lines = items.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "q", row.alias("line"))
-    heads = items.select("l_suppkey", "l_orderkey").distinct().select("l_suppkey", "l_orderkey", F.lit(0).alias("l_linenumber"), F.lit(0).cast("long").alias("l_partkey"), F.lit(0).cast("long").alias("q"), F.concat(F.lit("** f"), "l_orderkey").alias("line"))
-    placed = with_keys(lines.unionByName(heads), "pos", ["l_orderkey", "l_linenumber", "l_partkey", "q", "line"], ["l_suppkey"])
-    return placed.select(F.col("l_suppkey").alias("dump"), "pos", "line")
+    told = lambda text, none="null": F.coalesce(text.cast("string"), F.lit(none))
+    address, length = numbers.to_hex(F.col("l_orderkey") * 64, F.lit(8)), F.lower(F.hex("q"))
+    row = F.concat(F.lit("line "), told(number), F.lit(" at ["), told(address, "    null"), F.lit("], len = 0x"), told(length), F.lit(" c:\\src\\f"), told(F.col("l_partkey") % 7), F.lit(".c (MD5: AB)"))
+    inside = ["l_linenumber", "l_partkey", "q"]
+    nth = F.row_number().over(Window.partitionBy("l_suppkey", "l_orderkey").orderBy(*inside))  # an order's items at one supplier
+    head = F.concat(F.lit("** f"), "l_orderkey")
+    lines = items.select("l_suppkey", "l_orderkey", nth.alias("nth"), row.alias("row"), head.alias("head"))
+    both = F.when(F.col("nth") == 1, F.array("head", "row")).otherwise(F.array("row"))
+    lines = lines.select("l_suppkey", "l_orderkey", "nth", F.posexplode(both).alias("behind", "line"))
+    placed = as_it_lies(lines.sortWithinPartitions("l_suppkey", "l_orderkey", "nth", "behind").select("l_suppkey", "line"))
+    return placed.select(F.col("l_suppkey").alias("dump"), F.col("__at").alias("pos"), "line", "__range", "__at")
 
 
 @query(
