@@ -24,7 +24,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buildlake.llm.common import doc_texts, filled, staged
@@ -129,6 +129,21 @@ def features(p: dict[str, np.ndarray]) -> np.ndarray:
     ])
 
 
+def feature_columns() -> list[Column]:
+    """``features`` as columns over ``STATS``: no second Python worker stands beside the one that counts."""
+    p = {c.split()[0]: F.col(c.split()[0]).cast("double") for c in STATS.split(", ")}
+    one = F.lit(1.0)
+    words = F.greatest(p["n_words"], one)
+    found = (
+        F.least(p["n_symbols"] / words, F.lit(2.0)),
+        p["n_repeat_words"] / words,
+        p["n_dup_lines"] / F.greatest(p["n_lines"], one),
+        p["n_upper"] / F.greatest(p["n_bytes"], one),
+        F.least(p["word_chars"] / words, F.lit(30.0)) / F.lit(10.0),
+    )
+    return [c.alias(name) for c, name in zip(found, FEATURES, strict=True)]
+
+
 @dataclass(frozen=True)
 class Forest:
     """Trees of equal depth as arrays [tree, node]: split feature (-1: leaf), split value, path length at a leaf."""
@@ -254,13 +269,7 @@ def fit_rules(stats: DataFrame, labels: DataFrame, cost: float = COST, trees: in
     grows = (F.col("good") == 1) & (F.pmod(F.xxhash64("doc_id", "n_bytes", "n_words"), F.lit(2)) == 0)
     found = found.withColumn("grows", grows)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = features({c: batch.column(c).to_numpy() for c in batch.schema.names[3:]})
-            yield pa.RecordBatch.from_arrays([batch.column("good"), batch.column("grows"), *map(pa.array, x.T)], names=["good", "grows", *FEATURES])
-
-    counts = [c.split()[0] for c in STATS.split(", ")[1:]]
-    rows = staged(found.select("doc_id", "good", "grows", *counts).mapInArrow(work, f"good int, grows boolean, {', '.join(f'{c} double' for c in FEATURES)}"), "labelled")
+    rows = staged(found.select(F.col("good"), F.col("grows"), *feature_columns()), "labelled")
     good = F.col("good") == 1
     spans = [(F.max(c) - F.min(c)).alias(c) for c in FEATURES]
     seen = rows.agg(F.count_if(good).alias("n_good"), F.count_if("grows").alias("n_grow"), *spans).first()

@@ -571,6 +571,14 @@ def test_threshold_from_sums_along_the_scores(spark):
     assert quality_rules.least_cost_of(rows.where("good = 1")) == 1.0 == quality_rules.least_cost_of(rows.limit(0))
 
 
+def test_columns_of_the_fit_equal_the_features(spark):
+    """The fit takes them from Spark: one Python worker a task, not two, where labels are joined by broadcast."""
+    texts = [None, "", "#", "A B\nA B\nA B\n", "x" * 500, "é $ % word " * 30, "One line.\nOne line.\nand another, 1 < 2"]
+    stats = quality_rules.text_statistics(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    rows = stats.select("*", *quality_rules.feature_columns()).toPandas()
+    assert (rows[list(quality_rules.FEATURES)].to_numpy() == quality_rules.features({c: rows[c].to_numpy() for c in stats.columns})).all()
+
+
 @pytest.mark.parametrize("copies", [1, 3, 10])
 def test_each_row_grows_trees(spark, copies):
     rows = spark.range(500).select(*[(F.col("id") % 250 + i).cast("double").alias(c) for i, c in enumerate(quality_rules.FEATURES)])
