@@ -13,6 +13,10 @@
    parts: two rare seeds in it match all who have them, and without those
    one of its long seeds does. Frequent seeds are told apart where they are
    dealt out: of such a seed, a block sends a few places and no more.
+   Places of frequent pairs are noted. Where, once passages are known, none
+   covers a window that is full of them, its text meets every earlier one that
+   shares enough of them there: an exact prefix join, which looks up only the
+   rarer ones of a window. So one earlier document is never in the way of others.
 3. A text's matches with one earlier text are chained: in order in both, a
    gain for each seed, a cost for each word of gap. The best predecessor is a
    prefix maximum over the earlier text's positions, kept in a Fenwick tree.
@@ -342,7 +346,7 @@ def align(a: np.ndarray, b: np.ndarray, x: list[int], y: list[int], k: int = K,
 CHAINS = "doc_id long, part long, ref_doc long, ref_part long, x_from int, x_to int, y_from int, y_to int, xs binary, ys binary"
 _CHAIN_KINDS = (*(pa.int64(),) * 4, *(pa.int32(),) * 4, pa.binary(), pa.binary())
 MET = "doc_id long, part long, ref_doc long, ref_part long, x long, y long, h long"
-"""Matches, and frequent seeds (y -1) with their hashes."""
+"""Matches, and frequent seeds (y -1) with their hashes. In the last round a match by a frequent pair has its hash."""
 ALIGNED = f"{CHAINS}, start_word long, end_word long, ref_start long, ref_end long, matched long, similarity double"
 PASSAGES = "doc_id long, text_key long, ref_doc_id long, start_word long, end_word long, ref_start long, ref_end long, matched long, similarity double"
 
@@ -384,10 +388,16 @@ def _buckets_met(batches: Iterator[pa.RecordBatch], buckets: int, least: int, la
             yield from _met_batches([doc[frequent], part[frequent], none, none, x[frequent], none - 1, h[frequent].view(np.int64)])
             return
         other = doc[frequent] != doc[first]
+        named = np.where((x[frequent] & 31) != LONG, h[frequent].view(np.int64), 0)
+        named_of = np.concatenate([np.zeros(len(later), np.int64), named[other]])
         later, earlier = np.concatenate([later, frequent[other]]), np.concatenate([earlier, first[other]])
         i, px, py = seed_places(x[later], x[earlier], least)
-        later, earlier = later[i], earlier[i]
-        yield from _met_batches([doc[later], part[later], doc[earlier], part[earlier], px, py, np.zeros(len(later), np.int64)])
+        begins = np.arange(len(i)) < np.count_nonzero((x[later] & 31) != LONG)
+        named_of, later, earlier = np.where(begins, named_of[i], 0), later[i], earlier[i]
+        yield from _met_batches([doc[later], part[later], doc[earlier], part[earlier], px, py, named_of])
+        own = frequent[~other & (named != 0)]
+        none = np.zeros(len(own), np.int64)
+        yield from _met_batches([doc[own], part[own], none, none, x[own] >> 5, none - 1, h[own].view(np.int64)])
 
     for batch in batches:
         for r in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
@@ -436,9 +446,9 @@ def text_chains(doc: np.ndarray, part: np.ndarray, ref: np.ndarray, ref_part: np
                 yield int(doc[at]), int(part[at]), int(ref[at]), int(ref_part[at]), int(cx[0]), int(cx[-1]) + K, int(cy[0]), int(cy[-1]) + K, cx.astype("<i4").tobytes(), cy.astype("<i4").tobytes()
 
 
-def _by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of ``MET``, whole texts at a time."""
-    names, held = _names(MET), []
+def _by_text(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
+    """Columns, the first two of which name a text, whole texts at a time."""
+    held = []
     for batch in batches:
         cols = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
         if not len(cols[0]):
@@ -457,6 +467,48 @@ def _by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
+def noted(doc: np.ndarray, part: np.ndarray, x: np.ndarray, h: np.ndarray) -> Iterator[tuple]:
+    """Rows of ``CHAINS`` without ref_doc, one for each text: places of frequent pairs (xs) and their hashes (ys)."""
+    order = np.lexsort((x, part, doc))
+    doc, part, x, h = doc[order], part[order], x[order], h[order]
+    edges = np.append(np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (part[1:] != part[:-1]))), len(x)) if len(x) else [0]
+    for i, j in zip(edges[:-1], edges[1:], strict=True):
+        yield int(doc[i]), int(part[i]), *(None,) * 6, x[i:j].astype("<i4").tobytes(), h[i:j].astype("<i8").tobytes()
+
+
+def crowded(x: np.ndarray, least: int = LEAST_WORDS) -> np.ndarray:
+    """Which of a text's places of frequent pairs (ascending) are in a window of ``least`` words of which they cover a quarter."""
+    if not len(x):
+        return np.zeros(0, bool)
+    covered = np.append(0, np.cumsum(np.minimum(np.diff(x, append=x[-1] + K), K)))
+    end = np.searchsorted(x, x + least)
+    full = 4 * (covered[end] - covered[:-1]) >= least
+    steps = np.zeros(len(x) + 1, np.int64)
+    np.add.at(steps, np.flatnonzero(full), 1)
+    np.add.at(steps, end[full], -1)
+    return np.cumsum(steps[:-1]) > 0
+
+
+def probes(x: np.ndarray, often: np.ndarray, least: int = LEAST_WORDS) -> np.ndarray:
+    """Which of a text's places (ascending, seen so ``often``) must be looked up to meet all who share a quarter of a window of ``least`` words.
+
+    The most frequent places of a window may be left out as long as they cover
+    less than that: who shares no others shares too little.
+    """
+    need = -(-least // 4)
+    out = np.zeros(len(x), bool)
+    end, at, n = np.searchsorted(x, x + least).tolist(), x.tolist(), (-often).tolist()
+    for i in range(len(at)):
+        words = 0
+        order = sorted(range(i, end[i]), key=n.__getitem__)
+        for m, j in enumerate(order):
+            words |= ((1 << K) - 1) << at[j] - at[i]
+            if words.bit_count() >= need:
+                out[order[m:]] = True
+                break
+    return out
+
+
 def _rounds(batches: Iterator[pa.RecordBatch], buckets: int, least: int, last: bool) -> Iterator[pa.RecordBatch]:
     """Chains of matches and, but for the last round, blocks of second seeds; rows arrive text by text."""
     chain_names, block_names = _names(CHAINS), _names(BLOCKS)
@@ -484,17 +536,22 @@ def _rounds(batches: Iterator[pa.RecordBatch], buckets: int, least: int, last: b
             place = np.arange(len(g))
             first = np.empty(len(g), np.int64)
             first[order] = order[np.maximum.accumulate(np.where(np.append(True, g[1:] != g[:-1]), place, 0))]
+            at = np.flatnonzero(more & ((code & 31) != LONG))
+            yield from widened(noted(docs[of[at]], parts[of[at]], code[at] >> 5, seed[at].view(np.int64)), _CHAIN_KINDS, chain_names, 1000)
             at = np.flatnonzero(more & (docs[of] != docs[of[first]]))
             i, px, py = seed_places(code[at], code[first[at]], least)
             a, b = of[at][i], of[first[at]][i]
             order = np.lexsort((py, px, parts[b], docs[b], parts[a], docs[a]))
             yield from widened(text_chains(*(c[order] for c in (docs[a], parts[a], docs[b], parts[b], px, py))), _CHAIN_KINDS, chain_names, 1000)
 
-    for doc, part, ref, ref_part, x, y, h in _by_text(batches):
+    for doc, part, ref, ref_part, x, y, h in _by_text(batches, _names(MET)):
         often = y < 0
         m = ~often
         yield from widened(text_chains(doc[m], part[m], ref[m], ref_part[m], x[m], y[m]), _CHAIN_KINDS, chain_names, 1000)
-        if often.any():
+        if last:
+            named = h != 0
+            yield from widened(noted(doc[named], part[named], x[named], h[named]), _CHAIN_KINDS, chain_names, 1000)
+        elif often.any():
             order = np.flatnonzero(often)
             order = order[np.lexsort((x[order], part[order], doc[order]))]
             held.append((doc[order], part[order], x[order], h[order]))
@@ -507,6 +564,14 @@ def _rounds(batches: Iterator[pa.RecordBatch], buckets: int, least: int, last: b
         yield from dealt()
 
 
+def _probing(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, part, h) of the ``probes`` of rows (doc_id, part, x, h, often) that arrive text by text."""
+    for doc, part, x, h, often in _by_text(batches, ["doc_id", "part", "x", "h", "often"]):
+        edges = np.append(np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (part[1:] != part[:-1]))), len(doc))
+        some = np.concatenate([probes(x[i:j], often[i:j], least) for i, j in zip(edges[:-1], edges[1:], strict=True)])
+        yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (doc, part, h)], names=["doc_id", "part", "h"])
+
+
 def word_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Words of each document at ``offsets`` in ``data``."""
     word = ~WHITE[data]
@@ -596,9 +661,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
     chained = round_2.mapInArrow(lambda b: _rounds(b, buckets, least_words, True), CHAINS).union(round_1.where("bucket is null").select(*_names(CHAINS)))
     # copies of a whole text are linked as such
     chained = staged(chained.join(first.select("doc_id", "part").hint("shuffle_merge"), ["doc_id", "part"], "left_semi").distinct(), "chains")
-    # only what the chains name is read again; how much that is has no bound
-    wanted = chained.select("doc_id", "part").union(chained.select("ref_doc", "ref_part")).distinct()
-    named = texts.withColumn("part", text_key_of(F.col("text"))).join(wanted.hint("shuffle_merge"), ["doc_id", "part"])
+    chained, places = chained.where("ref_doc is not null"), chained.where("ref_doc is null")
 
     def as_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -607,8 +670,12 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
                 words = [(w.hashes[a:b] >> np.uint64(32)).astype("<u4").tobytes() for a, b in zip(w.ptr[:-1], w.ptr[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, n) for c in ("doc_id", "part")), pa.array(words, pa.binary())], names=["doc_id", "part", "words"])
 
-    sequences = staged(named.select("doc_id", "part", "text").mapInArrow(as_words, "doc_id long, part long, words binary").dropDuplicates(["doc_id", "part"]), "words")
-    refs = sequences.toDF("ref_doc", "ref_part", "ref_words")
+    def with_words(chains: DataFrame) -> DataFrame:
+        """Words of the texts that chains name: only these are read again; how many they are has no bound."""
+        wanted = chains.select("doc_id", "part").union(chains.select("ref_doc", "ref_part")).distinct()
+        named = texts.withColumn("part", text_key_of(F.col("text"))).join(wanted.hint("shuffle_merge"), ["doc_id", "part"])
+        return staged(named.select("doc_id", "part", "text").mapInArrow(as_words, "doc_id long, part long, words binary").dropDuplicates(["doc_id", "part"]), "words")
+
     names = _names(CHAINS)
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -633,7 +700,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
             cols = list(zip(*out, strict=True)) if out else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=_names(ALIGNED))
 
-    def tried(chains: DataFrame, margin: int) -> DataFrame:
+    def tried(chains: DataFrame, sequences: DataFrame, margin: int) -> DataFrame:
         """Chains aligned over slices with so many words beside them; the slices are cut where the words are joined."""
 
         def cut(frame: DataFrame, axis: str, words: str, name: str, ref: str) -> DataFrame:
@@ -644,11 +711,49 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
             return frame.withColumn(name, F.expr(f"substring({words}, {begin}, {n})")).drop(words)
 
         own = cut(chains.join(sequences.hint("shuffle_merge"), ["doc_id", "part"]), "x", "words", "slice", "")
+        refs = sequences.toDF("ref_doc", "ref_part", "ref_words")
         both = cut(own.join(refs.hint("shuffle_merge"), ["ref_doc", "ref_part"]), "y", "ref_words", "ref_slice", "ref_")
         return both.select(*names, "before", "after", "slice", "ref_before", "ref_after", "ref_slice").mapInArrow(aligned, ALIGNED)
 
-    near = staged(tried(chained, MARGIN), "aligned")
-    passages = near.where("start_word is not null").union(tried(near.where("start_word is null").select(*names), 1 << 31))
+    def found_by(chains: DataFrame) -> DataFrame:
+        sequences = with_words(chains)
+        near = staged(tried(chains, sequences, MARGIN), "aligned")
+        return near.where("start_word is not null").union(tried(near.where("start_word is null").select(*names), sequences, 1 << 31))
+
+    def left_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Crowded places of frequent pairs; whether no passage covers them."""
+        for batch in batches:
+            for doc, part, xs, hs, spans in zip(*batch.to_pydict().values(), strict=True):
+                x = np.concatenate([np.frombuffer(v, "<i4") for v in xs])
+                x, at = np.unique(x, return_index=True)
+                h = np.concatenate([np.frombuffer(v, "<i8") for v in hs])[at]
+                some = crowded(x, least_words)
+                x, h = x[some], h[some]
+                bare = np.ones(len(x), bool)
+                for span in spans or []:
+                    bare[np.searchsorted(x, span["start_word"]) : np.searchsorted(x, span["end_word"])] = False
+                bare[bare] = crowded(x[bare], least_words)
+                for i in range(0, len(x), 1 << 16):
+                    n = len(x[i : i + (1 << 16)])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, doc)), pa.array(np.full(n, part)), pa.array(x[i : i + n].astype(np.int64)), pa.array(h[i : i + n]), pa.array(bare[i : i + n])], names=["doc_id", "part", "x", "h", "bare"])
+
+    passages = staged(found_by(chained), "passages")
+    # what no passage covers though it is full of frequent pairs meets every earlier text that shares enough of them
+    spans = passages.groupBy("doc_id", "part").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
+    by_text = places.groupBy("doc_id", "part").agg(F.collect_list("xs").alias("xs"), F.collect_list("ys").alias("hs")).join(spans.hint("shuffle_merge"), ["doc_id", "part"], "left")
+    rest = staged(by_text.select("doc_id", "part", "xs", "hs", "spans").mapInArrow(left_over, "doc_id long, part long, x long, h long, bare boolean"), "rest")
+    bare = rest.where("bare").drop("bare")
+    if not bare.isEmpty():
+        holders = staged(rest.groupBy("h", "doc_id", "part").agg(F.max("bare").alias("bare")), "holders")
+        often = staged(holders.groupBy("h").agg(F.count(F.lit(1)).alias("often"), F.max("bare").alias("bare")).where("bare and often > 1").drop("bare"), "often")
+        counted = bare.join(often, "h").repartition(parts, "doc_id", "part").sortWithinPartitions("doc_id", "part", "x")
+        probe = staged(counted.select("doc_id", "part", "x", "h", "often").mapInArrow(lambda b: _probing(b, least_words), "doc_id long, part long, h long"), "probes")
+        earlier = holders.select("h", F.col("doc_id").alias("ref_doc"), F.col("part").alias("ref_part"))
+        both = staged(probe.distinct().join(earlier, "h").where("ref_doc < doc_id and ref_part <> part").select("doc_id", "part", "ref_doc", "ref_part").distinct(), "both")
+        ref = rest.toDF("ref_doc", "ref_part", "y", "h", "ref_bare").drop("ref_bare")
+        all_met = both.join(bare, ["doc_id", "part"]).join(ref, ["ref_doc", "ref_part", "h"]).select("doc_id", "part", "ref_doc", "ref_part", "x", "y", F.lit(0).cast("long").alias("h"))
+        more = in_texts(all_met).mapInArrow(lambda b: _rounds(b, buckets, least_words, True), CHAINS)
+        passages = passages.union(found_by(staged(more, "more-chains")))
     fuzzy = passages.withColumnsRenamed({"ref_doc": "ref_doc_id", "part": "text_key"}).select(*_names(PASSAGES)).distinct().withColumn("whole_copy", F.lit(False))
     copies = keys.where(F.col("n_words") >= least_words).distinct().join(first.select("tid", F.col("doc_id").alias("ref_doc_id")), "tid").where("doc_id <> ref_doc_id")
     n = F.col("n_words")

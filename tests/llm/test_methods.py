@@ -620,6 +620,31 @@ def test_runs_whose_parts_stand_in_older_documents(spark, n):
     assert {(20_000 + i, 10_000 + i, 25, 25 + n) for i in range(20)} <= got
 
 
+def test_edited_passages_of_frequent_parts(spark):
+    """All parts of a passage stand in ten older documents or more, none of which has enough of it: its edited copy still meets it."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(5):
+        passage = noise(rng, 100)
+        parts = [passage[b : b + 40] for b in range(0, 61, 6)]
+        rows += [(1000 * i + 10 * f + o, " ".join([*noise(rng, 20), *part, *noise(rng, 20)]), None, 1) for f, part in enumerate(parts) for o in range(10)]
+        edited = [noise(rng, 1)[0] if k % 16 == 8 else w for k, w in enumerate(passage)]
+        rows += [(d + i, " ".join([*noise(rng, 25), *body, *noise(rng, 35)]), None, 1) for d, body in ((10_000, passage), (20_000, edited))]
+    got = {(r["doc_id"], r["ref_doc_id"], r["start_word"], r["end_word"]) for r in passages_of(spark, rows).where("doc_id >= 10000").collect()}
+    assert got == {(20_000 + i, 10_000 + i, 25, 125) for i in range(5)}
+
+
+def test_probes_meet_all_who_share_a_quarter_of_a_window():
+    rng = np.random.default_rng(12)
+    for _ in range(200):
+        x = np.flatnonzero(rng.random(90) < rng.choice([0.2, 0.5, 0.9]))
+        probe = substrings.probes(x, rng.integers(2, 40, len(x)))
+        for _ in range(20):
+            shared = rng.random(len(x)) < rng.choice([0.2, 0.5, 0.8])
+            if substrings.crowded(x[shared]).any():
+                assert (probe & shared).any()
+
+
 @pytest.mark.parametrize("shared", [None, 5])
 def test_many_texts_under_one_id(spark, shared):
     """Each is read once for its own passages, however many share the id."""
