@@ -16,7 +16,8 @@
    Places of frequent pairs are noted. Where, once passages are known, none
    covers a window that is full of them, its text meets every earlier one that
    shares enough of them there: an exact prefix join, which looks up only the
-   rarer ones of a window. So one earlier document is never in the way of others.
+   rarer ones of a window and leaves out texts that have too few of the words
+   around them for a passage. So one earlier document is never in the way of others.
 3. A text's matches with one earlier text are chained: in order in both, a
    gain for each seed, a cost for each word of gap. The best predecessor is a
    prefix maximum over the earlier text's positions, kept in a Fenwick tree.
@@ -30,6 +31,7 @@ the first.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +55,8 @@ WIDTH = 5
 """Bytes of a seed's hash that are sent besides its bucket; more buckets tell more seeds apart, and equal hashes of different words only cost an alignment."""
 BLOCK = 1 << 21
 """So many seeds, at least, are dealt out to the buckets at once; second seeds, which take more room, a quarter of that."""
+KEY_WORDS = 16
+"""Frequent pairs that begin in one stretch of so many words of the first text are looked up as one."""
 MARGIN = 64
 """So many words beside a chain go with it; where they don't settle its ends, the whole texts do."""
 GAIN, GAP = 6.0, 0.1
@@ -565,11 +569,28 @@ def _rounds(batches: Iterator[pa.RecordBatch], buckets: int, least: int, last: b
 
 
 def _probing(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, part, h) of the ``probes`` of rows (doc_id, part, x, h, often) that arrive text by text."""
-    for doc, part, x, h, often in _by_text(batches, ["doc_id", "part", "x", "h", "often"]):
+    """(doc_id, part, x, key) of the ``probes`` of rows (doc_id, part, x, often, key) that arrive text by text."""
+    for doc, part, x, often, key in _by_text(batches, ["doc_id", "part", "x", "often", "key"]):
         edges = np.append(np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (part[1:] != part[:-1]))), len(doc))
         some = np.concatenate([probes(x[i:j], often[i:j], least) for i, j in zip(edges[:-1], edges[1:], strict=True)])
-        yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (doc, part, h)], names=["doc_id", "part", "h"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (doc, part, x, key)], names=["doc_id", "part", "x", "key"])
+
+
+def surroundings(words: np.ndarray, places: np.ndarray, reach: int, most: int = LEAST_WORDS) -> tuple[np.ndarray, int]:
+    """(16-bit hashes, lost) of the words within ``reach`` of places; repetitions are numbered, those after ``most`` left out.
+
+    Of these words, two texts have no more in common than they have hashes in
+    common and one of them has lost to equal hashes, or else ``most`` or more.
+    """
+    steps = np.zeros(len(words) + 1, np.int64)
+    np.add.at(steps, np.maximum(places - reach, 0), 1)
+    np.add.at(steps, np.minimum(places + K + reach, len(words)), -1)
+    w = np.sort(words[np.cumsum(steps[:-1]) > 0])
+    at = np.arange(len(w))
+    nth = at - np.maximum.accumulate(np.where(np.append(True, w[1:] != w[:-1])[: len(w)], at, 0))
+    w, nth = w[nth < most], nth[nth < most]
+    hashes = np.unique((mix(w.astype(np.uint64) ^ mix(nth.astype(np.uint64))) >> np.uint64(48)).astype(np.uint16))
+    return hashes.view(np.int16), len(w) - len(hashes)
 
 
 def word_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -670,9 +691,8 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
                 words = [(w.hashes[a:b] >> np.uint64(32)).astype("<u4").tobytes() for a, b in zip(w.ptr[:-1], w.ptr[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, n) for c in ("doc_id", "part")), pa.array(words, pa.binary())], names=["doc_id", "part", "words"])
 
-    def with_words(chains: DataFrame) -> DataFrame:
-        """Words of the texts that chains name: only these are read again; how many they are has no bound."""
-        wanted = chains.select("doc_id", "part").union(chains.select("ref_doc", "ref_part")).distinct()
+    def with_words(wanted: DataFrame) -> DataFrame:
+        """Words of the texts named: only these are read again; how many they are has no bound."""
         named = texts.withColumn("part", text_key_of(F.col("text"))).join(wanted.hint("shuffle_merge"), ["doc_id", "part"])
         return staged(named.select("doc_id", "part", "text").mapInArrow(as_words, "doc_id long, part long, words binary").dropDuplicates(["doc_id", "part"]), "words")
 
@@ -715,8 +735,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
         both = cut(own.join(refs.hint("shuffle_merge"), ["ref_doc", "ref_part"]), "y", "ref_words", "ref_slice", "ref_")
         return both.select(*names, "before", "after", "slice", "ref_before", "ref_after", "ref_slice").mapInArrow(aligned, ALIGNED)
 
-    def found_by(chains: DataFrame) -> DataFrame:
-        sequences = with_words(chains)
+    def found_by(chains: DataFrame, sequences: DataFrame) -> DataFrame:
         near = staged(tried(chains, sequences, MARGIN), "aligned")
         return near.where("start_word is not null").union(tried(near.where("start_word is null").select(*names), sequences, 1 << 31))
 
@@ -737,23 +756,54 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
                     n = len(x[i : i + (1 << 16)])
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(n, doc)), pa.array(np.full(n, part)), pa.array(x[i : i + n].astype(np.int64)), pa.array(h[i : i + n]), pa.array(bare[i : i + n])], names=["doc_id", "part", "x", "h", "bare"])
 
-    passages = staged(found_by(chained), "passages")
+    # where a passage is no longer than this, all of it lies around each of its places
+    reach = 5 * least_words // 4
+    ref_reach = int(min(reach / max(similarity, 1e-6), 1 << 30))
+    need = math.ceil(similarity * least_words - 1e-9)
+
+    def surrounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words around the places of each key of a text."""
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int16()), pa.int32())
+
+        def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+            for doc, part, sought, words in zip(*(batch.column(c) for c in ("doc_id", "part", "keys", "words")), strict=True):
+                w = np.frombuffer(words.as_buffer(), "<u4")
+                for key in sought.as_py():
+                    places = np.array(key["places"], np.int64)
+                    yield doc.as_py(), part.as_py(), key["key"], key["probing"], *surroundings(w, places, reach if key["probing"] else ref_reach, least_words)
+
+        for batch in batches:
+            yield from _some(rows(batch), kinds, ["doc_id", "part", "key", "probing", "around", "lost"], 1 << 12)
+
+    passages = staged(found_by(chained, with_words(chained.select("doc_id", "part").union(chained.select("ref_doc", "ref_part")).distinct())), "passages")
     # what no passage covers though it is full of frequent pairs meets every earlier text that shares enough of them
     spans = passages.groupBy("doc_id", "part").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
     by_text = places.groupBy("doc_id", "part").agg(F.collect_list("xs").alias("xs"), F.collect_list("ys").alias("hs")).join(spans.hint("shuffle_merge"), ["doc_id", "part"], "left")
     rest = staged(by_text.select("doc_id", "part", "xs", "hs", "spans").mapInArrow(left_over, "doc_id long, part long, x long, h long, bare boolean"), "rest")
     bare = rest.where("bare").drop("bare")
     if not bare.isEmpty():
-        holders = staged(rest.groupBy("h", "doc_id", "part").agg(F.max("bare").alias("bare")), "holders")
-        often = staged(holders.groupBy("h").agg(F.count(F.lit(1)).alias("often"), F.max("bare").alias("bare")).where("bare and often > 1").drop("bare"), "often")
-        counted = bare.join(often, "h").repartition(parts, "doc_id", "part").sortWithinPartitions("doc_id", "part", "x")
-        probe = staged(counted.select("doc_id", "part", "x", "h", "often").mapInArrow(lambda b: _probing(b, least_words), "doc_id long, part long, h long"), "probes")
-        earlier = holders.select("h", F.col("doc_id").alias("ref_doc"), F.col("part").alias("ref_part"))
-        both = staged(probe.distinct().join(earlier, "h").where("ref_doc < doc_id and ref_part <> part").select("doc_id", "part", "ref_doc", "ref_part").distinct(), "both")
+        # pairs that begin within some words of each other in the first text that has them are one key
+        holders = rest.groupBy("h", "doc_id", "part").agg(F.max("bare").alias("bare"), F.min("x").alias("x"))
+        often = holders.groupBy("h").agg(F.count(F.lit(1)).alias("often"), F.max("bare").alias("bare"), F.min(F.struct("doc_id", "part", "x")).alias("first"))
+        often = staged(often.where("bare and often > 1").select("h", "often", F.col("first.doc_id").alias("first"), F.xxhash64("first.doc_id", "first.part", F.expr(f"first.x div {KEY_WORDS}")).alias("key")), "often")
+        counted = bare.join(often, "h").where("first < doc_id").repartition(parts, "doc_id", "part").sortWithinPartitions("doc_id", "part", "x")
+        probe = staged(counted.select("doc_id", "part", "x", "often", "key").mapInArrow(lambda b: _probing(b, least_words), "doc_id long, part long, x long, key long"), "probes")
+        # of the others only those matter that are earlier than a probe
+        latest = probe.groupBy("key").agg(F.max("doc_id").alias("latest"))
+        sought = rest.join(often.join(latest, "key"), "h").where("doc_id < latest").select("doc_id", "part", "x", "key")
+        keyed = probe.withColumn("probing", F.lit(True)).union(sought.withColumn("probing", F.lit(False))).groupBy("doc_id", "part", "key", "probing").agg(F.collect_set(F.col("x").cast("int")).alias("places"))
+        keyed = staged(keyed.groupBy("doc_id", "part").agg(F.collect_list(F.struct("key", "probing", "places")).alias("keys")), "keyed")
+        sequences = with_words(keyed.select("doc_id", "part"))
+        around = keyed.join(sequences.hint("shuffle_merge"), ["doc_id", "part"]).select("doc_id", "part", "keys", "words")
+        around = staged(around.mapInArrow(surrounded, "doc_id long, part long, key long, probing boolean, around array<smallint>, lost int"), "around")
+        # who shares a key but too few of the words around it has no passage there
+        earlier = around.where("not probing").select("key", F.col("doc_id").alias("ref_doc"), F.col("part").alias("ref_part"), F.col("around").alias("ref_around"))
+        alike = f"ref_doc < doc_id and ref_part <> part and size(array_intersect(around, ref_around)) + lost >= {need}"
+        both = staged(around.where("probing").join(earlier, "key").where(alike).select("doc_id", "part", "ref_doc", "ref_part").distinct(), "both")
         ref = rest.toDF("ref_doc", "ref_part", "y", "h", "ref_bare").drop("ref_bare")
         all_met = both.join(bare, ["doc_id", "part"]).join(ref, ["ref_doc", "ref_part", "h"]).select("doc_id", "part", "ref_doc", "ref_part", "x", "y", F.lit(0).cast("long").alias("h"))
         more = in_texts(all_met).mapInArrow(lambda b: _rounds(b, buckets, least_words, True), CHAINS)
-        passages = passages.union(found_by(staged(more, "more-chains")))
+        passages = passages.union(found_by(staged(more, "more-chains"), sequences))
     fuzzy = passages.withColumnsRenamed({"ref_doc": "ref_doc_id", "part": "text_key"}).select(*_names(PASSAGES)).distinct().withColumn("whole_copy", F.lit(False))
     copies = keys.where(F.col("n_words") >= least_words).distinct().join(first.select("tid", F.col("doc_id").alias("ref_doc_id")), "tid").where("doc_id <> ref_doc_id")
     n = F.col("n_words")

@@ -645,6 +645,29 @@ def test_probes_meet_all_who_share_a_quarter_of_a_window():
                 assert (probe & shared).any()
 
 
+def test_a_common_line_brings_no_pairs_of_texts(spark, monkeypatch):
+    """Texts that share one line only do not meet, however many have it; a passage around that line is found."""
+    rng = np.random.default_rng(13)
+    line, made, write = noise(rng, 20), {}, substrings.staged
+    monkeypatch.setattr(substrings, "staged", lambda df, name: made.setdefault(name, write(df, name)) if name == "both" else write(df, name))
+    rows = [(i, " ".join([*noise(rng, 60), *line, *noise(rng, 60)]), None, 1) for i in range(40)]
+    around = noise(rng, 15), noise(rng, 25)
+    rows += [(100 + i, " ".join([*noise(rng, 60), *(w if k % 4 else noise(rng, 1)[0] for k, w in enumerate(around[0])), *line, *(w if k % 4 != 3 else noise(rng, 1)[0] for k, w in enumerate(around[1])), *noise(rng, 60)]), None, 1) for i in range(2)]
+    got = {(r["doc_id"], r["ref_doc_id"]) for r in passages_of(spark, rows).collect()}
+    assert got == {(101, 100)} and made["both"].isEmpty()
+
+
+def test_surroundings_have_no_less_in_common_than_their_words():
+    rng = np.random.default_rng(14)
+    for _ in range(200):
+        a, b = (rng.integers(0, 40, 300).astype(np.uint32) for _ in range(2))
+        x, y, reach = rng.integers(0, 296, 2), rng.integers(0, 296, 3), int(rng.integers(5, 80))
+        near = lambda w, at, reach=reach: collections.Counter(w[sorted({i for p in at.tolist() for i in range(max(p - reach, 0), min(p + 4 + reach, 300))})].tolist())
+        (h, lost), (g, _) = substrings.surroundings(a, x, reach), substrings.surroundings(b, y, reach)
+        most = len(np.intersect1d(h, g)) + lost
+        assert most >= min((near(a, x) & near(b, y)).total(), 50) and len(h) + lost == sum(min(n, 50) for n in near(a, x).values())
+
+
 @pytest.mark.parametrize("shared", [None, 5])
 def test_many_texts_under_one_id(spark, shared):
     """Each is read once for its own passages, however many share the id."""
