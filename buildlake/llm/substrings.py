@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -286,18 +287,22 @@ def chain(x: list[int], y: list[int], gain: float = GAIN, gap: float = GAP) -> l
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
-    """Longest common subsequence; a plain comparison where lengths agree and most words do."""
+    """Longest common subsequence, one bit a word; a plain comparison where lengths agree and most words do."""
     if not len(a) or not len(b):
         return 0
     if len(a) == len(b):
         same = int((a == b).sum())
         if same >= len(a) - 2:
             return same
-    row = np.zeros(len(b) + 1, np.int64)
-    for word in a:
-        new = np.concatenate([[0], np.where(b == word, row[:-1] + 1, row[1:])])
-        row = np.maximum.accumulate(np.maximum(new, row))
-    return int(row[-1])
+    places: dict[int, int] = {}
+    for j, word in enumerate(b.tolist()):
+        places[word] = places.get(word, 0) | 1 << j
+    full = row = (1 << len(b)) - 1  # a zero where the subsequence grows
+    for word in a.tolist():
+        hit = row & places.get(word, 0)
+        if hit:
+            row = (row + hit | row - hit) & full
+    return len(b) - row.bit_count()
 
 
 def _extend(a: np.ndarray, b: np.ndarray, drop: int = EDGE_DROP) -> tuple[int, int, bool]:
@@ -347,6 +352,60 @@ def align(a: np.ndarray, b: np.ndarray, x: list[int], y: list[int], k: int = K,
     return x[0] - left, at_x + right, y[0] - left, at_y + right, matched + left_same + right_same
 
 
+def _extend_all(a: np.ndarray, b: np.ndarray, at: np.ndarray, ref_at: np.ndarray, n: np.ndarray, step: int, drop: int = EDGE_DROP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_extend`` of many sequences at once: they start at ``at`` in a and ``ref_at`` in b, have n words and go on by ``step``."""
+    words, best, score, unsettled = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64), np.zeros(len(n), np.int64), np.ones(len(n), bool)
+    done, go = 0, np.flatnonzero(n > 0)
+    while len(go):
+        col = np.arange(min(max(64, (1 << 18) // len(go)), int(n[go].max()) - done))
+        there = col < (n[go] - done)[:, None]
+        i, j = (np.where(there, o[go][:, None] + step * (done + col), 0) for o in (at, ref_at))
+        total = score[go][:, None] + np.cumsum(np.where(there, np.where(a[i] == b[j], 1, -2), 0), axis=1)
+        lost = np.maximum.accumulate(np.maximum(total, best[go][:, None]), axis=1) - total > drop
+        gone = lost.any(axis=1)
+        score[go] = total[:, -1]
+        total[np.logical_or.accumulate(lost, axis=1)] = -1
+        top = total.argmax(axis=1)
+        most = total[np.arange(len(go)), top]
+        more = most > best[go]
+        best[go[more]], words[go[more]] = most[more], done + top[more] + 1
+        unsettled[go[gone]] = False
+        done += len(col)
+        go = go[~gone & (n[go] > done)]
+    return words, (best + 2 * words) // 3, unsettled
+
+
+def align_all(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, x: np.ndarray, y: np.ndarray, at: np.ndarray, before: np.ndarray, after: np.ndarray, ref_before: np.ndarray, ref_after: np.ndarray, k: int = K) -> tuple[np.ndarray, ...]:
+    """``align`` of many chains at once, as arrays, and whether each result depends on words that aren't there.
+
+    Chain i has the seeds ``at[i]:at[i + 1]`` of x and y, which ascend, and the words ``a_at[i]:a_at[i + 1]`` of a.
+    """
+    n = len(at) - 1
+    first, last = at[:-1], at[1:] - 1
+    chain_of = np.repeat(np.arange(n), np.diff(at))
+    dx, dy = np.diff(x, prepend=0), np.diff(y, prepend=0)
+    dx[first] = dy[first] = k
+    overlap = np.maximum(np.maximum(k - dx, k - dy), 0)
+    matched = np.zeros(n, np.int64)
+    np.add.at(matched, chain_of, k - overlap)
+    gap = np.flatnonzero((dx > k) & (dy > k))
+    of, size, ref_size = chain_of[gap], dx[gap] - k, dy[gap] - k
+    i, j = a_at[of] + x[gap] - size, b_at[of] + y[gap] - ref_size
+    even = np.flatnonzero(size == ref_size)
+    within = np.arange(size[even].sum()) - np.repeat(np.cumsum(size[even]) - size[even], size[even])
+    same = np.zeros(len(gap), np.int64)
+    np.add.at(same, np.repeat(even, size[even]), a[np.repeat(i[even], size[even]) + within] == b[np.repeat(j[even], size[even]) + within])
+    for g in np.flatnonzero((size != ref_size) | (same < size - 2)).tolist():
+        same[g] = _common(a[i[g] : i[g] + size[g]], b[j[g] : j[g] + ref_size[g]])
+    np.add.at(matched, of, same)
+    x0, y0, x1, y1 = x[first], y[first], x[last] + k, y[last] + k
+    rest_x, rest_y = np.diff(a_at) - x1, np.diff(b_at) - y1
+    left, left_same, left_open = _extend_all(a, b, a_at[:-1] + x0 - 1, b_at[:-1] + y0 - 1, np.minimum(x0, y0), -1)
+    right, right_same, right_open = _extend_all(a, b, a_at[:-1] + x1, b_at[:-1] + y1, np.minimum(rest_x, rest_y), 1)
+    unknown = left_open & ((before > 0) & (x0 <= y0) | (ref_before > 0) & (y0 <= x0)) | right_open & ((after > 0) & (rest_x <= rest_y) | (ref_after > 0) & (rest_y <= rest_x))
+    return x0 - left, x1 + right, y0 - left, y1 + right, matched + left_same + right_same, unknown
+
+
 CHAINS = "doc_id long, part long, ref_doc long, ref_part long, x_from int, x_to int, y_from int, y_to int, xs binary, ys binary"
 _CHAIN_KINDS = (*(pa.int64(),) * 4, *(pa.int32(),) * 4, pa.binary(), pa.binary())
 MET = "doc_id long, part long, ref_doc long, ref_part long, x long, y long, h long"
@@ -514,7 +573,7 @@ def probes(x: np.ndarray, often: np.ndarray, least: int = LEAST_WORDS) -> np.nda
 
 
 def _rounds(batches: Iterator[pa.RecordBatch], buckets: int, least: int, last: bool) -> Iterator[pa.RecordBatch]:
-    """Chains of matches and, but for the last round, blocks of second seeds; rows arrive text by text."""
+    """Chains of matches and, but for the last round, blocks of second seeds; rows arrive by their text's hash (text), in no order within it."""
     chain_names, block_names = _names(CHAINS), _names(BLOCKS)
     held: list[tuple[np.ndarray, ...]] = []
     waiting = 0
@@ -529,6 +588,8 @@ def _rounds(batches: Iterator[pa.RecordBatch], buckets: int, least: int, last: b
 
     def dealt() -> Iterator[pa.RecordBatch]:
         doc, part, x, h = map(np.concatenate, zip(*held, strict=True))
+        order = np.lexsort((x, part, doc))
+        doc, part, x, h = doc[order], part[order], x[order], h[order]
         new = np.append(True, (doc[1:] != doc[:-1]) | (part[1:] != part[:-1]))
         of, docs, parts = np.cumsum(new) - 1, doc[new], part[new]
         seed, of, code = second_seeds(of, x, h.view(np.uint64), least)
@@ -548,18 +609,17 @@ def _rounds(batches: Iterator[pa.RecordBatch], buckets: int, least: int, last: b
             order = np.lexsort((py, px, parts[b], docs[b], parts[a], docs[a]))
             yield from widened(text_chains(*(c[order] for c in (docs[a], parts[a], docs[b], parts[b], px, py))), _CHAIN_KINDS, chain_names, 1000)
 
-    for doc, part, ref, ref_part, x, y, h in _by_text(batches, _names(MET)):
+    for _, _, doc, part, ref, ref_part, x, y, h in _by_text(batches, ["text", "text", *_names(MET)]):
         often = y < 0
-        m = ~often
+        m = np.flatnonzero(~often)
+        m = m[np.lexsort((y[m], x[m], ref_part[m], ref[m], part[m], doc[m]))]
         yield from widened(text_chains(doc[m], part[m], ref[m], ref_part[m], x[m], y[m]), _CHAIN_KINDS, chain_names, 1000)
         if last:
             named = h != 0
             yield from widened(noted(doc[named], part[named], x[named], h[named]), _CHAIN_KINDS, chain_names, 1000)
         elif often.any():
-            order = np.flatnonzero(often)
-            order = order[np.lexsort((x[order], part[order], doc[order]))]
-            held.append((doc[order], part[order], x[order], h[order]))
-            waiting += len(order)
+            held.append((doc[often], part[often], x[often], h[often]))
+            waiting += np.count_nonzero(often)
             if waiting >= BLOCK // 4:
                 yield from dealt()
                 held.clear()
@@ -576,6 +636,37 @@ def _probing(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (doc, part, x, key)], names=["doc_id", "part", "x", "key"])
 
 
+def shared_places(h: np.ndarray, at: np.ndarray, ref_h: np.ndarray, ref_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, index, ref index) of all equal hashes within each of many pairs; pair i has ``h[at[i]:at[i + 1]]`` and ``ref_h[ref_at[i]:ref_at[i + 1]]``."""
+    pair, ref_pair = (np.repeat(np.arange(len(o) - 1), np.diff(o)) for o in (at, ref_at))
+    key, ref_key = (v.view(np.uint64) ^ mix(p.astype(np.uint64)) for v, p in ((h, pair), (ref_h, ref_pair)))
+    order = np.argsort(ref_key, kind="stable")
+    low, high = (np.searchsorted(ref_key[order], key, side) for side in ("left", "right"))
+    n = high - low
+    i = np.repeat(np.arange(len(h)), n)
+    j = order[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    same = (pair[i] == ref_pair[j]) & (h[i] == ref_h[j])  # keys of different pairs may be equal
+    return pair[i[same]], i[same], j[same]
+
+
+def _pair_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chains of pairs of texts that come with their places (xs, ys) and hashes (hs, ref_hs)."""
+    for batch in batches:
+        doc, part, ref, ref_part = (batch.column(c).to_numpy() for c in ("doc_id", "part", "ref_doc", "ref_part"))
+        (x, at), (h, _), (y, ref_at), (ref_h, _) = ((c.values.to_numpy(), c.offsets.to_numpy()) for c in map(batch.column, ("xs", "hs", "ys", "ref_hs")))
+
+        def rows() -> Iterator[tuple]:
+            for i, j in slices(at.astype(np.int64) + ref_at, 1 << 18):  # noqa: B023
+                a, b, c, d = at[i], at[j], ref_at[i], ref_at[j]  # noqa: B023
+                pair, own, other = shared_places(h[a:b], at[i : j + 1] - a, ref_h[c:d], ref_at[i : j + 1] - c)  # noqa: B023
+                px, py = x[a:b][own].astype(np.int64), y[c:d][other].astype(np.int64)  # noqa: B023
+                order = np.lexsort((py, px, pair))
+                pair = pair[order] + i
+                yield from text_chains(doc[pair], part[pair], ref[pair], ref_part[pair], px[order], py[order])  # noqa: B023
+
+        yield from _some(rows(), _CHAIN_KINDS, _names(CHAINS), 1000)
+
+
 def surroundings(words: np.ndarray, places: np.ndarray, reach: int, most: int = LEAST_WORDS) -> tuple[np.ndarray, int]:
     """(16-bit hashes, lost) of the words within ``reach`` of places; repetitions are numbered, those after ``most`` left out.
 
@@ -672,7 +763,8 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
         return frame.repartitionById(parts, F.col("bucket") % F.lit(parts)).sortWithinPartitions("bucket")
 
     def in_texts(frame: DataFrame) -> DataFrame:
-        return frame.repartition(parts, "doc_id", "part").sortWithinPartitions("doc_id", "part", "ref_doc", "ref_part", "x", "y")
+        # one long is sorted by its digits; the rest of the order is made text by text
+        return frame.repartition(parts, "doc_id", "part").withColumn("text", F.xxhash64("doc_id", "part")).sortWithinPartitions("text")
 
     keys = staged(texts.mapInArrow(scan, "doc_id long, tid binary, part long, n_words long"), "texts")
     first = staged(keys.groupBy("tid").agg(F.min("doc_id").alias("doc_id"), F.first("part").alias("part")), "firsts")
@@ -700,25 +792,19 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Passages; chains that need more of a text than is there come out as they are, without a start."""
-        kinds = (*_CHAIN_KINDS, *(pa.int64(),) * 5, pa.float64())
         for batch in batches:
-            out = []
-            ints = zip(*(batch.column(c).to_pylist() for c in (*names[:8], "before", "after", "ref_before", "ref_after")), strict=True)
-            blobs = zip(*(batch.column(c) for c in ("xs", "ys", "slice", "ref_slice")), strict=True)
-            for r, blob in zip(ints, blobs, strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), "<i4") for v in blob[:2])
-                a, b = (np.frombuffer(v.as_buffer(), "<u4") for v in blob[2:])
-                before, after, ref_before, ref_after = r[8:]
-                found = align(a, b, (x - before).tolist(), (y - ref_before).tolist(), K, before, after, ref_before, ref_after)
-                if found is None:
-                    out.append((*r[:8], x.tobytes(), y.tobytes(), *(None,) * 6))
-                    continue
-                s, e, rs, re_, same = found
-                share = same / max(e - s, re_ - rs)
-                if e - s >= least_words and share >= similarity:
-                    out.append((*r[:8], None, None, s + before, e + before, rs + ref_before, re_ + ref_before, same, share))
-            cols = list(zip(*out, strict=True)) if out else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=_names(ALIGNED))
+            if not batch.num_rows:
+                continue
+            before, after, ref_before, ref_after = (batch.column(c).to_numpy() for c in ("before", "after", "ref_before", "ref_after"))
+            (x, at), (y, _), (a, a_at), (b, b_at) = ((raw.view("<i4" if c in "xsys" else "<u4"), o // 4) for c in ("xs", "ys", "slice", "ref_slice") for raw, o in [string_buffers(batch.column(c))])
+            n = np.diff(at)
+            start, end, ref_start, ref_end, same, unknown = align_all(a, a_at, b, b_at, x - np.repeat(before, n), y - np.repeat(ref_before, n), at, before, after, ref_before, ref_after)
+            share = same / np.maximum(end - start, ref_end - ref_start)
+            some = np.flatnonzero(unknown | (end - start >= least_words) & (share >= similarity))
+            unknown, row = unknown[some], batch.take(pa.array(some))
+            found = (start + before, end + before, ref_start + ref_before, ref_end + ref_before, same, share)
+            seeds_of = [pc.if_else(pa.array(unknown), row.column(c), pa.scalar(None, pa.binary())) for c in ("xs", "ys")]
+            yield pa.RecordBatch.from_arrays([*(row.column(c) for c in names[:8]), *seeds_of, *(pa.array(v[some], mask=unknown) for v in found)], names=_names(ALIGNED))
 
     def tried(chains: DataFrame, sequences: DataFrame, margin: int) -> DataFrame:
         """Chains aligned over slices with so many words beside them; the slices are cut where the words are joined."""
@@ -739,8 +825,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
         near = staged(tried(chains, sequences, MARGIN), "aligned")
         return near.where("start_word is not null").union(tried(near.where("start_word is null").select(*names), sequences, 1 << 31))
 
-    def left_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Crowded places of frequent pairs; whether no passage covers them."""
+    def crowded_places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for doc, part, xs, hs, spans in zip(*batch.to_pydict().values(), strict=True):
                 x = np.concatenate([np.frombuffer(v, "<i4") for v in xs])
@@ -752,9 +837,13 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
                 for span in spans or []:
                     bare[np.searchsorted(x, span["start_word"]) : np.searchsorted(x, span["end_word"])] = False
                 bare[bare] = crowded(x[bare], least_words)
-                for i in range(0, len(x), 1 << 16):
-                    n = len(x[i : i + (1 << 16)])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, doc)), pa.array(np.full(n, part)), pa.array(x[i : i + n].astype(np.int64)), pa.array(h[i : i + n]), pa.array(bare[i : i + n])], names=["doc_id", "part", "x", "h", "bare"])
+                if len(x):
+                    yield doc, part, x, h, bare
+
+    def left_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Crowded places of frequent pairs, text by text; whether no passage covers them."""
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.bool_()))
+        yield from _some(crowded_places(batches), kinds, ["doc_id", "part", "xs", "hs", "bares"], 1000)
 
     # where a passage is no longer than this, all of it lies around each of its places
     reach = 5 * least_words // 4
@@ -779,18 +868,19 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
     # what no passage covers though it is full of frequent pairs meets every earlier text that shares enough of them
     spans = passages.groupBy("doc_id", "part").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
     by_text = places.groupBy("doc_id", "part").agg(F.collect_list("xs").alias("xs"), F.collect_list("ys").alias("hs")).join(spans.hint("shuffle_merge"), ["doc_id", "part"], "left")
-    rest = staged(by_text.select("doc_id", "part", "xs", "hs", "spans").mapInArrow(left_over, "doc_id long, part long, x long, h long, bare boolean"), "rest")
-    bare = rest.where("bare").drop("bare")
+    rest = staged(by_text.select("doc_id", "part", "xs", "hs", "spans").mapInArrow(left_over, "doc_id long, part long, xs array<int>, hs array<long>, bares array<boolean>"), "rest")
+    by_place = rest.select("doc_id", "part", F.expr("inline(arrays_zip(xs, hs, bares))")).selectExpr("doc_id", "part", "cast(xs as long) x", "hs h", "bares bare")
+    bare = by_place.where("bare").drop("bare")
     if not bare.isEmpty():
         # pairs that begin within some words of each other in the first text that has them are one key
-        holders = rest.groupBy("h", "doc_id", "part").agg(F.max("bare").alias("bare"), F.min("x").alias("x"))
+        holders = by_place.groupBy("h", "doc_id", "part").agg(F.max("bare").alias("bare"), F.min("x").alias("x"))
         often = holders.groupBy("h").agg(F.count(F.lit(1)).alias("often"), F.max("bare").alias("bare"), F.min(F.struct("doc_id", "part", "x")).alias("first"))
         often = staged(often.where("bare and often > 1").select("h", "often", F.col("first.doc_id").alias("first"), F.xxhash64("first.doc_id", "first.part", F.expr(f"first.x div {KEY_WORDS}")).alias("key")), "often")
         counted = bare.join(often, "h").where("first < doc_id").repartition(parts, "doc_id", "part").sortWithinPartitions("doc_id", "part", "x")
         probe = staged(counted.select("doc_id", "part", "x", "often", "key").mapInArrow(lambda b: _probing(b, least_words), "doc_id long, part long, x long, key long"), "probes")
         # of the others only those matter that are earlier than a probe
         latest = probe.groupBy("key").agg(F.max("doc_id").alias("latest"))
-        sought = rest.join(often.join(latest, "key"), "h").where("doc_id < latest").select("doc_id", "part", "x", "key")
+        sought = by_place.join(often.join(latest, "key"), "h").where("doc_id < latest").select("doc_id", "part", "x", "key")
         keyed = probe.withColumn("probing", F.lit(True)).union(sought.withColumn("probing", F.lit(False))).groupBy("doc_id", "part", "key", "probing").agg(F.collect_set(F.col("x").cast("int")).alias("places"))
         keyed = staged(keyed.groupBy("doc_id", "part").agg(F.collect_list(F.struct("key", "probing", "places")).alias("keys")), "keyed")
         sequences = with_words(keyed.select("doc_id", "part"))
@@ -800,9 +890,11 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
         earlier = around.where("not probing").select("key", F.col("doc_id").alias("ref_doc"), F.col("part").alias("ref_part"), F.col("around").alias("ref_around"))
         alike = f"ref_doc < doc_id and ref_part <> part and size(array_intersect(around, ref_around)) + lost >= {need}"
         both = staged(around.where("probing").join(earlier, "key").where(alike).select("doc_id", "part", "ref_doc", "ref_part").distinct(), "both")
-        ref = rest.toDF("ref_doc", "ref_part", "y", "h", "ref_bare").drop("ref_bare")
-        all_met = both.join(bare, ["doc_id", "part"]).join(ref, ["ref_doc", "ref_part", "h"]).select("doc_id", "part", "ref_doc", "ref_part", "x", "y", F.lit(0).cast("long").alias("h"))
-        more = in_texts(all_met).mapInArrow(lambda b: _rounds(b, buckets, least_words, True), CHAINS)
+        # a row for each pair of texts: their places come as arrays
+        own = rest.where("exists(bares, b -> b)").select("doc_id", "part", *(F.expr(f"transform(filter(arrays_zip({c}, bares), p -> p.bares), p -> p.{c})").alias(c) for c in ("xs", "hs")))
+        ref = rest.select(F.col("doc_id").alias("ref_doc"), F.col("part").alias("ref_part"), F.col("xs").alias("ys"), F.col("hs").alias("ref_hs"))
+        pairs = both.join(own.hint("shuffle_merge"), ["doc_id", "part"]).join(ref.hint("shuffle_merge"), ["ref_doc", "ref_part"])
+        more = pairs.select("doc_id", "part", "ref_doc", "ref_part", "xs", "hs", "ys", "ref_hs").mapInArrow(_pair_chains, CHAINS)
         passages = passages.union(found_by(staged(more, "more-chains"), sequences))
     fuzzy = passages.withColumnsRenamed({"ref_doc": "ref_doc_id", "part": "text_key"}).select(*_names(PASSAGES)).distinct().withColumn("whole_copy", F.lit(False))
     copies = keys.where(F.col("n_words") >= least_words).distinct().join(first.select("tid", F.col("doc_id").alias("ref_doc_id")), "tid").where("doc_id <> ref_doc_id")

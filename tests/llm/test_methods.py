@@ -680,3 +680,68 @@ def test_many_texts_under_one_id(spark, shared):
         wanted.add((1000 + i, shared, 0, 55, 10, 65))
     got = {(r["doc_id"], r["ref_doc_id"], r["start_word"], r["end_word"], r["ref_start"], r["ref_end"]) for r in passages_of(spark, rows).collect()}
     assert got == wanted
+
+
+def test_chains_are_aligned_together_as_alone():
+    rng = np.random.default_rng(91)
+
+    def edited(words):
+        out = [int(rng.integers(1000)) if rng.random() < 0.1 else w for w in words if rng.random() > 0.03]
+        return np.array([*rng.integers(0, 4, rng.integers(0, 90)), *out, *rng.integers(0, 4, rng.integers(0, 90))], "<u4")
+
+    rows = []
+    for _ in range(60):
+        base = rng.integers(0, rng.choice([3, 1000]), int(rng.integers(20, 150))).tolist()
+        a, b = edited(base), edited(base)
+        same = a[:, None] == b[None, :]
+        met = np.argwhere(same[:-3, :-3] & same[1:-2, 1:-2] & same[2:-1, 2:-1] & same[3:, 3:])[:200]
+        chains = substrings.chain(met[:, 0].tolist(), met[:, 1].tolist())[:3]
+        rows += [(a, b, met[c, 0], met[c, 1], *(int(v) for v in 7 * rng.integers(0, 2, 4))) for c in chains]
+    flat, ends = [np.concatenate([r[i] for r in rows]) for i in range(4)], [np.cumsum([0, *(len(r[i]) for r in rows)]) for i in range(3)]
+    got = substrings.align_all(flat[0], ends[0], flat[1], ends[1], flat[2], flat[3], ends[2], *(np.array([r[i] for r in rows]) for i in range(4, 8)))
+    want = [substrings.align(a, b, x.tolist(), y.tolist(), substrings.K, *r) for a, b, x, y, *r in rows]
+    assert [None if open_ else tuple(v) for *v, open_ in zip(*(c.tolist() for c in got), strict=True)] == want
+    assert 10 < sum(w is None for w in want) < len(want) - 10
+
+
+def test_longest_common_subsequences_by_bits():
+    rng = np.random.default_rng(92)
+    for _ in range(200):
+        a, b = rng.integers(0, 5, rng.integers(1, 90)), rng.integers(0, 5, rng.integers(1, 90))
+        row = [0] * (len(b) + 1)
+        for v in a:
+            new = [0]
+            for j, w in enumerate(b):
+                new.append(row[j] + 1 if v == w else max(new[-1], row[j + 1]))
+            row = new
+        assert substrings._common(a, b) == row[-1] or len(a) == len(b) and (a == b).sum() >= len(a) - 2
+
+
+def test_candidates_meet_in_one_row_a_pair(spark, monkeypatch):
+    """However many places two texts share, the join behind the candidates makes a row for them; none of the places is lost."""
+    rng = np.random.default_rng(93)
+    h, ref = rng.integers(-9, 9, 400), rng.integers(-9, 9, 300)
+    at, ref_at = np.array([0, 90, 90, 250, 400]), np.array([0, 50, 120, 200, 300])
+    got = sorted(zip(*(c.tolist() for c in substrings.shared_places(h, at, ref, ref_at)), strict=True))
+    assert got == [(p, i, j) for p in range(4) for i in range(at[p], at[p + 1]) for j in range(ref_at[p], ref_at[p + 1]) if h[i] == ref[j]]
+
+    chains = substrings._pair_chains
+
+    def once(batches):
+        met = set()
+        for batch in batches:
+            pairs = list(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "part", "ref_doc", "ref_part")), strict=True))
+            assert len(pairs) == len({*pairs} - met)
+            met |= {*pairs}
+            yield from chains(iter([batch]))
+
+    monkeypatch.setattr(substrings, "_pair_chains", once)
+    rows = []
+    for i in range(2):
+        passage = noise(rng, 100)
+        parts = [passage[b : b + 40] for b in range(0, 61, 6)]
+        rows += [(1000 * i + 100 * p + n, " ".join([*noise(rng, 30), *part, *noise(rng, 30)]), None, 1) for p, part in enumerate(parts) for n in range(10)]
+        edited = [noise(rng, 1)[0] if k % 16 == 8 else w for k, w in enumerate(passage)]
+        rows += [(d + i, " ".join([*noise(rng, 25), *body, *noise(rng, 35)]), None, 1) for d, body in ((10_000, passage), (20_000, edited))]
+    got = {(r["doc_id"], r["ref_doc_id"]) for r in passages_of(spark, rows).where("doc_id >= 10000").collect()}
+    assert {(20_000 + i, 10_000 + i) for i in range(2)} <= got
