@@ -92,10 +92,19 @@ _BLOCK_KINDS = (pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.
 
 def spare(h: np.ndarray) -> np.ndarray:
     """Which seeds a bucket needn't see to know that they are frequent: there are more than ``RARE`` of theirs before them."""
-    order = np.argsort(h, kind="stable")
+    out = np.zeros(len(h), bool)
+    g = np.sort(h)
+    often = g[RARE + 1 :][g[RARE + 1 :] == g[: -RARE - 1]]
+    if not len(often):
+        return out
+    # only seeds with the low bits of a frequent one need their order
+    low = np.uint64((1 << 20) - 1)
+    some = np.zeros(1 << 20, bool)
+    some[often & low] = True
+    order = np.flatnonzero(some[h & low])
+    order = order[np.argsort(h[order], kind="stable")]
     g = h[order]
     place = np.arange(len(g))
-    out = np.zeros(len(h), bool)
     out[order] = place - np.maximum.accumulate(np.where(np.append(True, g[1:] != g[:-1])[: len(g)], place, 0)) > RARE
     return out
 
@@ -612,7 +621,7 @@ def _rounds(batches: Iterator[pa.RecordBatch], buckets: int, least: int, last: b
     for _, _, doc, part, ref, ref_part, x, y, h in _by_text(batches, ["text", "text", *_names(MET)]):
         often = y < 0
         m = np.flatnonzero(~often)
-        m = m[np.lexsort((y[m], x[m], ref_part[m], ref[m], part[m], doc[m]))]
+        m = m[np.lexsort(((x[m] << 32) + y[m], ref_part[m], ref[m], part[m], doc[m]))]
         yield from widened(text_chains(doc[m], part[m], ref[m], ref_part[m], x[m], y[m]), _CHAIN_KINDS, chain_names, 1000)
         if last:
             named = h != 0
@@ -864,7 +873,8 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
         for batch in batches:
             yield from _some(rows(batch), kinds, ["doc_id", "part", "key", "probing", "around", "lost"], 1 << 12)
 
-    passages = staged(found_by(chained, with_words(chained.select("doc_id", "part").union(chained.select("ref_doc", "ref_part")).distinct())), "passages")
+    words = with_words(chained.select("doc_id", "part").union(chained.select("ref_doc", "ref_part")).union(places.select("doc_id", "part")).distinct())
+    passages = staged(found_by(chained, words), "passages")
     # what no passage covers though it is full of frequent pairs meets every earlier text that shares enough of them
     spans = passages.groupBy("doc_id", "part").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
     by_text = places.groupBy("doc_id", "part").agg(F.collect_list("xs").alias("xs"), F.collect_list("ys").alias("hs")).join(spans.hint("shuffle_merge"), ["doc_id", "part"], "left")
@@ -883,7 +893,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarit
         sought = by_place.join(often.join(latest, "key"), "h").where("doc_id < latest").select("doc_id", "part", "x", "key")
         keyed = probe.withColumn("probing", F.lit(True)).union(sought.withColumn("probing", F.lit(False))).groupBy("doc_id", "part", "key", "probing").agg(F.collect_set(F.col("x").cast("int")).alias("places"))
         keyed = staged(keyed.groupBy("doc_id", "part").agg(F.collect_list(F.struct("key", "probing", "places")).alias("keys")), "keyed")
-        sequences = with_words(keyed.select("doc_id", "part"))
+        sequences = staged(words.join(keyed.select("doc_id", "part").hint("shuffle_merge"), ["doc_id", "part"], "left_semi"), "sequences")
         around = keyed.join(sequences.hint("shuffle_merge"), ["doc_id", "part"]).select("doc_id", "part", "keys", "words")
         around = staged(around.mapInArrow(surrounded, "doc_id long, part long, key long, probing boolean, around array<smallint>, lost int"), "around")
         # who shares a key but too few of the words around it has no passage there
